@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.registry.data import Data
+from ledgerlens.registry.oracles_learning import ORACLES as LEARNING_ORACLES
 from ledgerlens.registry.oracles_tables import ORACLES as TABLE_ORACLES
+from ledgerlens.registry.queries_learning import QUERIES as LEARNING_QUERIES
 from ledgerlens.registry.queries_tables import QUERIES as TABLE_QUERIES
 
 
@@ -16,8 +18,8 @@ def _bind(query: Callable[[Data], DataFrame]) -> Callable[[SparkSession, str], D
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _bind(query) for name, query in TABLE_QUERIES.items()}
+    return {name: _bind(query) for name, query in {**TABLE_QUERIES, **LEARNING_QUERIES}.items()}
 
 
 def oracles() -> dict[str, str]:
-    return dict(TABLE_ORACLES)
+    return {**TABLE_ORACLES, **LEARNING_ORACLES}
