@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The base currency and its rate.
+# The base currency, and the characters that count as white space.
 USD = "USD"
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def _col(c: Column | str) -> Column:
@@ -34,13 +38,12 @@ def pair_quote(pair: Column | str) -> Column:
 
 def clean_merchant_country(code: Column | str) -> Column:
     """Last three characters, upper case, white space of any kind stripped."""
-    tail = F.upper(F.right(_col(code), F.lit(3)))
-    return F.regexp_replace(tail, r"^\s+|\s+$", "")
+    return F.trim(F.upper(F.right(_col(code), F.lit(3))), F.lit(WHITE_SPACE))
 
 
 def strip_leading_zeros(code: Column | str) -> Column:
-    code = _col(code)
-    return F.when(code.rlike("^[0-9]+$"), code.cast("long").cast("string")).otherwise(code)
+    """All-digit codes without leading zeros (036 is 36, 000 is 0); others untouched."""
+    return F.regexp_replace(_col(code), "^0+(?=[0-9]+$)", "")
 
 
 # --- time ----------------------------------------------------------------------------------------

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from itertools import combinations_with_replacement
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -162,20 +164,39 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if f.dataType.typeName() in kinds]
 
 
+def _pair_corr(a: str, b: str) -> Column:
+    """Correlation over the rows that have both values; NULL where one of them is constant."""
+    x, y = F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))
+    return F.covar_pop(a, b) / F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))
+
+
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Pearson correlation ``(a, b, corr)`` of all pairs with a <= b, pairwise complete, one pass.
+    """Pearson correlation ``(a, b, corr)`` of all pairs with a <= b, pairwise complete.
 
-    A constant column has no correlation: NULL.
+    A constant column has no correlation: NULL. Columns without NULLs share one pass over the rows
+    that adds up the matrix of products; only pairs with a gap are aggregated one by one.
     """
     columns = sorted(columns or numeric_columns(df))
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    numbers = materialise(numbers, "numbers")
+    filled = numbers.agg(F.count(F.lit(1)).alias("*"), *[F.count(c).alias(c) for c in columns]).first()
+    whole = [c for c in columns if filled[c] == filled["*"]]
+    found: dict[tuple[str, str], float | None] = {}
+    if len(whole) > 1 and filled["*"] > 1:
+        vectors = VectorAssembler(inputCols=whole, outputCol="v").transform(numbers)
+        matrix = Correlation.corr(vectors, "v").first()[0].toArray()
+        spread = numbers.agg(*[(F.min(c) < F.max(c)).alias(c) for c in whole]).first()
+        for i, a in enumerate(whole):
+            for j in range(i, len(whole)):
+                known = spread[a] and spread[whole[j]]
+                found[a, whole[j]] = float(matrix[i, j]) if known else None
     pairs = list(combinations_with_replacement(columns, 2))
-    wide = numbers.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
-    value = F.when(~F.isnan("corr"), F.col("corr"))
-    return wide.unpivot([], wide.columns, "pair", "corr").select(
-        F.split_part("pair", F.lit("|"), F.lit(1)).alias("a"),
-        F.split_part("pair", F.lit("|"), F.lit(2)).alias("b"),
-        value.alias("corr"),
+    gaps = [p for p in pairs if p not in found]
+    if gaps:
+        row = numbers.agg(*[_pair_corr(a, b).alias(f"{a}|{b}") for a, b in gaps]).first()
+        found |= {(a, b): row[f"{a}|{b}"] for a, b in gaps}
+    return df.sparkSession.createDataFrame(
+        [(a, b, found[a, b]) for a, b in pairs], "a string, b string, corr double"
     )
 
 

@@ -79,14 +79,17 @@ def asof_fx_rate(df: DataFrame, fx_rates: DataFrame) -> DataFrame:
 
 
 def left_join_currency(df: DataFrame, currency_details: DataFrame) -> DataFrame:
-    """Adds ``exponent``; NULL for an unknown currency."""
-    details = broadcast_if_small(currency_details.select(F.col("ccy").alias("_ccy"), "exponent"))
+    """Adds ``exponent``; NULL for an unknown currency.
+
+    The table is stored, so Spark knows its size and broadcasts it by its own threshold.
+    """
+    details = currency_details.select(F.col("ccy").alias("_ccy"), "exponent")
     return df.join(details, F.col("currency") == F.col("_ccy"), "left").drop("_ccy")
 
 
 def inner_join_currency(df: DataFrame, currency_details: DataFrame) -> DataFrame:
     """Adds ``exponent``; rows of an unknown currency drop out."""
-    details = broadcast_if_small(currency_details.select(F.col("ccy").alias("_ccy"), "exponent"))
+    details = currency_details.select(F.col("ccy").alias("_ccy"), "exponent")
     return df.join(details, F.col("currency") == F.col("_ccy")).drop("_ccy")
 
 

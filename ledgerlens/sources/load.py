@@ -15,7 +15,6 @@ from ledgerlens.functions.scalar import (
     project_declared,
     strip_leading_zeros,
 )
-from ledgerlens.session import broadcast_if_small
 from ledgerlens.settings import TABLE_COLUMNS, JobSettings, TableSettings
 from ledgerlens.sources import schemas as S
 from ledgerlens.sources.files import header_of, scan_csv, write_table
@@ -60,8 +59,11 @@ def country_dictionary(countries: DataFrame) -> DataFrame:
 def merchant_country_to_code2(
     df: DataFrame, countries: DataFrame, column: str = "merchant_country"
 ) -> DataFrame:
-    """Replace known codes by their 2-letter form; unknown ones stay as they are."""
-    codes = broadcast_if_small(country_dictionary(countries))
+    """Replace known codes by their 2-letter form; unknown ones stay as they are.
+
+    The country file is stored, so Spark knows its size and broadcasts it by its own threshold.
+    """
+    codes = country_dictionary(countries)
     joined = df.withColumn("_key", strip_leading_zeros(column)).join(
         codes, F.col("_key") == F.col("key"), "left"
     )
