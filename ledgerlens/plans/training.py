@@ -17,7 +17,14 @@ from ledgerlens.operators import metrics
 from ledgerlens.operators.actions import decide_action
 from ledgerlens.operators.features import categories, one_hot_expressions, scaler_stats
 from ledgerlens.operators.sampling import fold_of, resample, stratified_split
-from ledgerlens.plans.models import ESTIMATORS, MODEL_NAMES, assembler, fit_model, predict
+from ledgerlens.plans.models import (
+    ESTIMATORS,
+    MODEL_NAMES,
+    assembler,
+    fit_model,
+    predict,
+    without_summary,
+)
 from ledgerlens.session import materialise
 from ledgerlens.settings import CATEGORICAL_FEATURES, LABEL, NUMERIC_FEATURES, ModelSettings
 
@@ -89,7 +96,7 @@ def cv_auc_by_model(
     n_splits: int = 10,
     models: list[str] | None = None,
     resample_first: bool = False,
-    parallelism: int = 4,
+    parallelism: int = 10,
 ) -> DataFrame:
     """``(sampling, model, fold, auc)`` for every model and fold.
 
@@ -159,7 +166,8 @@ def grid_search(
         [(str(sorted(p.items())), float(m)) for p, m in zip(named, search.avgMetrics)],
         "params string, mean_auc double",
     )
-    return PipelineModel([vectors, search.bestModel]), named[best], table
+    model = without_summary(search.bestModel, train.sparkSession)
+    return PipelineModel([vectors, model]), named[best], table
 
 
 # --- train and score -----------------------------------------------------------------------------

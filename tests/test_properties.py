@@ -95,12 +95,17 @@ def test_smote_spreads_large_copy_numbers(spark, monkeypatch):
     assert made.where("x1 < 0 OR x1 > 2").count() == 0
 
 
+def _d2(a, b):
+    total = 0.0  # sum() would compensate rounding and split equal distances
+    for x, y in zip(a, b):
+        total += (x - y) * (x - y)
+    return total
+
+
 def _brute(q, p, k, exclude):
     out = {}
     for qid, *qx in q:
-        ds = sorted(
-            (sum((a - b) ** 2 for a, b in zip(qx, px)), pid) for pid, _, *px in p if not (exclude and pid == qid)
-        )
+        ds = sorted((_d2(qx, px), pid) for pid, _, *px in p if not (exclude and pid == qid))
         out[qid] = [i for _, i in ds[:k]]
     return out
 
