@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import facts, features, fx
-from ledgerlens.session import scratch_path
+from ledgerlens.session import materialise, scratch_path
 from ledgerlens.sources import fixtures
 
 
@@ -61,6 +61,11 @@ class Data:
         """The per-user feature table."""
         return features.fill_features(features.build_features(self.users, self.transactions_usd))
 
+    @cached_property
+    def stored_features(self) -> DataFrame:
+        """The feature table written once, for queries that scan it more than once."""
+        return materialise(self.features, "features")
+
     @cached_property
     def scored(self) -> DataFrame:
         """Every user with the fixed score of FIXTURES.md."""

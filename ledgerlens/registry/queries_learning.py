@@ -18,7 +18,7 @@ _XY = ["x1", "x2"]
 
 
 def standard_scale(d: Data) -> DataFrame:
-    scaled = feat.standard_scale(d.features.select("id", *NUMERIC_FEATURES), NUMERIC_FEATURES)
+    scaled = feat.standard_scale(d.stored_features.select("id", *NUMERIC_FEATURES), NUMERIC_FEATURES)
     long = feat.melt(scaled, ["id"], NUMERIC_FEATURES)
     return long.withColumn("value", F.round("value", _ROUND))
 
@@ -68,7 +68,7 @@ def pca_2d(d: Data) -> DataFrame:
 
 
 def train_model(d: Data) -> DataFrame:
-    return training.evaluate(training.train_model(materialise(d.features, "features")))
+    return training.evaluate(training.train_model(d.stored_features))
 
 
 def cv_auc_by_model(d: Data) -> DataFrame:
@@ -97,14 +97,14 @@ def _saved(d: Data, table: DataFrame):
 
 def save_load_pipeline(d: Data) -> DataFrame:
     """All users scored by a model that went through storage."""
-    table = materialise(d.features, "features")
+    table = d.stored_features
     pipeline, _ = _saved(d, table)
     return models.predict(pipeline, table).select("id", "score", "prediction")
 
 
 def score_users(d: Data) -> DataFrame:
     """All fraud users scored in one job, features rebuilt with the stored minimum date."""
-    pipeline, start = _saved(d, materialise(d.features, "features"))
+    pipeline, start = _saved(d, d.stored_features)
     asked = feat.user_feature_table_by_key(
         d.users, d.transactions, d.fx_rates, d.currency_details, d.fraudsters, start
     )
@@ -113,7 +113,7 @@ def score_users(d: Data) -> DataFrame:
 
 def pipeline_train_predict(d: Data) -> DataFrame:
     """The configured path end to end: features, split, balancing, forest, storage, all actions."""
-    table = materialise(d.features, "features")
+    table = d.stored_features
     pipeline, _ = _saved(d, table)
     return training.score_users(pipeline, table)
 

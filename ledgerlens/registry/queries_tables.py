@@ -202,7 +202,7 @@ def fill_na_by_config(d: Data) -> DataFrame:
 
 
 def one_hot(d: Data) -> DataFrame:
-    wide = features.one_hot(d.features.select("id", *CATEGORICAL_FEATURES), CATEGORICAL_FEATURES)
+    wide = features.one_hot(d.stored_features.select("id", *CATEGORICAL_FEATURES), CATEGORICAL_FEATURES)
     return features.melt(wide, ["id"], [c for c in wide.columns if c != "id"])
 
 
@@ -365,7 +365,7 @@ def user_feature_table_by_key(d: Data) -> DataFrame:
 
 
 def feature_label_matrix(d: Data) -> DataFrame:
-    matrix = features.model_matrix(d.features)
+    matrix = features.model_matrix(d.stored_features)
     return features.melt(matrix, ["id", "label"], [c for c in matrix.columns if c not in ("id", "label")])
 
 
@@ -469,7 +469,7 @@ _USER_COLUMNS = (
 for _c in _USER_COLUMNS:
     QUERIES[f"eda_categorical_{_c}"] = lambda d, c=_c: explore.eda_categorical(d.features, c)
 QUERIES["eda_categorical_country"] = lambda d: explore.eda_categorical(
-    facts.users_of_fraud_countries(d.features), "country"
+    facts.users_of_fraud_countries(d.stored_features), "country"
 )
 for _c in ("type", "state", "source", "entry_method"):
     QUERIES[f"eda_categorical_{_c}"] = lambda d, c=_c: explore.eda_categorical(
