@@ -86,7 +86,7 @@ def _search(queries: DataFrame, points: DataFrame, k: int) -> DataFrame:
 
     def search(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         if asked.empty or held.empty:
-            return pd.DataFrame({f: [] for f in ("qkey", "d2", "id", "label", "vec")})
+            return pd.DataFrame(columns=["qkey", "d2", "id", "label", "vec"], dtype=object)
         held = held.sort_values("id", kind="stable").reset_index(drop=True)
         p = np.stack(held["vec"].to_numpy())
         take = min(k, len(p))

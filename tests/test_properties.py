@@ -124,6 +124,17 @@ def test_neighbours_against_brute_force(spark, cell_rows, exclude):
     assert found == want
 
 
+@pytest.mark.parametrize("cell_rows", [1000, 15])
+def test_neighbours_of_far_away_queries(spark, cell_rows):
+    """Cells without queries and queries far from every cell."""
+    points = [(i, i % 2, float(i * i % 97)) for i in range(200)]
+    asked = [(1000 + i, 900.0 + i) for i in range(5)] + [(2000, -50.0), (2001, 10.5)]
+    df = spark.createDataFrame(points, "id long, label int, x double")
+    got = neighbours.nearest_neighbours(
+        spark.createDataFrame(asked, "id long, x double"), df, ["x"], 3, False, cell_rows)
+    assert {r.id: [n.id for n in r.neighbours] for r in got.collect()} == _brute(asked, points, 3, False)
+
+
 def test_neighbours_fewer_points_than_asked(spark):
     df = spark.createDataFrame([(1, 0, 0.0), (2, 1, 1.0)], "id long, label int, x double")
     got = neighbours.nearest_neighbours(df, df, ["x"], 5, True).collect()
