@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import mixing, packing, tokens, warc
+from ledgerlens.llm import ann, mixing, packing, tokens, topk, warc
 from ledgerlens.llm.common import n_words
 
 
@@ -31,11 +31,19 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op3_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", n_words(F.col("text")).alias("n_words"))
     return packing.pack(docs, "n_words")
 
 
+def op7_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = mixing.with_quality(
         table(spark, sf_dir, "documents").select("doc_id", "text", "source"), table(spark, sf_dir, "labels"))
@@ -45,7 +53,9 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_token_files": op2_token_files,
+    "op3_permutation_index": op3_permutation_index,
     "op6_packing": op6_packing,
+    "op7_threshold_topk": op7_threshold_topk,
     "op9_mixing": op9_mixing,
 }
 
@@ -65,6 +75,23 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
 FROM f
 """
 
+OP7_SQL = r"""
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+), r AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+    FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
 OP9_SQL = r"""
 WITH best AS (
     SELECT doc_id, max(quality) AS quality FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
@@ -105,7 +132,7 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
-ORACLES: dict[str, str] = {"op1_warc": OP1_SQL, "op9_mixing": OP9_SQL}
+ORACLES: dict[str, str] = {"op1_warc": OP1_SQL, "op7_threshold_topk": OP7_SQL, "op9_mixing": OP9_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
