@@ -7,6 +7,7 @@ import os
 import uuid
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,6 +46,16 @@ def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     )
 
 
+def slices(rows: pa.RecordBatch, column: str, most: int):
+    """The rows in runs of about ``most`` bytes of a binary column, one row at least."""
+    sizes = pc.cumulative_sum(pc.fill_null(pc.cast(pc.binary_length(rows.column(column)), pa.int64()), 0)).to_pylist()
+    start, base = 0, 0
+    for i, upto in enumerate(sizes):
+        if upto - base >= most or i == len(sizes) - 1:
+            yield rows.slice(start, i + 1 - start)
+            start, base = i + 1, upto
+
+
 def _file_system(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import ann, mixing, packing, tokens, topk, warc
+from ledgerlens.llm import ann, mixing, neardup, packing, tokens, topk, warc
 from ledgerlens.llm.common import n_words
 
 
@@ -35,6 +35,10 @@ def op3_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", n_words(F.col("text")).alias("n_words"))
     return packing.pack(docs, "n_words")
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_token_files": op2_token_files,
     "op3_permutation_index": op3_permutation_index,
+    "op5_near_duplicates": op5_near_duplicates,
     "op6_packing": op6_packing,
     "op7_threshold_topk": op7_threshold_topk,
     "op9_mixing": op9_mixing,

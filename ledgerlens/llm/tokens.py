@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import arrow, batch, files, utf8, write_once
+from ledgerlens.llm.common import arrow, batch, files, slices, utf8, write_once
 from ledgerlens.session import scratch_path
 
 MAGIC = b"DACTOK01"
@@ -28,7 +28,9 @@ WIDTH = 8
 RANK_BLOCK = 512  # bits of bitmap for each entry of its directory
 ROLL_TOKENS = 4_000_000
 END_ID = 1
-CACHE_WORDS = 600_000
+LEARN_BYTES = 4 << 20  # texts whose new words are learned together
+END_BYTES = END_ID.to_bytes(4, "little")
+CACHE_PIECES = 700_000
 
 MANIFEST = "file string, n_docs long, n_tokens long, n_bytes long, sha256 string"
 DOCS = "file string, doc_id long, local_start long, n_tokens long, ids_crc32 long"
@@ -134,54 +136,72 @@ class TokenFile:
         return self.codes.at(np.arange(self.starts[i], self.starts[i + 1]))
 
 
-_PLAIN = re.compile(rb"[!-~]+")
-# How the tokenizer's own file splits lower-cased ASCII text into pieces.
-_PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+# Texts of these characters are cut into pieces here: normal forms and lower case act on each alone.
+_LATIN = re.compile(r"[ -~\t-\r¡-ÿĀ-įı-ȹ]*")
+# How the tokenizer's own file splits lower-cased text into pieces, for these characters.
+_LETTERS, _DIGITS = "a-zªµºß-öø-ȹ", "0-9²³¹¼½¾"
+_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^\s{_LETTERS}{_DIGITS}]+")
+_BLANK = re.compile("[ \t-\r]+")
+_LINE = 64
 
 
 class WordEncoder:
-    """Ids of whole texts, word by word, each distinct word encoded once by the tokenizer.
+    """Ids of whole texts, each distinct piece of a text encoded once by the tokenizer.
 
-    The tokenizer drops white space and never joins what stands on its two sides, so a text's ids
-    are those of its words in turn. Words of printable ASCII are cut further into the pieces that
-    the tokenizer itself makes. The memory of words is emptied when it holds ``CACHE_WORDS``.
+    Latin text is cut into the pieces that the tokenizer itself makes: it never joins two of them.
+    Any other text is cut at white space, which the tokenizer drops, and its odd words are encoded
+    whole. Pieces are encoded many to a line and told apart by the mark that the vocabulary puts on
+    the last token of each. A memory that grows beyond ``CACHE_PIECES`` is emptied.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[bytes, tuple] = {}
-        self.pieces: dict[bytes, tuple] = {}
-
-    def _encode(self, texts: list[bytes]) -> list[tuple]:
-        found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
-        return [tuple(e.ids) for e in found]
-
-    def _learn(self, words: set[bytes]) -> None:
-        if len(self.words) + len(self.pieces) + 2 * len(words) > CACHE_WORDS:
-            self.words.clear()
-            self.pieces.clear()
-        plain, odd = [], []
-        for w in words:
-            (plain if _PLAIN.fullmatch(w) and b"<|" not in w else odd).append(w)
-        cut = [_PIECES.findall(w.lower()) for w in plain]
-        new = list({p for c in cut for p in c if p not in self.pieces})
-        self.pieces.update(zip(new, self._encode(new)))
-        for w, c in zip(plain, cut):
-            self.words[w] = self.pieces[c[0]] if len(c) == 1 else tuple(i for p in c for i in self.pieces[p])
-        self.words.update(zip(odd, self._encode(odd)))
-
-    def __call__(self, text: bytes) -> np.ndarray:
-        words = text.split()
-        missing = set(words).difference(self.words)
-        if missing:
-            self._learn(missing)
-            if any(w not in self.words for w in words):  # the memory was emptied just now
-                self._learn(set(words))
-        ids = [i for w in map(self.words.__getitem__, words) for i in w]
-        ids.append(END_ID)
-        return np.array(ids, dtype=np.uint32)
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.known: dict[str, bytes] = {}
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+
+    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        lines = [pieces[i:i + _LINE] for i in range(0, len(pieces), _LINE)]
+        out: list[bytes] = []
+        for line, ids in zip(lines, self._encode([" ".join(line) for line in lines])):
+            ends = 4 * (np.flatnonzero(self.last[np.frombuffer(ids, "<u4")]) + 1)
+            if len(ends) != len(line) or ends[-1] != len(ids):
+                out += self._encode(line)
+            else:
+                out += [ids[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
+        return out
+
+    def _cut(self, text: str, odd: set[str]) -> list[str]:
+        if _LATIN.fullmatch(text) and "<|" not in text:
+            return _PIECES.findall(text.lower())
+        out = []
+        for word in _BLANK.split(text):
+            if _LATIN.fullmatch(word) and "<|" not in word:
+                out += _PIECES.findall(word.lower())
+            else:
+                odd.add(word)
+                out.append(word)
+        return out
+
+    def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of each text, the end id last. What the texts have that is new is learned at once."""
+        odd: set[str] = set()
+        cuts = [self._cut(t.decode(), odd) for t in texts]
+        if len(self.known) > CACHE_PIECES:
+            self.known.clear()
+        new = set().union(*cuts).difference(self.known)
+        plain, whole = list(new - odd), list(new & odd)
+        self.known.update(zip(plain, self._encode_pieces(plain)))
+        self.known.update(zip(whole, self._encode(whole)))
+        get = self.known.__getitem__
+        return [np.frombuffer(b"".join(map(get, cut)) + END_BYTES, dtype="<u4") for cut in cuts]
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -221,14 +241,14 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, roll_tokens: int
             return batch(schema, *[[x] for x in row])
 
         for b in batches:
-            for doc_id, text in zip(b.column("doc_id"), b.column("text")):
-                found = encode(text.as_py())
-                doc_ids.append(doc_id.as_py())
-                lengths.append(len(found))
-                ids.append(found)
-                size += len(found)
-                if size >= roll_tokens:
-                    yield close()
+            for part_of in slices(b, "text", LEARN_BYTES):
+                for doc_id, found in zip(part_of.column("doc_id").to_pylist(), encode(part_of.column("text").to_pylist())):
+                    doc_ids.append(doc_id)
+                    lengths.append(len(found))
+                    ids.append(found)
+                    size += len(found)
+                    if size >= roll_tokens:
+                        yield close()
         if doc_ids:
             yield close()
 

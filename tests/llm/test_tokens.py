@@ -33,13 +33,15 @@ def _brute(rows):
 
 @pytest.mark.parametrize("cache", [600_000, 50])
 def test_word_memory_never_changes_ids(spark, sf_dir, cache, monkeypatch):
-    monkeypatch.setattr(tokens, "CACHE_WORDS", cache)
+    monkeypatch.setattr(tokens, "CACHE_PIECES", cache)
     encode = tokens.WordEncoder(registry.tokenizer_path())
     odd = ["it's DON'T we'LL x'sy <|endoftext|>a <|startoftext|>", "ﬁ é İI ǅ  a b\x1cc\u0085d", "áb 東京123 ​🙂🙂", "ΑΣ ΣΑΣ.", ""]
     texts = odd + [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").limit(40).collect()]
-    for t in texts:
+    together = encode([t.encode() for t in texts])
+    for t, also in zip(texts, together):
         want = _brute([(0, t)])[0]
-        got = encode(t.encode())
+        got = encode([t.encode()])[0]
+        assert got.tolist() == also.tolist()
         assert (len(got), zlib.crc32(got.astype("<u4").tobytes())) == want[2:], t[:80]
 
 
