@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import ann, mixing, neardup, packing, tokens, topk, warc
+from ledgerlens.llm import ann, mixing, neardup, packing, suffixes, tokens, topk, warc
 from ledgerlens.llm.common import n_words
 
 
@@ -48,6 +48,10 @@ def op7_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"))
 
 
+def op8_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digest(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = mixing.with_quality(
         table(spark, sf_dir, "documents").select("doc_id", "text", "source"), table(spark, sf_dir, "labels"))
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_near_duplicates": op5_near_duplicates,
     "op6_packing": op6_packing,
     "op7_threshold_topk": op7_threshold_topk,
+    "op8_suffix_repeats": op8_suffix_repeats,
     "op9_mixing": op9_mixing,
 }
 
