@@ -5,18 +5,66 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import packing
+from ledgerlens.llm import langid, mixing, neardup, packing, suffixes
 from ledgerlens.llm.common import n_words
 from ledgerlens.session import materialise
 
+# A text whose code is longer than eight bits a byte is in no learned language: plain bytes are shorter.
+MOST_BITS = 8.0
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents in a learned language; ``lang`` becomes the predicted one."""
+    models = langid.fit(docs, langid.held_out_column())
+    found = langid.identify(docs, models).filter(
+        (F.col("predicted.lang") != langid.UNKNOWN) & (F.col("predicted.bits") <= MOST_BITS))
+    return found.withColumn("lang", F.col("predicted.lang")).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of near duplicates.
+
+    Of rows that repeat an id one is kept; rows without id stay.
+    """
+    found = neardup.near_duplicates(docs.select("doc_id", "text"))
+    keep = found.filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    first = docs.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).join(keep, "doc_id", "left_semi")
+    return first.unionByName(docs.filter("doc_id IS NULL")).select(*docs.columns)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts passages that repeat out of the texts; a character that a cut goes through goes with it."""
+    found = suffixes.repeats(docs)
+    left = F.decode(suffixes.cut_out(F.col("text"), F.col("removed"), characters=True), "UTF-8")
+    text = F.when(F.size("removed") > 0, left).otherwise(F.decode("text", "UTF-8"))
+    return found.withColumn("text", text).withColumn(
+        "n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeats documents, or leaves them out, so that the sources meet their target weights."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    mixed = mixing.mix(mixing.with_quality(docs.select("doc_id", "text", "source"), labels))
+    times = mixed.filter("taken > 0").select(
+        F.col("doc_id").alias("_id"), (F.col("taken") / F.col("size")).cast("int").alias("_times")).distinct()
+    taken = docs.join(times, F.col("doc_id").eqNullSafe(F.col("_id")))
+    return taken.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts documents into sequences and places them in length buckets and batches."""
     return packing.pack(docs.select("doc_id", n_words(F.col("text")).alias("n_words")), "n_words")
 
 
-STAGES = [("packing", pack)]
+STAGES = [
+    ("language_id", language_id),
+    ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("mixing", mix_sources),
+    ("packing", pack),
+]
 
+# Code lengths, signatures and dynamic programming have no SQL; the tests compare with brute force.
 ORACLE_SQL = None
 
 

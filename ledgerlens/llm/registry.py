@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import ann, mixing, neardup, packing, suffixes, tokens, topk, warc
+from ledgerlens.llm import ann, langid, mixing, neardup, ngrams, packing, suffixes, tokens, topk, warc
 from ledgerlens.llm.common import n_words
 
 
@@ -35,6 +35,10 @@ def op3_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"))
 
 
+def op4_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.learn_and_score(table(spark, sf_dir, "documents"))
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -58,15 +62,25 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    models = langid.fit(docs, langid.held_out_column())
+    return langid.identify(docs.select("doc_id", "text"), models).select(
+        "doc_id", langid.held_out_column().alias("held_out"),
+        F.col("predicted.lang").alias("lang_pred"), F.col("predicted.score").alias("score"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_token_files": op2_token_files,
     "op3_permutation_index": op3_permutation_index,
+    "op4_ngram_trie": op4_ngram_trie,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_packing": op6_packing,
     "op7_threshold_topk": op7_threshold_topk,
     "op8_suffix_repeats": op8_suffix_repeats,
     "op9_mixing": op9_mixing,
+    "op10_language_id": op10_language_id,
 }
 
 OP1_SQL = r"""

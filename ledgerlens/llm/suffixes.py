@@ -380,8 +380,8 @@ def repeats(docs: DataFrame) -> DataFrame:
     return joined.withColumn("removed", ranges(F.octet_length("text"), F.col("marks"))).drop("marks", "uid")
 
 
-def cut_out(text: Column, ranges: Column) -> Column:
-    """The bytes outside the ranges, joined."""
+def cut_out(text: Column, ranges: Column, characters: bool = False) -> Column:
+    """The bytes outside the ranges, joined; with ``characters``, without bytes of a cut character."""
 
     @F.pandas_udf("binary")
     def cut(texts, found):
@@ -393,7 +393,10 @@ def cut_out(text: Column, ranges: Column) -> Column:
             for r in ranges:
                 kept.append(text[at:r["start"]])
                 at = r["stop"]
-            out.append(b"".join(kept) + text[at:])
+            kept.append(text[at:])
+            if characters and ranges is not None and len(ranges):
+                kept = [k.decode("utf-8", "ignore").encode() for k in kept]
+            out.append(b"".join(kept))
         return pd.Series(out)
 
     return cut(text, ranges)
