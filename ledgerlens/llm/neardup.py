@@ -33,8 +33,9 @@ CHUNKS, WIDE = 20, 5
 SIZE = CHUNKS * WIDE
 DISTANCE = 2 * CHUNKS - 1
 # Signatures of a pair at the similarity differ in 25 of 100 minima on average, standard deviation
-# 4.3; a candidate further apart than this cannot be a link but for 1 case in 10^8.
-FAR = 52
+# 4.3; a candidate further apart than this cannot be a link but for 1 case in 10^6.
+FAR = 48
+ROUNDS = 2
 SLICE_BYTES = 4 << 20
 
 SIGNED = "doc_id long, n_shingles long, digest binary, signature binary"
@@ -122,24 +123,42 @@ def filed_keys(signatures: np.ndarray) -> np.ndarray:
     return out.reshape(len(signatures), -1)
 
 
-def _buckets(keys, ids, groups):
-    """Members of keys that more than one has: start of its run for each, and the sorted columns."""
+def star_pairs(keys, ids, groups, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Each member with the centre of its key, if that is in another group.
+
+    In the first round (``salt`` 0) the centre is the member whose id hashes lowest, the same one for
+    as many keys as possible. Later it is a member of the key's largest group, another one for each
+    key and round, so that a document that is still apart meets many of the group.
+    """
+    keys, run, ids, groups = _mixed(keys, ids, groups)
+    if not len(ids):
+        return ids, ids
+    if salt:
+        order = np.lexsort((groups, run))
+        new = np.concatenate([[True], (run[order][1:] != run[order][:-1]) | (groups[order][1:] != groups[order][:-1])])
+        members = np.empty(len(ids), dtype=np.int64)
+        members[order] = np.diff(np.append(np.flatnonzero(new), len(ids)))[np.cumsum(new) - 1]
+        rank = _mix(ids.astype(np.uint64) * _MULTIPLY ^ _mix(keys ^ np.uint64(salt << 48)))
+        order = np.lexsort((rank, groups, -members, run))
+    else:
+        order = np.lexsort((_mix(ids.astype(np.uint64) * _MULTIPLY), run))
+    first = order[np.concatenate([[True], run[order][1:] != run[order][:-1]])]
+    centre, of = ids[first][run], groups[first][run]
+    keep = of != groups
+    return centre[keep], ids[keep]
+
+
+def _mixed(keys, ids, groups):
+    """Members of keys with two groups or more, and the number of each one's key."""
     order = np.lexsort((ids, keys))
     keys, ids, groups = keys[order], ids[order], groups[order]
-    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-    sizes = np.diff(np.concatenate([starts, [len(keys)]]))
-    return starts, sizes, ids, groups
-
-
-def star_pairs(keys, ids, groups) -> tuple[np.ndarray, np.ndarray]:
-    """Each member with the centre of its key: the member whose id hashes lowest."""
-    starts, sizes, ids, groups = _buckets(keys, ids, groups)
-    run = np.repeat(np.arange(len(starts)), sizes)
-    rank = _mix(ids.astype(np.uint64) * _MULTIPLY)
-    order = np.lexsort((rank, run))
-    centre = np.repeat(ids[order[starts]] if len(starts) else ids[:0], sizes)
-    keep = centre != ids
-    return centre[keep], ids[keep]
+    if not len(keys):
+        return keys, np.zeros(0, np.int64), ids, groups
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    several = np.minimum.reduceat(groups, starts) != np.maximum.reduceat(groups, starts)
+    keep = np.repeat(several, np.diff(np.append(starts, len(keys))))
+    run = np.repeat(np.cumsum(several) - 1, np.diff(np.append(starts, len(keys))))
+    return keys[keep], run[keep], ids[keep], groups[keep]
 
 
 def crossing_pairs(keys, ids, groups):
@@ -147,14 +166,11 @@ def crossing_pairs(keys, ids, groups):
 
     Members outside the key's largest group meet all members of other groups, in blocks.
     """
-    starts, sizes, ids, groups = _buckets(keys, ids, groups)
-    for s, n in zip(starts.tolist(), sizes.tolist()):
-        if n < 2:
-            continue
-        i, g = ids[s:s + n], groups[s:s + n]
-        names, where, count = np.unique(g, return_inverse=True, return_counts=True)
-        if len(names) < 2:
-            continue
+    _, run, ids, groups = _mixed(keys, ids, groups)
+    starts = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]])) if len(run) else []
+    for s, stop in zip(starts, np.append(starts[1:], len(run)) if len(run) else []):
+        i, g = ids[s:stop], groups[s:stop]
+        _, where, count = np.unique(g, return_inverse=True, return_counts=True)
         minor = np.flatnonzero(where != int(np.argmax(count)))
         for k in range(0, len(minor), 256):
             block = minor[k:k + 256]
@@ -194,8 +210,8 @@ def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return pairs[:, 0], pairs[:, 1]
 
 
-def candidates(signed: DataFrame, crossing: bool) -> DataFrame:
-    """Pairs ``a < b`` that share a key: with the key's centre, or between different groups."""
+def candidates(signed: DataFrame, crossing: bool = False, salt: int = 0) -> DataFrame:
+    """Pairs ``a < b`` of different groups that share a key: with the key's centre, or all of them."""
     parts = int(signed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     schema = arrow(PAIRS)
 
@@ -215,7 +231,7 @@ def candidates(signed: DataFrame, crossing: bool) -> DataFrame:
             if held:
                 yield batch(schema, *_distinct(*map(np.concatenate, zip(*held))))
         else:
-            yield batch(schema, *_distinct(*star_pairs(*columns)))
+            yield batch(schema, *_distinct(*star_pairs(*columns, salt)))
 
     return _filed(signed, parts).groupBy("part").applyInArrow(run, PAIRS).distinct()
 
@@ -292,7 +308,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     reps = materialise(same.groupBy("id").agg(F.min(F.struct("digest", "signature")).alias("x")).select(
         "id", F.col("x.signature").alias("signature")), "neardup-sets")
 
-    stars = materialise(candidates(reps.withColumn("grp", F.col("id")), crossing=False), "neardup-stars")
+    stars = materialise(candidates(reps.withColumn("grp", F.col("id"))), "neardup-stars")
     pairs = materialise(near(stars, reps), "neardup-pairs")
     texts = docs.join(_members(stars).select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
     sets = materialise(shingle_sets(texts, reps), "neardup-shingles")
@@ -302,11 +318,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     first = pairs.withColumn("_n", F.row_number().over(order)).filter("_n = 1")
     links = materialise(confirmed(first, sets), "neardup-links")
     links = materialise(links.unionByName(confirmed(_apart(pairs, components(links)), sets)), "neardup-links")
-    labels = components(links)
-    grouped = reps.join(_members(stars), "id", "left_semi").join(labels, "id", "left")
-    grouped = materialise(grouped.select("id", F.coalesce("component", "id").alias("grp"), "signature"), "neardup-groups")
-    rest = candidates(grouped, crossing=True).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
-    labels = components(links.unionByName(confirmed(near(rest, reps), sets)))
+    members = reps.join(_members(stars), "id", "left_semi")
+    # Further rounds let what is still apart meet others; the last one compares whatever is left.
+    for salt in range(1, ROUNDS + 1):
+        met = near(candidates(_grouped(members, components(links)), salt=salt), reps)
+        links = materialise(links.unionByName(confirmed(met, sets)), "neardup-links")
+    rest = near(candidates(_grouped(members, components(links)), crossing=True), reps)
+    labels = components(links.unionByName(confirmed(rest, sets)))
 
     # Copies lead to their representative, which leads to its component.
     named = same.select(F.col("n_shingles").alias("_n"), F.col("digest").alias("_d"), F.col("id").alias("_rep"))
@@ -317,6 +335,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def _grouped(members: DataFrame, labels: DataFrame) -> DataFrame:
+    grouped = members.join(labels, "id", "left").select("id", F.coalesce("component", "id").alias("grp"), "signature")
+    return materialise(grouped, "neardup-groups")
+
+
 def _members(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
 

@@ -31,8 +31,6 @@ REACH = LENGTH - ANCHOR  # how far before its anchor a passage may start
 SLICE_BYTES = 4 << 20
 RUN_BYTES = 24 << 20
 SAMPLE_DOCS = 2_000
-# A side with the places of all documents is broadcast up to this size, else Spark shuffles.
-BROADCAST_BYTES = 32 << 20
 
 FOUND = "part int, prints binary, contexts binary, docs binary, places binary"
 PLACES = "uid long, place int, sorted boolean"
@@ -144,11 +142,6 @@ def find_places(texts: DataFrame, parts: int) -> DataFrame:
     return texts.select("uid", "text").mapInArrow(run, FOUND).groupBy("part").applyInArrow(again, PLACES)
 
 
-def _joined(texts: DataFrame, lists: DataFrame, how: str) -> DataFrame:
-    size = lists.agg(F.sum(16 + 4 * F.size(lists.columns[1]))).first()[0] or 0
-    return texts.join(F.broadcast(lists) if size <= BROADCAST_BYTES else lists, "uid", how)
-
-
 def _common(a: bytes, b: bytes, known: int = 0) -> int:
     """Length of the common prefix, of which ``known`` bytes need no look."""
     n = min(len(a), len(b))
@@ -332,7 +325,7 @@ def sort_and_compare(texts: DataFrame, places: DataFrame, parts: int) -> DataFra
         if len(held) > 1:
             yield spans()
 
-    rows = _joined(texts, places, "inner").select("uid", "text", "places")
+    rows = texts.join(places, "uid").select("uid", "text", "places")
     return rows.mapInArrow(make_runs, RUNS).groupBy("part").applyInArrow(merge, SPANS)
 
 
@@ -376,7 +369,7 @@ def repeats(docs: DataFrame) -> DataFrame:
                 [(i["place"], i["stop"]) for i in m if i["stop"] is not None])]
             for n, m in zip(lengths, found)])
 
-    joined = _joined(texts, marks, "left")
+    joined = texts.join(marks, "uid", "left")
     return joined.withColumn("removed", ranges(F.octet_length("text"), F.col("marks"))).drop("marks", "uid")
 
 
