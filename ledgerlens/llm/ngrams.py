@@ -5,7 +5,7 @@ hashes and exact counts. Level k + 1 has, for every entry of level k in turn, it
 ascending order: an Elias-Fano sequence of pointers says where those of an entry begin, and a second
 one holds the successors relative to their context, made monotone by the context's number. An entry
 keeps its smoothed probability, and its weight as a context, as 8-bit codes of a table. Tasks map the
-files into memory and find a successor by searching between two pointers.
+files into memory and find a successor by its number relative to the context.
 
 Counts cover all training text. Higher orders keep n-grams that occur at least ``MIN_COUNT`` times;
 what the others have is left to the shorter context, so every distribution adds up to one.
@@ -42,13 +42,14 @@ class EliasFano:
 
     def __init__(self, n, low_bits, low, high, ranks):
         self.n, self.low_bits, self.low, self.high, self.ranks = n, low_bits, low, high, ranks
+        self.zeros = None
 
     @classmethod
     def encode(cls, values: np.ndarray) -> EliasFano:
         values = np.asarray(values, dtype=np.uint64)
         n = len(values)
         top = int(values[-1]) + 1 if n else 1
-        low_bits = 8 * (max(0, (top // max(n, 1)).bit_length() - 1) // 8)
+        low_bits = 8 * -(-max(0, (top // max(n, 1)).bit_length() - 1) // 8)
         low = [(values >> np.uint64(8 * i)).astype(np.uint8) for i in range(low_bits // 8)]
         upper = (values >> np.uint64(low_bits)).astype(np.int64)
         size = int(upper[-1]) + n + 1 if n else 1
@@ -63,11 +64,45 @@ class EliasFano:
         index = np.asarray(index, dtype=np.int64)
         word = np.searchsorted(self.ranks, index, side="right") - 1
         place = _select(self.high[word], index - self.ranks[word])
-        out = (word * 64 + place - index).astype(np.uint64) << np.uint64(self.low_bits)
+        return (word * 64 + place - index).astype(np.uint64) << np.uint64(self.low_bits) | self._lows(index)
+
+    def _lows(self, index: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(index), dtype=np.uint64)
         for i in range(self.low_bits // 8):
             out |= self.low[i * self.n + index].astype(np.uint64) << np.uint64(8 * i)
         return out
 
+    def _zero(self, number: np.ndarray) -> np.ndarray:
+        """Place of the zero with that number in the high part: where the values of an upper part end."""
+        if self.zeros is None:
+            self.zeros = 64 * np.arange(len(self.ranks), dtype=np.int64) - self.ranks
+        word = np.searchsorted(self.zeros, number, side="right") - 1
+        return word * 64 + _select(~self.high[word], number - self.zeros[word])
+
+    def find(self, values: np.ndarray) -> np.ndarray:
+        """Position of each value, -1 where it is missing: the successor search stays among those
+        that share its upper part and compares the low parts alone."""
+        out = np.full(len(values), -1)
+        if not self.n:
+            return out
+        upper = (values >> np.uint64(self.low_bits)).astype(np.int64)
+        rows = np.flatnonzero(upper < 64 * len(self.high) - self.n)
+        upper = upper[rows]
+        low = np.where(upper > 0, self._zero(np.maximum(upper - 1, 0)) - upper + 1, 0)
+        stop = self._zero(upper) - upper
+        wanted = values[rows] & np.uint64((1 << self.low_bits) - 1)
+        high, left = stop.copy(), np.flatnonzero(low < stop)
+        while len(left):
+            middle = (low[left] + high[left]) >> 1
+            less = self._lows(middle) < wanted[left]
+            low[left] = np.where(less, middle + 1, low[left])
+            high[left] = np.where(less, high[left], middle)
+            left = left[low[left] < high[left]]
+        inside = np.flatnonzero(low < stop)
+        hit = inside[self._lows(low[inside]) == wanted[inside]]
+        out[rows[hit]] = low[hit]
+        return out
+
     def to_bytes(self) -> bytes:
         head = struct.pack("<QQQ", self.n, self.low_bits, len(self.high))
         pad = b"\0" * (-len(self.low) % 8)
@@ -245,22 +280,13 @@ class Level:
         return _pack(EliasFano.encode(pointers), EliasFano.encode(relative), np.array([span], "<i8"), codes, table, weight_codes, weight_table)
 
     def find(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Entry of each successor between its context's pointers, -1 where there is none."""
-        low = self.pointers.get(context).astype(np.int64)
-        stop = self.pointers.get(context + 1).astype(np.int64)
-        high, wanted = stop.copy(), context.astype(np.uint64) * np.uint64(self.span) + word.astype(np.uint64)
-        rows = np.flatnonzero(low < high)
-        while len(rows):
-            middle = (low[rows] + high[rows]) >> 1
-            less = self.followers.get(middle) < wanted[rows]
-            low[rows] = np.where(less, middle + 1, low[rows])
-            high[rows] = np.where(less, high[rows], middle)
-            rows = rows[low[rows] < high[rows]]
-        out = np.full(len(context), -1)
-        inside = np.flatnonzero(low < stop)
-        hit = self.followers.get(low[inside]) == wanted[inside]
-        out[inside[hit]] = low[inside[hit]]
-        return out
+        """Entry of each successor of its context, -1 where there is none."""
+        return self.followers.find(context.astype(np.uint64) * np.uint64(self.span) + word.astype(np.uint64))
+
+    def successors(self, context: int) -> np.ndarray:
+        """Words after a context, ascending: what lies between its pointers."""
+        start, stop = self.pointers.get(np.array([context, context + 1])).astype(np.int64)
+        return (self.followers.get(np.arange(start, stop)) - np.uint64(context * self.span)).astype(np.int64)
 
     def log(self, entry: np.ndarray) -> np.ndarray:
         return self.table[self.codes[entry]]

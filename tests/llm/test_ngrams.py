@@ -15,6 +15,17 @@ def test_elias_fano(values):
     values = sorted(values)
     ef, _ = ngrams.EliasFano.from_buffer(ngrams.EliasFano.encode(np.array(values, dtype=np.uint64)).to_bytes(), 0)
     assert ef.get(np.arange(len(values))).tolist() == values
+    asked = np.array([*values, *(v + 1 for v in values), 0, 7, 2**46], dtype=np.uint64)
+    assert ef.find(asked).tolist() == [values.index(v) if v in values else -1 for v in asked.tolist()]
+
+
+def test_level_keeps_the_successors_of_each_context():
+    context, word = np.array([0, 0, 2, 2, 2]), np.array([3, 9, 0, 4, 9])
+    data = ngrams.Level.encode(context, word, 4, 10, np.log10([.1, .2, .3, .4, .5]), *ngrams.quantise(np.zeros(4)))
+    level = ngrams.Level(ngrams.Reader(data))
+    assert [level.successors(c).tolist() for c in range(4)] == [[3, 9], [], [0, 4, 9], []]
+    assert level.find(np.array([0, 1, 2, 2, 3]), np.array([9, 9, 4, 5, 0])).tolist() == [1, -1, 3, -1, -1]
+    assert level.log(np.array([3])) == np.log10(.4)
 
 
 def brute(rows, order=3, least=2, d=0.75):
