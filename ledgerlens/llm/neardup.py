@@ -35,11 +35,15 @@ DISTANCE = 2 * CHUNKS - 1
 # Signatures of a pair at the similarity differ in 25 of 100 minima on average, standard deviation
 # 4.3; a candidate further apart than this cannot be a link but for 1 case in 10^6.
 FAR = 48
+# Of 64 minima in four bits 15 differ on average, standard deviation 3.4: beyond this 1 case in 10^6.
+SKETCHED, SKETCH_FAR = 64, 33
 ROUNDS = 2
+BLOCK = 256  # documents of a home that are compared in one task with those of another block
 SLICE_BYTES = 4 << 20
 
 SIGNED = "doc_id long, n_shingles long, digest binary, signature binary"
-FILED = "part int, keys binary, ids binary, groups binary"
+FILED = "part int, keys binary, ids binary, groups binary, homes binary, blocks binary, sketches binary"
+LEFT = "home long, x long, y long, a long, b long"
 PAIRS = "a long, b long"
 
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
@@ -130,7 +134,10 @@ def star_pairs(keys, ids, groups, salt: int = 0) -> tuple[np.ndarray, np.ndarray
     as many keys as possible. Later it is a member of the key's largest group, another one for each
     key and round, so that a document that is still apart meets many of the group.
     """
-    keys, run, ids, groups = _mixed(keys, ids, groups)
+    order = np.lexsort((ids, keys))
+    keys = keys[order]
+    kept, run, ids, groups = _mixed_rows(keys, ids[order], groups[order])
+    keys = keys[kept]
     if not len(ids):
         return ids, ids
     if salt:
@@ -148,39 +155,68 @@ def star_pairs(keys, ids, groups, salt: int = 0) -> tuple[np.ndarray, np.ndarray
     return centre[keep], ids[keep]
 
 
-def _mixed(keys, ids, groups):
-    """Members of keys with two groups or more, and the number of each one's key."""
-    order = np.lexsort((ids, keys))
-    keys, ids, groups = keys[order], ids[order], groups[order]
+def _mixed_rows(keys, ids, groups):
+    """Of rows in the order of keys: those of keys with two groups or more, and the number of each one's key."""
     if not len(keys):
-        return keys, np.zeros(0, np.int64), ids, groups
+        return np.zeros(0, bool), np.zeros(0, np.int64), ids, groups
     starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     several = np.minimum.reduceat(groups, starts) != np.maximum.reduceat(groups, starts)
-    keep = np.repeat(several, np.diff(np.append(starts, len(keys))))
-    run = np.repeat(np.cumsum(several) - 1, np.diff(np.append(starts, len(keys))))
-    return keys[keep], run[keep], ids[keep], groups[keep]
+    sizes = np.diff(np.append(starts, len(keys)))
+    keep = np.repeat(several, sizes)
+    return keep, np.repeat(np.cumsum(several) - 1, sizes)[keep], ids[keep], groups[keep]
+
+
+def sketch(signatures: np.ndarray) -> np.ndarray:
+    """Four bits of 64 of the minima in four numbers: enough to turn most strangers away."""
+    bits = (signatures[:, :SKETCHED] & 15).astype(np.uint64).reshape(len(signatures), SKETCHED // 16, 16)
+    return (bits << np.arange(0, 64, 4, dtype=np.uint64)).sum(axis=2, dtype=np.uint64)
+
 
+def sketch_distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    d = x ^ y
+    d = (d | d >> np.uint64(1) | d >> np.uint64(2) | d >> np.uint64(3)) & np.uint64(0x1111111111111111)
+    return np.bitwise_count(d).sum(axis=-1)
 
-def crossing_pairs(keys, ids, groups):
-    """Yields pairs of one key that lie in different groups; the largest group's own pairs never arise.
 
-    Members outside the key's largest group meet all members of other groups, in blocks.
+def crossing(keys, ids, groups, homes, blocks, sketches) -> tuple[np.ndarray, np.ndarray]:
+    """What is left to compare: pairs of one key in different groups, the largest group's own never.
+
+    Members of one home are told as units ``(home, block, block)`` that are compared as a whole, so a
+    large group of documents that stay apart gives a few blocks instead of all its pairs. Members of
+    different homes are told as pairs.
     """
-    _, run, ids, groups = _mixed(keys, ids, groups)
-    starts = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]])) if len(run) else []
-    for s, stop in zip(starts, np.append(starts[1:], len(run)) if len(run) else []):
-        i, g = ids[s:stop], groups[s:stop]
+    order = np.lexsort((ids, keys))
+    homes, blocks, sketches = homes[order], blocks[order], sketches[order]
+    keep, run, ids, groups = _mixed_rows(keys[order], ids[order], groups[order])
+    homes, blocks, sketches = homes[keep], blocks[keep], sketches[keep]
+    units, pairs = [], []
+    if not len(ids):
+        return np.zeros((0, 3), np.int64), np.zeros((0, 2), np.int64)
+    starts = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
+    same = lambda x: np.minimum.reduceat(x, starts) == np.maximum.reduceat(x, starts)
+    simple = same(homes) & same(blocks)
+    units.append(np.stack([homes[starts], blocks[starts], blocks[starts]], axis=1)[simple])
+    for s, stop in zip(starts[~simple].tolist(), np.append(starts[1:], len(run))[~simple].tolist()):
+        i, g, h, b, marks = ids[s:stop], groups[s:stop], homes[s:stop], blocks[s:stop], sketches[s:stop]
         _, where, count = np.unique(g, return_inverse=True, return_counts=True)
         minor = np.flatnonzero(where != int(np.argmax(count)))
+        for home in np.unique(h[minor]):
+            x, y = np.unique(b[minor[h[minor] == home]]), np.unique(b[h == home])
+            x, y = np.repeat(x, len(y)), np.tile(y, len(x))
+            units.append(np.stack([np.full(len(x), home), np.minimum(x, y), np.maximum(x, y)], axis=1))
         for k in range(0, len(minor), 256):
-            block = minor[k:k + 256]
-            left, right = np.nonzero(g[block][:, None] != g[None, :])
-            yield i[block[left]], i[right]
+            part = minor[k:k + 256]
+            left, right = np.nonzero((h[part][:, None] != h[None, :]) & (g[part][:, None] != g[None, :]))
+            close = sketch_distance(marks[part[left]], marks[right]) <= SKETCH_FAR
+            pairs.append(np.stack(_distinct(i[part[left[close]]], i[right[close]]), axis=1))
+    distinct = lambda x, n: np.unique(np.concatenate(x), axis=0) if x else np.zeros((0, n), np.int64)
+    return distinct(units, 3), distinct(pairs, 2)
 
 
 def _filed(signed: DataFrame, parts: int) -> DataFrame:
-    """Keys of ``signed`` (``id, group, signature``) as blobs for each of ``parts`` groups of keys."""
+    """Keys of ``signed`` (``id, grp, signature``, maybe ``home, block``) as blobs for each of ``parts``."""
     schema = arrow(FILED)
+    numbers = [c for c in ("id", "grp", "home", "block") if c in signed.columns]
 
     def run(batches):
         for b in batches:
@@ -188,21 +224,24 @@ def _filed(signed: DataFrame, parts: int) -> DataFrame:
                 some = b.slice(i, 4096)
                 data = np.frombuffer(b"".join(some.column("signature").to_pylist()), dtype=np.uint8).reshape(-1, SIZE)
                 keys = filed_keys(data).ravel()
-                ids = np.repeat(some.column("id").to_numpy(), CHUNKS * WIDE)
-                groups = np.repeat(some.column("grp").to_numpy(), CHUNKS * WIDE)
+                columns = [np.repeat(some.column(c).to_numpy(), CHUNKS * WIDE) for c in numbers]
                 part = (_mix(keys) % np.uint64(parts)).astype(np.int64)
                 order = np.lexsort((keys, part))
                 cuts = np.searchsorted(part[order], np.arange(parts + 1))
                 found = [(p, order[x:y]) for p, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x]
-                yield batch(schema, [p for p, _ in found], [keys[o].tobytes() for _, o in found],
-                            [ids[o].tobytes() for _, o in found], [groups[o].tobytes() for _, o in found])
+                blobs = [[c[o].tobytes() for _, o in found] for c in (keys, *columns)]
+                if "home" in numbers:
+                    marks = np.repeat(sketch(data), CHUNKS * WIDE, axis=0)
+                    blobs.append([marks[o].tobytes() for _, o in found])
+                blobs += [[b""] * len(found)] * (6 - len(blobs))
+                yield batch(schema, [p for p, _ in found], *blobs)
 
-    return signed.select("id", "grp", "signature").mapInArrow(run, FILED)
+    return signed.select(*numbers, "signature").mapInArrow(run, FILED)
 
 
 def _read_filed(table: pa.Table):
     join = lambda c, t: np.frombuffer(b"".join(table.column(c).to_pylist()), dtype=t)
-    return join("keys", np.uint64), join("ids", np.int64), join("groups", np.int64)
+    return join("keys", np.uint64), *(join(c, np.int64) for c in ("ids", "groups", "homes", "blocks")), join("sketches", np.uint64).reshape(-1, SKETCHED // 16)
 
 
 def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -210,32 +249,71 @@ def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return pairs[:, 0], pairs[:, 1]
 
 
-def candidates(signed: DataFrame, crossing: bool = False, salt: int = 0) -> DataFrame:
-    """Pairs ``a < b`` of different groups that share a key: with the key's centre, or all of them."""
+def candidates(signed: DataFrame, salt: int = 0) -> DataFrame:
+    """Pairs ``a < b`` of different groups that share a key, one side being the key's centre."""
     parts = int(signed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     schema = arrow(PAIRS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = _read_filed(pa.Table.from_batches(list(batches)))
-        if crossing:
-            held, size = [], 0
-            for a, b in crossing_pairs(*columns):
-                held.append((a, b))
-                size += len(a)
-                if size > 1_000_000:
-                    held = [_distinct(*map(np.concatenate, zip(*held)))]
-                    size = len(held[0][0])
-                    if size > 500_000:
-                        yield batch(schema, *held.pop())
-                        size = 0
-            if held:
-                yield batch(schema, *_distinct(*map(np.concatenate, zip(*held))))
-        else:
-            yield batch(schema, *_distinct(*star_pairs(*columns, salt)))
+        yield batch(schema, *_distinct(*star_pairs(*columns[:3], salt)))
 
     return _filed(signed, parts).groupBy("part").applyInArrow(run, PAIRS).distinct()
 
 
+def left_over(signed: DataFrame) -> DataFrame:
+    """Units ``home, x, y`` and pairs ``a, b`` that are still to be compared: see ``crossing``."""
+    parts = int(signed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    schema = arrow(LEFT)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units, pairs = crossing(*_read_filed(pa.Table.from_batches(list(batches))))
+        none = lambda n: pa.nulls(n, pa.int64())
+        yield batch(schema, units[:, 0], units[:, 1], units[:, 2], none(len(units)), none(len(units)))
+        yield batch(schema, *[none(len(pairs))] * 3, pairs[:, 0], pairs[:, 1])
+
+    return _filed(signed, parts).groupBy("part").applyInArrow(run, LEFT).distinct()
+
+
+def links_of_units(units: DataFrame, placed: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links ``u, v`` between different groups of the two blocks of each unit, on full sets."""
+    ddl = "u long, v long"
+    schema = arrow(ddl)
+    full = placed.join(sets, "id")
+
+    def side(name: str, number: int) -> DataFrame:
+        some = units if name == "x" else units.filter("x <> y")
+        block = full.withColumnRenamed("home", "_home").withColumnRenamed("block", "_block")
+        return some.join(block, (F.col("home") == F.col("_home")) & (F.col(name) == F.col("_block"))).select(
+            "home", "x", "y", F.lit(number).alias("side"), "id", "grp", "signature", "hashes")
+
+    def compare(table: pa.Table) -> pa.Table:
+        side, ids, groups = (table.column(c).to_numpy() for c in ("side", "id", "grp"))
+        marks = np.frombuffer(b"".join(table.column("signature").to_pylist()), dtype=np.uint8).reshape(-1, SIZE)
+        hashes = [np.frombuffer(h.as_buffer(), dtype=np.uint64) for h in table.column("hashes")]
+        left = np.flatnonzero(side == 0)
+        right = np.flatnonzero(side == 1) if (side == 1).any() else left
+        found: list[tuple[int, int]] = []
+        for i in left:
+            others = right[(groups[right] != groups[i]) & ((marks[right] != marks[i]).sum(axis=1) <= FAR)]
+            if right is left:
+                others = others[others > i]
+            found += [(int(ids[i]), int(ids[j])) for j in others if similar(hashes[i], hashes[j], percent)]
+        return pa.Table.from_batches([batch(schema, *(map(list, zip(*found)) if found else ([], [])))])
+
+    return side("x", 0).unionByName(side("y", 1)).groupBy("home", "x", "y").applyInArrow(compare, ddl)
+
+
+def similar(x: np.ndarray, y: np.ndarray, percent: int = PERCENT) -> bool:
+    """Whether 100 * intersection >= percent * union of two sorted sets."""
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    both = np.concatenate([x, y])
+    both.sort()
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(both) - common)
+
+
 def near(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     """Adds ``distance`` of the signatures and drops pairs too far apart to be a link."""
     side = lambda name: signed.select(F.col("id").alias(name), F.col("signature").alias(f"s{name}"))
@@ -274,16 +352,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Data
 
     def run(batches):
         for b in batches:
-            keep = []
-            for x, y in zip(b.column("ha"), b.column("hb")):
-                x, y = (np.frombuffer(s.as_buffer(), dtype=np.uint64) for s in (x, y))
-                if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                    keep.append(False)
-                    continue
-                both = np.concatenate([x, y])
-                both.sort()
-                common = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * common >= percent * (len(both) - common))
+            view = lambda h: np.frombuffer(h.as_buffer(), dtype=np.uint64)
+            keep = [similar(view(x), view(y), percent) for x, y in zip(b.column("ha"), b.column("hb"))]
             keep = pa.array(keep, type=pa.bool_())
             yield batch(schema, b.column("a").filter(keep), b.column("b").filter(keep))
 
@@ -323,8 +393,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     for salt in range(1, ROUNDS + 1):
         met = near(candidates(_grouped(members, components(links)), salt=salt), reps)
         links = materialise(links.unionByName(confirmed(met, sets)), "neardup-links")
-    rest = near(candidates(_grouped(members, components(links)), crossing=True), reps)
-    labels = components(links.unionByName(confirmed(rest, sets)))
+    # Documents whose signatures are near have one home, which is cut into blocks.
+    grouped = _grouped(members, components(links))
+    homes = components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    sizes = homes.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    places = homes.join(sizes, "component").select("id", F.col("component").alias("home"), F.pmod(F.xxhash64("id"), "blocks").alias("block"))
+    placed = materialise(grouped.join(places, "id", "left").select(
+        "id", "grp", "signature", F.coalesce("home", "id").alias("home"), F.coalesce("block", F.lit(0)).cast("long").alias("block")), "neardup-placed")
+    left = materialise(left_over(placed), "neardup-left")
+    inside = links_of_units(left.filter("home IS NOT NULL").select("home", "x", "y"), placed, sets)
+    across = confirmed(near(left.filter("a IS NOT NULL").select("a", "b"), reps), sets)
+    labels = components(links.unionByName(inside).unionByName(across))
 
     # Copies lead to their representative, which leads to its component.
     named = same.select(F.col("n_shingles").alias("_n"), F.col("digest").alias("_d"), F.col("id").alias("_rep"))
