@@ -85,14 +85,21 @@ def minor_units_to_usd(
     return applied * _col(amount) / F.pow(F.lit(10.0), _col(exponent))
 
 
-def stable_avg(value: Column | str, scale: int = 6) -> Column:
-    """Mean whose result does not depend on row order, task layout or retries.
+def stable_avg(value: Column | str) -> Column:
+    """Plain mean; nothing is cut from the values.
 
-    Values are summed as decimals with ``scale`` places, then divided once.
+    Where all of them are decimals of at most 18 places they are summed as such, so that the result
+    does not depend on row order, task layout or retries. Other values are averaged as doubles.
     """
-    value = _col(value)
-    total = F.sum(value.cast(f"decimal({18 + scale},{scale})")).cast("double")
-    return total / F.nullif(F.count(value), F.lit(0))
+    value = _col(value).cast("double")
+    exact = value.try_cast("decimal(38,18)")
+
+    def number(c: Column) -> Column:
+        return c.cast("string").cast("double")  # by way of text: the direct cast is off by a bit
+
+    whole = F.bool_and(number(exact).eqNullSafe(value))
+    mean = number(F.try_sum(exact)) / F.nullif(F.count(value), F.lit(0))
+    return F.coalesce(F.when(whole, mean), F.avg(value))
 
 
 def pct_round(share: Column | str) -> Column:

@@ -20,7 +20,7 @@ from ledgerlens.plans import training
 from ledgerlens.plans.report import users_first_tx_over_10usd
 from ledgerlens.session import build_session, materialise
 from ledgerlens.settings import TABLE_COLUMNS, JobSettings
-from ledgerlens.sources.files import scan_table
+from ledgerlens.sources.files import scan_table, write_table
 from ledgerlens.sources.load import load_all_tables
 
 
@@ -53,20 +53,22 @@ def run_training(spark: SparkSession, settings: JobSettings) -> DataFrame:
     return training.evaluate(trained)
 
 
-def run_scoring(spark: SparkSession, settings: JobSettings, keys: DataFrame) -> DataFrame:
-    """Actions for the given users, with the saved model and its minimum date."""
+def run_scoring(spark: SparkSession, settings: JobSettings, keys: DataFrame | None = None) -> DataFrame:
+    """Actions for the given users, or for all, with the saved model and its minimum date."""
     t = tables(spark, settings)
     pipeline, start = training.load_pipeline(spark, settings.model_dir)
-    features = user_feature_table_by_key(
-        t["users"], t["transactions"], t["fx_rates"], t["currency_details"], keys, start
-    )
+    source = (t["users"], t["transactions"], t["fx_rates"], t["currency_details"])
+    if keys is None:
+        features = user_feature_table(*source, start)
+    else:
+        features = user_feature_table_by_key(*source, keys, start)
     return training.score_users(pipeline, features)
 
 
 def parse_arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description="Load tables, report, train and score")
     parser.add_argument("-t", "--type", default="all", choices=["all", "load_db", "model"])
-    parser.add_argument("-k", "--key", nargs="*", default=[], help="users to score")
+    parser.add_argument("-k", "--key", nargs="*", default=[], help="users to score; all without it")
     parser.add_argument("--mode", default="train", choices=["train", "predict"])
     parser.add_argument("--data", required=True, help="folder of the raw files")
     parser.add_argument("--warehouse", required=True, help="folder of the tables")
@@ -94,9 +96,10 @@ def main(argv: list[str] | None = None) -> None:
     if args.type in ("all", "model"):
         if settings.model.mode == "train":
             run_training(spark, settings).show(100, truncate=False)
-        if args.key:
-            keys = spark.createDataFrame([(k,) for k in args.key], "id string")
-            run_scoring(spark, settings, keys).show(truncate=False)
+        keys = spark.createDataFrame([(k,) for k in args.key], "id string") if args.key else None
+        scores = f"{settings.warehouse}/scores"
+        write_table(run_scoring(spark, settings, keys), scores)
+        spark.read.parquet(scores).show(truncate=False)  # a first look; all rows are in the folder
 
 
 if __name__ == "__main__":

@@ -24,9 +24,11 @@ WHISKER = 1.5
 # --- contingency tables --------------------------------------------------------------------------
 
 def crosstab_counts(df: DataFrame, row: str, col: str) -> DataFrame:
-    """``(row_value, col_value, n)`` with margins named All; missing cells are absent.
+    """``(row_value, col_value, margin, n)`` with margins named All; missing cells are absent.
 
-    The data are counted once; the margins come from the small table of counts.
+    ``margin`` tells them from real values of that name: 0 a cell, 1 summed over the column values,
+    2 over the row values, 3 over both. The data are counted once; the margins come from the small
+    table of counts.
     """
     cells = (
         df.where(F.col(row).isNotNull() & F.col(col).isNotNull())
@@ -35,10 +37,11 @@ def crosstab_counts(df: DataFrame, row: str, col: str) -> DataFrame:
     )
     return (
         cells.cube("row_value", "col_value")
-        .agg(F.sum("n").alias("total"))
+        .agg(F.grouping_id().cast("int").alias("margin"), F.sum("n").alias("total"))
         .select(
-            F.coalesce("row_value", F.lit(ALL)).alias("row_value"),
-            F.coalesce("col_value", F.lit(ALL)).alias("col_value"),
+            F.when(F.col("margin") >= 2, ALL).otherwise(F.col("row_value")).alias("row_value"),
+            F.when(F.col("margin") % 2 == 1, ALL).otherwise(F.col("col_value")).alias("col_value"),
+            "margin",
             F.col("total").alias("n"),
         )
     )
@@ -46,8 +49,8 @@ def crosstab_counts(df: DataFrame, row: str, col: str) -> DataFrame:
 
 def _shares(df: DataFrame, row: str, col: str) -> DataFrame:
     """Share of each column value within its row, the All row included."""
-    counts = crosstab_counts(df, row, col).where(F.col("col_value") != ALL)
-    within = Window.partitionBy("row_value")
+    counts = crosstab_counts(df, row, col).where(F.col("margin") % 2 == 0)
+    within = Window.partitionBy("row_value", "margin")
     return counts.withColumn("share", F.col("n") / F.sum("n").over(within))
 
 
@@ -55,14 +58,24 @@ def crosstab_row_pct(df: DataFrame, row: str, col: str) -> DataFrame:
     return _shares(df, row, col).select("row_value", "col_value", pct_round("share").alias("pct"))
 
 
-def crosstab_wide(df: DataFrame, row: str, col: str, values: list[str]) -> DataFrame:
-    """Counts with one column per value of ``col`` plus All; a missing cell is 0."""
+def crosstab_wide(df: DataFrame, row: str, col: str) -> DataFrame:
+    """Counts with one column per value of ``col`` found in the data, plus All; a missing cell is 0.
+
+    Where a value is called All, the margin's column is All_.
+    """
+    counts = materialise(crosstab_counts(df, row, col), "crosstab")
+    values = sorted(r[0] for r in counts.where("margin = 0").select("col_value").distinct().collect())
+    total = ALL
+    while total in values:
+        total += "_"
+    named = F.when(F.col("margin") % 2 == 1, total).otherwise(F.col("col_value"))
     return (
-        crosstab_counts(df, row, col)
-        .groupBy("row_value")
-        .pivot("col_value", [*values, ALL])
+        counts.withColumn("_named", named)
+        .groupBy("row_value", (F.col("margin") >= 2).alias("_margin"))
+        .pivot("_named", [*values, total])
         .agg(F.sum("n"))
         .fillna(0)
+        .drop("_margin")
     )
 
 

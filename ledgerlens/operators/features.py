@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,9 +25,6 @@ from ledgerlens.settings import (
 )
 from ledgerlens.sources.files import scan_table_by_key
 
-# One-hot columns are wide; a column with more values than this is not a category.
-MAX_CATEGORIES = 1000
-
 
 def min_created_date(users: DataFrame) -> DataFrame:
     return users.agg(F.min("created_date").alias("min_date"))
@@ -130,15 +128,13 @@ def user_feature_table_by_key(
 def categories(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
     """Sorted values of each categorical column, found in one pass.
 
-    Only distinct values reach the driver, and only up to ``MAX_CATEGORIES`` per column.
+    Each value is to become a column, so the values, and nothing else, reach the driver. For a column
+    with very many of them ``one_hot_vector`` makes no columns.
     """
     pairs = F.array(
         *[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in columns]
     )
-    limit = MAX_CATEGORIES * len(columns)
-    rows = df.select(F.inline(pairs)).where("value IS NOT NULL").distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} distinct values in {columns}: not categorical")
+    rows = df.select(F.inline(pairs)).where("value IS NOT NULL").distinct().collect()
     found: dict[str, list[str]] = {c: [] for c in columns}
     for name, value in sorted(rows):
         found[name].append(value)
@@ -167,6 +163,21 @@ def one_hot(
     return df.selectExpr(*kept, *dummies)
 
 
+def one_hot_vector(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Each column replaced by a sparse vector with a place for every value in sorted order.
+
+    For any number of values; NULL has a place of its own, the last one.
+    """
+    names = [f"_{c}_at" for c in columns]
+    texts = df.withColumns({c: F.col(c).cast("string") for c in columns})
+    places = StringIndexer(
+        inputCols=columns, outputCols=names, stringOrderType="alphabetAsc", handleInvalid="keep"
+    ).fit(texts)
+    placed = places.transform(texts).drop(*columns)
+    coder = OneHotEncoder(inputCols=names, outputCols=columns, dropLast=False)
+    return coder.fit(placed).transform(placed).drop(*names)
+
+
 def align_columns(df: DataFrame, columns: list[str], fill: float = 0.0) -> DataFrame:
     """Exactly the training columns in their order; one that is missing gets the fill value."""
     have = set(df.columns)

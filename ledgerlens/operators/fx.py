@@ -96,11 +96,11 @@ def inner_join_currency(df: DataFrame, currency_details: DataFrame) -> DataFrame
 # --- mean of the nearest day ---------------------------------------------------------------------
 
 def daily_mean_fx(fx_rates: DataFrame) -> DataFrame:
-    """Mean USD-based rate per (nearest day, currency); rates count with twelve decimals."""
+    """Mean USD-based rate per (nearest day, currency)."""
     return (
         filter_base_usd(fx_rates)
         .groupBy(nearest_day("ts").alias("day"), "ccy")
-        .agg(stable_avg("rate", 12).alias("rate"))
+        .agg(stable_avg("rate").alias("rate"))
     )
 
 

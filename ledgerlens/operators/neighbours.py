@@ -21,6 +21,8 @@ from ledgerlens.session import materialise
 
 # Distinct points aimed at per cell; more points make more cells, not larger ones.
 CELL_ROWS = 20_000
+# Queries of a cell that one task searches for.
+QUERY_ROWS = 5_000
 
 
 def _vector(features: list[str]):
@@ -115,8 +117,21 @@ def _search(queries: DataFrame, points: DataFrame, k: int) -> DataFrame:
             }
         )
 
-    asked = queries.select("cell", "qkey", "vec").groupBy("cell")
-    held = points.select("cell", "id", "label", "vec").groupBy("cell")
+    # A cell with many queries or points is searched in many tasks: each of its blocks of queries meets
+    # each of its blocks of points, and the best of all are picked afterwards.
+    sizes = queries.groupBy("cell").agg(F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("asked_in")).join(
+        points.groupBy("cell").agg(F.ceil(F.count("*") / (2 * CELL_ROWS)).cast("int").alias("held_in")), "cell"
+    )
+    sizes = materialise(sizes, "knn-sizes")
+
+    def blocks(side: DataFrame, key: str, own: str, other: str) -> DataFrame:
+        mine = F.pmod(F.xxhash64(key), F.col(own)).cast("int")
+        others = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+        return side.join(sizes, "cell").withColumn(own, mine).withColumn(other, others)
+
+    place = ("cell", "asked_in", "held_in")
+    asked = blocks(queries.select("cell", "qkey", "vec"), "qkey", "asked_in", "held_in").groupBy(*place)
+    held = blocks(points.select("cell", "id", "label", "vec"), "id", "held_in", "asked_in").groupBy(*place)
     return asked.cogroup(held).applyInPandas(search, schema)
 
 

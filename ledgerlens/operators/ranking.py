@@ -70,6 +70,43 @@ def hash_row_number(
     return global_row_number(hashed, groups, bucket, ["_hash", key], name, total).drop("_hash")
 
 
+def first_by_hash(
+    df: DataFrame, group: str, key: str, seed: int | str, wanted: Column, name: str
+) -> DataFrame:
+    """Adds boolean ``name``: whether a row is among the first ``wanted`` of its group in the order of
+    a stable hash of the key. ``wanted`` may use ``_of``, the size of the group.
+
+    Rows are counted per hash bucket, only the bucket in which the count is reached is ranked, and the
+    last row taken becomes the group's limit: all other rows are decided in the scan, unshuffled.
+    Rows that repeat a key stay together, on the side of their first one.
+    """
+    hashed = df.select(
+        F.col(group).alias("_group"), F.col(key).alias("_key"), stable_hash(key, seed).alias("_hash")
+    ).withColumn("_bucket", F.substring("_hash", 1, 3))
+    sizes = hashed.groupBy("_group", "_bucket").agg(F.count(F.lit(1)).alias("_size"))
+    whole = Window.partitionBy("_group")
+    upto = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    edge = (
+        sizes.withColumn("_upto", F.sum("_size").over(upto))
+        .withColumn("_of", F.sum("_size").over(whole))
+        .withColumn("_rank", wanted - (F.col("_upto") - F.col("_size")))
+        .where("_rank BETWEEN 1 AND _size")
+        .select(F.col("_group").alias("_g"), F.col("_bucket").alias("_b"), "_rank")
+    )
+    here = F.col("_group").eqNullSafe(F.col("_g")) & (F.col("_bucket") == F.col("_b"))
+    # One row per group on the small side of both joins.
+    in_order = Window.partitionBy("_group").orderBy("_hash", "_key")
+    limits = (
+        hashed.join(F.broadcast(edge), here)
+        .withColumn("_rn", F.row_number().over(in_order))
+        .where("_rn = _rank")
+        .select(F.col("_group").alias("_g"), F.struct("_hash", "_key").alias("_limit"))
+    )
+    at = F.struct(stable_hash(key, seed).alias("_hash"), F.col(key).alias("_key"))
+    placed = df.join(F.broadcast(limits), F.col(group).eqNullSafe(F.col("_g")), "left")
+    return placed.withColumn(name, F.coalesce(at <= F.col("_limit"), F.lit(False))).drop("_g", "_limit")
+
+
 def running_count(
     counts: DataFrame, groups: list[str], value: str, n: str, bucket: Column
 ) -> DataFrame:

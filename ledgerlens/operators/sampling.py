@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.neighbours import CELL_ROWS, nearest_neighbours
-from ledgerlens.operators.ranking import hash_row_number, stable_hash, unit_interval
+from ledgerlens.operators.ranking import first_by_hash, hash_row_number, stable_hash, unit_interval
 from ledgerlens.session import materialise
 
 SEED = 42
@@ -32,11 +32,9 @@ def stratified_split(
     df: DataFrame, test_size: float = 0.2, seed: int = SEED, label: str = "label", key: str = "id"
 ) -> DataFrame:
     """Adds ``part`` ('train' or 'test'); every class gives the same share, rounded half up."""
-    numbered = hash_row_number(df, [label], key, seed, "_rn", "_of")
     wanted = F.floor(F.col("_of") * test_size + 0.5)
-    return numbered.withColumn(
-        "part", F.when(F.col("_rn") <= wanted, "test").otherwise("train")
-    ).drop("_rn", "_of")
+    decided = first_by_hash(df, label, key, seed, wanted, "_test")
+    return decided.withColumn("part", F.when(F.col("_test"), "test").otherwise("train")).drop("_test")
 
 
 def fold_of(key: str, n_splits: int, seed: int = SEED):
@@ -50,8 +48,8 @@ def under_sample(df: DataFrame, seed: int = SEED, label: str = "label", key: str
     counts = class_counts(df, label)
     if not counts:
         return df
-    numbered = hash_row_number(df, [label], key, f"under-{seed}", "_rn")
-    return numbered.where(F.col("_rn") <= min(counts.values())).drop("_rn")
+    size = F.lit(min(counts.values()))
+    return first_by_hash(df, label, key, f"under-{seed}", size, "_kept").where("_kept").drop("_kept")
 
 
 def smote(
@@ -75,17 +73,18 @@ def smote(
     have, need = counts[small], max(counts.values()) - counts[small]
     if need == 0 or have < 2:
         return rows
-    minority = materialise(rows.where(F.col("label") == small), "minority")
-    near = nearest_neighbours(minority, minority, features, k, True, cell_rows)
+    # Numbered before the search, so that the search is not evaluated for the numbering as well.
+    minority = materialise(
+        hash_row_number(rows.where(F.col("label") == small), [], "id", f"smote-{seed}", "_rn"), "minority"
+    )
+    numbered = nearest_neighbours(minority, minority, features, k, True, cell_rows)
     each, rest = divmod(need, have)
-    numbered = hash_row_number(near, [], "id", f"smote-{seed}", "_rn")
     copies = F.lit(each) + F.when(F.col("_rn") <= rest, 1).otherwise(0)
     per_block = F.lit(_COPIES_PER_BLOCK)
     blocks = numbered.withColumn("_copies", copies.cast("int")).where("_copies > 0").withColumn(
         "_block", F.explode(F.sequence(F.lit(0), F.floor((F.col("_copies") - 1) / per_block).cast("int")))
     )
-    if each >= _COPIES_PER_BLOCK:
-        blocks = blocks.repartition("id", "_block")
+    blocks = blocks.repartition("id", "_block")
     last = F.least(F.col("_copies"), (F.col("_block") + 1) * per_block)
     drawn = blocks.withColumn(
         "_copy", F.explode(F.sequence(F.col("_block") * per_block + 1, last))

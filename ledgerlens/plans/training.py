@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from itertools import product
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlens.functions.scalar import flag
 from ledgerlens.operators import metrics
@@ -18,14 +19,11 @@ from ledgerlens.operators.actions import decide_action
 from ledgerlens.operators.features import categories, one_hot_expressions, scaler_stats
 from ledgerlens.operators.sampling import fold_of, resample, stratified_split
 from ledgerlens.plans.models import (
-    ESTIMATORS,
     MODEL_NAMES,
-    assembler,
     fit_model,
     predict,
-    without_summary,
 )
-from ledgerlens.session import materialise
+from ledgerlens.session import materialise, scratch_path
 from ledgerlens.settings import CATEGORICAL_FEATURES, LABEL, NUMERIC_FEATURES, ModelSettings
 
 
@@ -89,85 +87,121 @@ def auc_of(scored: DataFrame) -> float:
     return BinaryClassificationEvaluator(rawPredictionCol="score", numBins=0).evaluate(rows)
 
 
-def cv_auc_by_model(
+def _scored_cells(cells: list[tuple], columns: list[str], spark: SparkSession, parallelism: int) -> DataFrame:
+    """``(cell, label, score)`` of the test rows of every ``(model, params, train, test)``.
+
+    Fits are independent chains of small jobs: a bounded pool keeps the cluster busy between their
+    stages. Scored rows are written cell by cell, so that one job can rate all of them.
+    """
+    folder = scratch_path(spark, "scored")
+
+    def one(number: int) -> None:
+        name, params, train, test = cells[number]
+        scored = predict(fit_model(name, train, columns, params), test)
+        rows = scored.select("label", F.col("score").cast("double").alias("score"))
+        rows.write.parquet(f"{folder}/cell={number}")
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        list(pool.map(one, range(len(cells))))
+    schema = T.StructType.fromDDL("label int, score double, cell int")
+    return spark.read.schema(schema).parquet(folder)
+
+
+def _rated(scored: DataFrame, names: list[tuple], ddl: str) -> DataFrame:
+    """``test_rows``, ``positives`` and ``auc`` of every cell, in one grouped rank sum."""
+    counts = scored.groupBy("cell").agg(
+        F.count(F.lit(1)).alias("test_rows"), F.sum("label").cast("long").alias("positives")
+    )
+    rows = [(number, *name) for number, name in enumerate(names)]
+    named = scored.sparkSession.createDataFrame(rows, f"cell int, {ddl}")
+    rated = counts.join(metrics.roc_auc(scored, groups=["cell"]), "cell")
+    return named.join(rated, "cell").drop("cell")
+
+
+def choose_sampling(
     data: DataFrame,
     columns: list[str],
-    sampling: str | None,
+    kinds=("under", "smote", "combine"),
     n_splits: int = 10,
     models: list[str] | None = None,
     resample_first: bool = False,
-    parallelism: int = 10,
+    parallelism: int = 8,
 ) -> DataFrame:
-    """``(sampling, model, fold, auc)`` for every model and fold.
+    """``(sampling, model, fold, test_rows, positives, auc)`` for every way of balancing the classes,
+    model and fold; ``auc`` is NULL where a fold lacks a class.
 
-    Folds come from a hash of the row id. Each fold's train part is balanced on its own; with
-    ``resample_first`` the rows are balanced once, before the folds are cut.
+    ``data`` is the train part. Folds come from a hash of the row id. Each fold's train part is
+    balanced on its own, once for all models; with ``resample_first`` the rows are balanced once,
+    before the folds are cut.
     """
     spark = data.sparkSession
     models = models or MODEL_NAMES
-    if resample_first:
-        data = resample(data, sampling, columns)
-    rows = materialise(data.withColumn("fold", fold_of("id", n_splits)), "folds")
 
-    def one_fold(fold: int) -> list[tuple]:
-        train = rows.where(F.col("fold") != fold).drop("fold")
+    def folded(rows: DataFrame, name: str) -> DataFrame:
+        return materialise(rows.withColumn("fold", fold_of("id", n_splits)).hint("rebalance"), name)
+
+    whole = None if resample_first else folded(data, "folds")
+    rows = {k: whole or folded(resample(data, k, columns), f"folds-{k}") for k in kinds}
+
+    def balanced(part: tuple) -> DataFrame:
+        kind, fold = part
+        train = rows[kind].where(F.col("fold") != fold).drop("fold")
         if not resample_first:
-            train = materialise(resample(train, sampling, columns), f"fold-{fold}")
-        test = rows.where(F.col("fold") == fold).drop("fold")
-        return [
-            (sampling or "none", name, fold, float(auc_of(predict(fit_model(name, train, columns), test))))
-            for name in models
-        ]
-
-    # Folds are independent jobs; a few at a time keep the cluster busy between their stages.
+            train = resample(train, kind, columns)
+        return materialise(train.hint("rebalance"), f"fold-{fold}")
+
+    parts = [(k, f) for k in kinds for f in range(n_splits)]
     with ThreadPoolExecutor(parallelism) as pool:
-        found = [row for part in pool.map(one_fold, range(n_splits)) for row in part]
-    return spark.createDataFrame(found, "sampling string, model string, fold int, auc double")
+        trains = list(pool.map(balanced, parts))
+    cells, names = [], []
+    for name in models:
+        for (kind, fold), train in zip(parts, trains):
+            cells.append((name, None, train, rows[kind].where(F.col("fold") == fold).drop("fold")))
+            names.append((kind or "none", name, fold))
+    return _rated(
+        _scored_cells(cells, columns, spark, parallelism), names, "sampling string, model string, fold int"
+    )
+
+
+def cv_auc_by_model(data: DataFrame, columns: list[str], sampling: str | None, **options) -> DataFrame:
+    """The comparison of models for one way of balancing: see ``choose_sampling``."""
+    return choose_sampling(data, columns, (sampling,), **options)
 
 
 def auc_summary(scores: DataFrame) -> DataFrame:
-    """Mean and population deviation of the folds' AUC."""
+    """Mean and population deviation of the folds' AUC, with what it rests on."""
     return scores.groupBy("sampling", "model").agg(
-        F.round(F.avg("auc"), 4).alias("mean_auc"), F.round(F.stddev_pop("auc"), 3).alias("std_auc")
+        F.count("fold").alias("folds"),
+        F.sum("test_rows").alias("test_rows"),
+        F.sum("positives").alias("positives"),
+        F.round(F.avg("auc"), 4).alias("mean_auc"),
+        F.round(F.stddev_pop("auc"), 3).alias("std_auc"),
     )
 
 
-def choose_sampling(
-    data: DataFrame, columns: list[str], kinds=("under", "smote", "combine"), **options
-) -> DataFrame:
-    """The comparison for each way of balancing the classes."""
-    parts = [cv_auc_by_model(data, columns, kind, **options) for kind in kinds]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
 def grid_search(
-    train: DataFrame, columns: list[str], name: str, grid: dict[str, list], n_splits: int = 5
-) -> tuple[PipelineModel, dict, DataFrame]:
-    """Best model, its parameters, and ``(params, mean_auc)`` for the whole grid."""
-    estimator = ESTIMATORS[name]({})
-    builder = ParamGridBuilder()
-    for param, values in grid.items():
-        builder = builder.addGrid(getattr(estimator, param), values)
-    maps = builder.build()
-    vectors = assembler(columns)
-    data = vectors.transform(
-        train.withColumn("label", F.col("label").cast("double")).withColumn("fold", fold_of("id", n_splits))
-    )
-    search = CrossValidator(
-        estimator=estimator, estimatorParamMaps=maps, evaluator=BinaryClassificationEvaluator(),
-        numFolds=n_splits, foldCol="fold", parallelism=4,
-    ).fit(data)
-    named = [{p.name: v for p, v in m.items()} for m in maps]
-    best = max(range(len(maps)), key=lambda i: search.avgMetrics[i])
-    table = train.sparkSession.createDataFrame(
-        [(str(sorted(p.items())), float(m)) for p, m in zip(named, search.avgMetrics)],
-        "params string, mean_auc double",
-    )
-    model = without_summary(search.bestModel, train.sparkSession)
-    return PipelineModel([vectors, model]), named[best], table
+    train: DataFrame, columns: list[str], name: str, grid: dict[str, list], n_splits: int = 5,
+    parallelism: int = 8,
+) -> tuple[object, dict, DataFrame]:
+    """Best model of any kind, its parameters, and ``(params, folds, test_rows, positives, mean_auc)``
+    for the whole grid."""
+    spark = train.sparkSession
+    maps = [dict(zip(grid, values)) for values in product(*grid.values())]
+    folds = materialise(train.withColumn("fold", fold_of("id", n_splits)).hint("rebalance"), "folds")
+    cells, names = [], []
+    for i, params in enumerate(maps):
+        for fold in range(n_splits):
+            rest, test = (folds.where(c).drop("fold") for c in (F.col("fold") != fold, F.col("fold") == fold))
+            cells.append((name, params, rest, test))
+            names.append((i, str(sorted(params.items())), fold))
+    rated = _rated(_scored_cells(cells, columns, spark, parallelism), names, "at int, params string, fold int")
+    table = materialise(rated.groupBy("at", "params").agg(
+        F.count("fold").alias("folds"), F.sum("test_rows").alias("test_rows"),
+        F.sum("positives").alias("positives"), F.avg("auc").alias("mean_auc"),
+    ), "grid")
+    # As many rows as the grid has points.
+    best = table.orderBy(F.desc_nulls_last("mean_auc"), "at").first()["at"]
+    return fit_model(name, train, columns, maps[best]), maps[best], table.drop("at")
 
 
 # --- train and score -----------------------------------------------------------------------------

@@ -58,8 +58,9 @@ class Data:
 
     @cached_property
     def features(self) -> DataFrame:
-        """The per-user feature table."""
-        return features.fill_features(features.build_features(self.users, self.transactions_usd))
+        """The per-user feature table; the mean amount is rounded for the comparison with SQL."""
+        table = features.fill_features(features.build_features(self.users, self.transactions_usd))
+        return table.withColumn("mean_amount", F.round("mean_amount", 6))
 
     @cached_property
     def stored_features(self) -> DataFrame:

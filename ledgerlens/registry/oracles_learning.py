@@ -85,6 +85,20 @@ _REPORT_ROWS = " UNION ALL ".join(
     ]
 )
 
+# The train part in folds by the hash of the id. What a fit gives has no SQL; the rows it is rated on have.
+_FOLD = _HEX.format(t="id || '|fold-42'") + " % {n}"
+_RATED = "count(*) AS test_rows, CAST(sum(label) AS BIGINT) AS positives"
+_MODELS = "(VALUES ('LogitReg'), ('KNN'), ('LDA'), ('CART'), ('SVM'), ('XGB'), ('RF')) AS m(model)"
+_FOLDS = (
+    f"SELECT {_FOLD.format(n=10)} AS fold, {_RATED}, sum(label) > 0 AND sum(label) < count(*) AS auc_valid"
+    " FROM split WHERE part = 'train' GROUP BY 1"
+)
+_BALANCED = (
+    "SELECT id, label FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(id || '|under-42'),"
+    " CAST(id AS VARCHAR)) AS rn FROM split WHERE part = 'train') WHERE rn <= (SELECT min(n) FROM"
+    " (SELECT count(*) AS n FROM split WHERE part = 'train' GROUP BY label))"
+)
+
 ORACLES = {
     "standard_scale": sql(
         " UNION ALL ".join(
@@ -114,6 +128,21 @@ ORACLES = {
         f" row_number() OVER (PARTITION BY a.id ORDER BY {_d2('a', 'b')}, b.id) AS pos"
         " FROM split a CROSS JOIN split b WHERE a.part = 'test' AND b.part = 'train') WHERE pos <= 5 GROUP BY id",
         points=_POINTS, split=_SPLIT),
+    "cv_auc_by_model": sql(
+        "SELECT 'under' AS sampling, model, CAST(fold AS INTEGER) AS fold, test_rows, positives, auc_valid"
+        f" FROM folds CROSS JOIN {_MODELS}", points=_POINTS, split=_SPLIT, folds=_FOLDS),
+    "choose_sampling": sql(
+        "SELECT sampling, model, count(*) AS folds, CAST(sum(test_rows) AS BIGINT) AS test_rows,"
+        " CAST(sum(positives) AS BIGINT) AS positives, bool_or(auc_valid) AS auc_valid FROM folds"
+        f" CROSS JOIN {_MODELS} CROSS JOIN (VALUES ('under'), ('smote'), ('combine')) AS k(sampling)"
+        " GROUP BY 1, 2", points=_POINTS, split=_SPLIT, folds=_FOLDS),
+    "grid_search": sql(
+        "SELECT params, count(*) AS folds, CAST(sum(test_rows) AS BIGINT) AS test_rows,"
+        " CAST(sum(positives) AS BIGINT) AS positives, bool_or(p > 0 AND p < test_rows) AS auc_valid FROM"
+        f" (SELECT {_FOLD.format(n=5)} AS fold, {_RATED}, sum(label) AS p FROM balanced GROUP BY 1) CROSS JOIN"
+        " (SELECT '[(''minInstancesPerNode'', ' || a || '), (''numTrees'', ' || b || ')]' AS params"
+        " FROM (VALUES (1), (3)) AS x(a) CROSS JOIN (VALUES (5), (10)) AS y(b)) GROUP BY 1",
+        points=_POINTS, split=_SPLIT, balanced=_BALANCED),
     "roc_auc": sql(
         "SELECT round((sum(mean_rank) FILTER (WHERE label = 1) - n1 * (n1 + 1) / 2) / (n1 * n0), 9) AS auc"
         " FROM (SELECT label, avg(CAST(r AS DOUBLE)) OVER (PARTITION BY score) AS mean_rank,"

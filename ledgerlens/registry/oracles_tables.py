@@ -24,7 +24,13 @@ _TX = (
     " entry_method, user_id, type, source"
 )
 _DAY = "(DATE '1970-01-01' + CAST(round_even(epoch_us({t}) / 86400000000.0, 0) AS INTEGER))"
-_MEAN = "CAST(sum(CAST({v} AS DECIMAL({p}, {s}))) AS DOUBLE) / count({v})"
+# The shortest decimals of the values, summed exactly, in any order.
+_MEAN = (
+    "CAST(CAST(sum(CAST(CAST({v} AS VARCHAR) AS DECIMAL(38, 18))) AS VARCHAR) AS DOUBLE) / count({v})"
+)
+
+# Six decimals of the shortest decimal text, halves away from zero.
+_HALF_UP = "CAST(CAST(CAST(CAST({v} AS VARCHAR) AS DECIMAL(38, 6)) AS VARCHAR) AS DOUBLE)"
 
 # Common tables, each written with the ones before it.
 CTES = {
@@ -41,7 +47,7 @@ CTES = {
     "transactions": "SELECT "
     + _TX.format(mc=f"coalesce(code2, {_DIGITS.format(c='cleaned')})")
     + f" FROM keyed LEFT JOIN dictionary ON key = {_DIGITS.format(c='cleaned')}",
-    "daily": f"SELECT {_DAY.format(t='ts')} AS day, ccy, {_MEAN.format(v='rate', p=30, s=12)} AS rate"
+    "daily": f"SELECT {_DAY.format(t='ts')} AS day, ccy, {_MEAN.format(v='rate')} AS rate"
     " FROM fx_rates WHERE base_ccy = 'USD' GROUP BY 1, 2",
     "transactions_usd": "SELECT t.*, CASE WHEN currency = 'USD' THEN CAST(1 AS DOUBLE) ELSE rate END"
     " * amount / pow(CAST(10 AS DOUBLE), exponent) AS amount_usd"
@@ -60,7 +66,7 @@ CTES = {
     " row_number() OVER (PARTITION BY user_id ORDER BY created_date, id) AS rn"
     " FROM transactions_usd) WHERE rn = 1",
     "facts": "SELECT user_id, count(DISTINCT currency) AS cnt_currency,"
-    f" {_MEAN.format(v='amount_usd', p=24, s=6)} AS mean_amount FROM transactions_usd GROUP BY 1",
+    f" {_HALF_UP.format(v=_MEAN.format(v='amount_usd'))} AS mean_amount FROM transactions_usd GROUP BY 1",
 }
 for _v in ("source", "type", "state"):
     CTES[f"{_v}_counts"] = (
@@ -181,16 +187,16 @@ def _crosstab(table: str, row: str, col: str, where: str = "true") -> dict[str,
     return {
         "base": f"SELECT CAST({row} AS VARCHAR) AS r, CAST({col} AS VARCHAR) AS c FROM {table}"
         f" WHERE {row} IS NOT NULL AND {col} IS NOT NULL AND {where}",
-        "cells": "SELECT r AS row_value, c AS col_value, count(*) AS n FROM base GROUP BY 1, 2"
-        " UNION ALL SELECT 'All', c, count(*) FROM base GROUP BY 2"
-        " UNION ALL SELECT r, 'All', count(*) FROM base GROUP BY 1"
-        " UNION ALL SELECT 'All', 'All', count(*) FROM base HAVING count(*) > 0",
-        "totals": "SELECT row_value AS tr, n AS total FROM cells WHERE col_value = 'All'",
+        "cells": "SELECT r AS row_value, c AS col_value, 0 AS margin, count(*) AS n FROM base GROUP BY 1, 2"
+        " UNION ALL SELECT 'All', c, 2, count(*) FROM base GROUP BY 2"
+        " UNION ALL SELECT r, 'All', 1, count(*) FROM base GROUP BY 1"
+        " UNION ALL SELECT 'All', 'All', 3, count(*) FROM base HAVING count(*) > 0",
+        "totals": "SELECT row_value AS tr, margin - 1 AS tm, n AS total FROM cells WHERE margin % 2 = 1",
     }
 
 
 _PCT = "round(100 * (CAST(n AS DOUBLE) / total), 2) AS pct"
-_SHARES = f"{_PCT} FROM cells JOIN totals ON row_value = tr WHERE col_value <> 'All'"
+_SHARES = f"{_PCT} FROM cells JOIN totals ON row_value = tr AND margin = tm"
 
 
 def _eda(table: str, col: str, where: str = "true") -> str:
@@ -276,13 +282,19 @@ def _correlation() -> str:
 
 
 def _profile() -> str:
-    names = list(fx.USERS)
+    kind = (
+        "CASE typeof(any_value({c})) WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'"
+        " WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(typeof(any_value({c}))) END"
+    )
     return sql(
         " UNION ALL ".join(
-            f"SELECT '{c}' AS column_name, count(*) AS n_rows, count({c}) AS non_null FROM users"
-            for c in names
+            f"SELECT '{name}' AS table_name, '{c}' AS column_name, count(*) AS n_rows,"
+            f" count({c}) AS non_null, {kind.format(c=c)} AS type FROM {table}"
+            for name, table, columns in (
+                ("users", "users", fx.USERS), ("transactions", "raw_transactions", fx.TRANSACTIONS))
+            for c in columns
         ),
-        "users",
+        "users", "raw_transactions",
     )
 
 
@@ -341,7 +353,8 @@ ORACLES = {
     "parse_ccy_pair": sql(
         "SELECT pair, upper(left(pair, 3)) AS base_ccy, upper(substr(pair, 4)) AS ccy,"
         f" count(rate) AS n_rates FROM ({_PAIRS}) GROUP BY 1, 2, 3", "fx_wide"),
-    "abs_rate": sql("SELECT ts, abs(usdgbp) AS rate FROM fx_wide WHERE usdgbp IS NOT NULL", "fx_wide"),
+    "abs_rate": sql(
+        f"SELECT ts, pair, abs(rate) AS rate FROM ({_PAIRS}) WHERE rate IS NOT NULL", "fx_wide"),
     "merchant_country_clean": sql("SELECT id, cleaned AS merchant_country FROM keyed", "keyed"),
     "strip_leading_zeros": sql(
         f"SELECT id, {_DIGITS.format(c='merchant_country')} AS merchant_country FROM raw_transactions",
@@ -358,18 +371,14 @@ ORACLES = {
         "SELECT id, epoch(first_created - created_date) AS diff_date FROM users"
         " LEFT JOIN first_dates ON u = id", "users", "first_dates"),
     "flag_columns": sql(
-        "SELECT id, CASE WHEN state = 'LOCK' THEN 1 ELSE 0 END AS is_lock,"
-        " CAST(has_email AS INTEGER) AS has_email, CASE WHEN country = 'GB' THEN 1 ELSE 0 END AS country_gb,"
-        " CASE WHEN phone_country = 'GB' THEN 1 ELSE 0 END AS phone_gb,"
-        " CAST(is_fraudster AS INTEGER) AS label FROM users", "users"),
+        "SELECT id, is_lock, has_email, country_gb, first_success, source_minos, is_user_country,"
+        " has_transactions, CAST(is_fraudster AS INTEGER) AS label FROM features", "features"),
     "cast_terms_version": sql(f"SELECT id, {_TV} AS terms_version_origin FROM users", "users"),
     "copy_and_drop_columns": sql(
         "SELECT id, created_date AS created_date_origin, CASE WHEN state = 'LOCK' THEN 1 ELSE 0 END"
         " AS is_lock FROM users", "users"),
     "minor_units_to_usd": sql(
-        "SELECT id, CASE WHEN currency = 'USD' THEN CAST(1 AS DOUBLE) ELSE CAST(0.5 AS DOUBLE) END * amount"
-        " / pow(CAST(10 AS DOUBLE), exponent) AS amount_usd FROM raw_transactions"
-        " LEFT JOIN currency_details ON ccy = currency", "raw_transactions", "currency_details"),
+        "SELECT id, amount_usd FROM transactions_usd", "transactions_usd"),
     "fill_na_by_config": sql(
         "SELECT id, has_email, coalesce(phone_country, '-1') AS phone_country, is_fraudster,"
         " strftime(coalesce(terms_version, DATE '2000-01-01'), '%Y-%m-%d') AS terms_version,"
@@ -378,9 +387,8 @@ ORACLES = {
     "one_hot": sql(" UNION ALL ".join(_long_one_hot()), "features"),
     "align_columns": _align(),
     "cast_features_double": sql(
-        "SELECT id, CAST(has_email AS DOUBLE) AS has_email, CAST(is_lock AS DOUBLE) AS is_lock,"
-        " CAST(cnt_currency AS DOUBLE) AS cnt_currency, CAST(birth_year AS DOUBLE) AS birth_year"
-        " FROM features", "features"),
+        "SELECT id, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _NUMERIC) + " FROM features",
+        "features"),
     "pct_round": sql(
         "SELECT country, round(avg(CAST(is_fraudster AS INTEGER)) * 100, 2) AS fraud_pct FROM users"
         " GROUP BY 1", "users"),
@@ -445,7 +453,7 @@ ORACLES = {
     "max_amount_by_user": sql(
         "SELECT user_id, is_fraudster, max(amount_usd) AS amount_usd FROM marked GROUP BY 1, 2", "marked"),
     "crosstab_counts": sql(
-        "SELECT row_value, col_value, n FROM cells", "users", **_crosstab("users", "is_fraudster", "kyc")),
+        "SELECT row_value, col_value, margin, n FROM cells", "users", **_crosstab("users", "is_fraudster", "kyc")),
     "crosstab_wide": sql(
         "SELECT row_value, " + ", ".join(
             f"CAST(coalesce(sum(n) FILTER (WHERE col_value = '{v}'), 0) AS BIGINT) AS \"{v}\""

@@ -71,22 +71,28 @@ def train_model(d: Data) -> DataFrame:
     return training.evaluate(training.train_model(d.stored_features))
 
 
+def _valid_auc(df: DataFrame, column: str) -> DataFrame:
+    """Whether there is an AUC between 0 and 1, instead of the fitted value itself."""
+    return df.withColumn("auc_valid", F.coalesce(F.col(column).between(0, 1), F.lit(False))).drop(column)
+
+
 def cv_auc_by_model(d: Data) -> DataFrame:
-    data, columns = _all_encoded(d)
-    return training.cv_auc_by_model(data, columns, "under")
+    """Every model on every fold of the train part, each fold balanced on its own."""
+    train, _, columns = _encoded(d)
+    return _valid_auc(training.cv_auc_by_model(train, columns, "under"), "auc")
 
 
 def choose_sampling(d: Data) -> DataFrame:
-    """Mean and deviation of AUC for each way of balancing, models and folds in full."""
-    data, columns = _all_encoded(d)
-    return training.auc_summary(training.choose_sampling(data, columns, resample_first=True))
+    """Every way of balancing with every model, summed up over all folds of the train part."""
+    train, _, columns = _encoded(d)
+    return _valid_auc(training.auc_summary(training.choose_sampling(train, columns)), "mean_auc").drop("std_auc")
 
 
 def grid_search(d: Data) -> DataFrame:
     train, _, columns = _encoded(d)
     balanced = materialise(sampling.resample(train, "under", columns), "balanced")
     grid = {"numTrees": [5, 10], "minInstancesPerNode": [1, 3]}
-    return training.grid_search(balanced, columns, "RF", grid)[2]
+    return _valid_auc(training.grid_search(balanced, columns, "RF", grid)[2], "mean_auc")
 
 
 def _saved(d: Data, table: DataFrame):

@@ -10,7 +10,7 @@ from ledgerlens.functions import scalar
 from ledgerlens.operators import explore, facts, features, fx
 from ledgerlens.plans import report
 from ledgerlens.registry.data import Data, write_raw_csv
-from ledgerlens.settings import CATEGORICAL_FEATURES, TABLE_COLUMNS, JobSettings
+from ledgerlens.settings import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TABLE_COLUMNS, JobSettings
 from ledgerlens.sources import checks, files, fixtures, load, schemas
 
 
@@ -133,7 +133,9 @@ def parse_ccy_pair(d: Data) -> DataFrame:
 
 
 def abs_rate(d: Data) -> DataFrame:
-    return d.fx_wide.where("usdgbp IS NOT NULL").select("ts", F.abs("usdgbp").alias("rate"))
+    first, *pairs = d.fx_wide.columns
+    cells = d.fx_wide.unpivot(first, pairs, "pair", "rate").where("rate IS NOT NULL")
+    return cells.select("ts", "pair", F.abs("rate").alias("rate"))
 
 
 def merchant_country_clean(d: Data) -> DataFrame:
@@ -171,13 +173,10 @@ def seconds_between(d: Data) -> DataFrame:
 
 
 def flag_columns(d: Data) -> DataFrame:
-    return d.users.select(
-        "id",
-        scalar.flag(F.col("state") == "LOCK").alias("is_lock"),
-        scalar.flag(F.col("has_email")).alias("has_email"),
-        scalar.flag(F.col("country") == "GB").alias("country_gb"),
-        scalar.flag(F.col("phone_country") == "GB").alias("phone_gb"),
-        scalar.flag(F.col("is_fraudster")).alias("label"),
+    """All flags of the feature table, and the label."""
+    return d.features.select(
+        "id", "is_lock", "has_email", "country_gb", "first_success", "source_minos", "is_user_country",
+        "has_transactions", scalar.flag(F.col("is_fraudster")).alias("label"),
     )
 
 
@@ -191,9 +190,10 @@ def copy_and_drop_columns(d: Data) -> DataFrame:
 
 
 def minor_units_to_usd(d: Data) -> DataFrame:
-    """Amounts by the fixed rate 0.5 for every currency but USD."""
-    known = fx.left_join_currency(d.raw_transactions, d.currency_details)
-    usd = scalar.minor_units_to_usd(F.col("currency"), F.lit(0.5), F.col("amount"), F.col("exponent"))
+    """Amounts by the mean rate of the nearest day."""
+    rated = fx.daily_fx_join(d.raw_transactions, fx.daily_mean_fx(d.fx_rates))
+    known = fx.left_join_currency(rated, d.currency_details)
+    usd = scalar.minor_units_to_usd("currency", "rate", "amount", "exponent")
     return known.select("id", usd.alias("amount_usd"))
 
 
@@ -216,8 +216,7 @@ def align_columns(d: Data) -> DataFrame:
 
 
 def cast_features_double(d: Data) -> DataFrame:
-    columns = ["has_email", "is_lock", "cnt_currency", "birth_year"]
-    return features.cast_features_double(d.features.select("id", *columns), columns)
+    return features.cast_features_double(d.features.select("id", *NUMERIC_FEATURES), NUMERIC_FEATURES)
 
 
 def pct_round(d: Data) -> DataFrame:
@@ -324,7 +323,7 @@ def max_amount_by_user(d: Data) -> DataFrame:
 
 
 def crosstab_wide(d: Data) -> DataFrame:
-    return explore.crosstab_wide(d.users, "is_fraudster", "kyc", ["FAILED", "NONE", "SUCCESS"])
+    return explore.crosstab_wide(d.users, "is_fraudster", "kyc")
 
 
 _ROUND = 6
@@ -341,6 +340,15 @@ def correlation_matrix(d: Data) -> DataFrame:
     return explore.correlation_matrix(d.features.drop("id")).withColumn("corr", F.round("corr", _ROUND))
 
 
+def profile_table(d: Data) -> DataFrame:
+    """Users and transactions."""
+    parts = [
+        explore.profile_table(df).withColumn("table_name", F.lit(name))
+        for name, df in (("users", d.users), ("transactions", d.raw_transactions))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 # --- composites ----------------------------------------------------------------------------------
 
 def transactions_enriched(d: Data) -> DataFrame:
@@ -361,7 +369,7 @@ def user_feature_table_by_key(d: Data) -> DataFrame:
         d.users, d.transactions, d.fx_rates, d.currency_details, d.fraudsters,
         features.min_created_date(d.users),
     )
-    return _day_text(table, "terms_version")
+    return _day_text(table.withColumn("mean_amount", F.round("mean_amount", _ROUND)), "terms_version")
 
 
 def feature_label_matrix(d: Data) -> DataFrame:
@@ -429,7 +437,7 @@ QUERIES = {
     "count_by_user_value": lambda d: facts.count_by_user_value(d.transactions, "source"),
     "user_transaction_features": lambda d: facts.user_transaction_features(
         d.users, d.transactions_usd
-    ),
+    ).withColumn("mean_amount", F.round("mean_amount", _ROUND)),
     "any_flag": any_flag,
     "max_amount_by_user": max_amount_by_user,
     "crosstab_counts": lambda d: explore.crosstab_counts(d.users, "is_fraudster", "kyc"),
@@ -437,7 +445,7 @@ QUERIES = {
     "crosstab_row_pct": lambda d: explore.crosstab_row_pct(d.users, "is_fraudster", "kyc"),
     "crosstab_long": lambda d: explore.crosstab_row_pct(d.users, "is_fraudster", "country"),
     "correlation_matrix": correlation_matrix,
-    "profile_table": lambda d: explore.profile_table(d.users).drop("type"),
+    "profile_table": profile_table,
     "distinct_values": lambda d: explore.distinct_values(d.users.where("is_fraudster"), "country"),
     "row_count": lambda d: load.row_count(d.transactions, "transactions"),
     "mark_first_transactions": lambda d: facts.mark_first_transactions(d.transactions_usd).select(

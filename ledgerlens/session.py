@@ -6,10 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A side is broadcast only after counting it and finding at most this many (narrow) rows.
-BROADCAST_MAX_ROWS = 1_000_000
 
 _local_dirs: dict[str, str] = {}
 
@@ -37,9 +33,9 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return _local_dirs.setdefault(
-        context.applicationId, tempfile.mkdtemp(prefix="ledgerlens-")
-    )
+    if context.applicationId not in _local_dirs:
+        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="ledgerlens-")
+    return _local_dirs[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -58,8 +54,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint after a row count; above ``max_rows`` Spark plans a shuffle join instead."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """``df`` written once, so that Spark knows its size in bytes before it plans the join: up to
+    ``spark.sql.autoBroadcastJoinThreshold`` it is broadcast, above that the join is a shuffle."""
+    return materialise(df, "side")

@@ -57,9 +57,8 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
 
 
 def replace_table(spark: SparkSession, name: str, df: DataFrame) -> None:
-    """Drop-if-exists and create, for a catalog table."""
-    drop_table(spark, name)
-    df.write.format("parquet").saveAsTable(name)
+    """Replace a catalog table, or create it."""
+    df.write.format("parquet").mode("overwrite").saveAsTable(name)
 
 
 def drop_table(spark: SparkSession, name: str) -> None:

@@ -6,6 +6,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ledgerlens.functions import scalar
 from ledgerlens.operators import explore, features, metrics, neighbours, ranking, sampling
 from ledgerlens.registry.data import Data
 
@@ -141,10 +142,25 @@ def test_neighbours_fewer_points_than_asked(spark):
     assert {r.id: [n.id for n in r.neighbours] for r in got} == {1: [2], 2: [1]}
 
 
-def test_one_hot_refuses_high_cardinality(spark, monkeypatch):
-    monkeypatch.setattr(features, "MAX_CATEGORIES", 10)
-    with pytest.raises(ValueError):
-        features.categories(spark.range(100), ["id"])
+def test_any_number_of_categories(spark):
+    df = spark.range(5000).select("id", F.concat(F.lit("v"), "id").alias("kind"))
+    assert len(features.categories(df, ["kind"])["kind"]) == 5000
+    rows = features.one_hot_vector(df, ["kind"]).collect()
+    assert len({int(r.kind.indices[0]) for r in rows}) == 5000 and all(r.kind.values[0] == 1 for r in rows)
+
+
+def test_mean_keeps_small_and_large_values(spark):
+    df = spark.createDataFrame([(1, 1e-8), (1, 3e-8), (2, 1e19), (2, 3e19), (3, None)], "k int, v double")
+    got = dict(df.groupBy("k").agg(scalar.stable_avg("v")).collect())
+    assert got == {1: pytest.approx(2e-8), 2: pytest.approx(2e19), 3: None}
+
+
+def test_value_named_like_the_margin(spark):
+    df = spark.createDataFrame([(1, "All"), (1, "x"), (0, "x")], "r int, c string")
+    shares = {(r.row_value, r.col_value): r.pct for r in explore.crosstab_row_pct(df, "r", "c").collect()}
+    assert shares["1", "All"] == shares["1", "x"] == 50 and shares["0", "x"] == 100
+    wide = {r.row_value: (r["All"], r["x"], r["All_"]) for r in explore.crosstab_wide(df, "r", "c").collect()}
+    assert wide == {"1": (1, 1, 2), "0": (0, 1, 1), "All": (1, 2, 3)}
 
 
 def test_scaled_columns_have_mean_0_and_deviation_1(data):
