@@ -6,6 +6,7 @@ import hashlib
 import os
 import uuid
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
@@ -34,6 +35,13 @@ def lower_words(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
+def mix64(h: np.ndarray) -> np.ndarray:
+    """A one-to-one mix of 64-bit numbers, after which every bit depends on all."""
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(32))
+
+
 def arrow(ddl: str) -> pa.Schema:
     """The Arrow schema of a DDL text; only on the driver."""
     return to_arrow_schema(StructType.fromDDL(ddl))
