@@ -7,8 +7,9 @@ one holds the successors relative to their context, made monotone by the context
 keeps its smoothed probability, and its weight as a context, as 8-bit codes of a table. Tasks map the
 files into memory and find a successor by its number relative to the context.
 
-Counts cover all training text. Higher orders keep n-grams that occur at least ``MIN_COUNT`` times;
-what the others have is left to the shorter context, so every distribution adds up to one.
+Counts cover all training text. Higher orders keep n-grams that occur at least ``min_count`` times,
+with ``ALL`` every one; what the others have is left to the shorter context, so every distribution
+adds up to one. The number of shards grows with the text, which bounds what a task holds.
 """
 
 from __future__ import annotations
@@ -26,10 +27,14 @@ from ledgerlens.session import materialise, scratch_path
 
 ORDER = 3
 MIN_COUNT = 2
+ALL = 1  # the ``min_count`` that keeps every n-gram
 DISCOUNT = 0.75
 SLICE_BYTES = 8 << 20
 BLOCK_BYTES = 128 << 10
 HELD_NGRAMS = 1_500_000
+# Text bytes of a shard: no level of it has more n-grams than half of that, but for skew.
+SHARD_BYTES = 8 << 20
+CHUNK = 1 << 18
 CODES = 256
 
 END = np.uint64(1)  # stands for the end of a text; no word hashes to it
@@ -183,15 +188,41 @@ def spread(h: np.ndarray) -> np.ndarray:
     return (h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
 
 
+def _narrow(counts: np.ndarray) -> bytes:
+    """Counts in the smallest type that holds them all."""
+    return counts.astype(np.min_scalar_type(int(counts.max(initial=0)))).tobytes()
+
+
+def _wide(data, n: int) -> np.ndarray:
+    return np.frombuffer(data, f"<u{len(data) // n}").astype(np.int64) if n else np.zeros(0, dtype=np.int64)
+
+
+def _differences(keys: np.ndarray) -> bytes:
+    """Ascending numbers as differences, byte by byte: all lowest bytes first, without the bytes no one needs."""
+    steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
+    width = max(1, -(-int(steps.max()).bit_length() // 8))
+    return bytes([width]) + steps.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def _from_differences(data: bytes) -> np.ndarray:
+    if not data:
+        return np.zeros(0, dtype=np.uint64)
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(data[0], -1)
+    steps = np.zeros((planes.shape[1], 8), dtype=np.uint8)
+    steps[:, :data[0]] = planes.T
+    return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64)
+
+
 class Counter:
     """Counts of n-grams of a task, given out as blobs for each shard.
 
     Rows are a word's hash, or the numbers of a context and of the word after it; a number leaves its
-    shard when divided by the number of shards.
+    shard when divided by the number of shards. A blob has one key a row: the hash, or the word
+    relative to the context's number in its shard, as in a level.
     """
 
-    def __init__(self, width: int, shards: int):
-        self.width, self.shards, self.held, self.size = width, shards, [], 0
+    def __init__(self, width: int, shards: int, span: int):
+        self.width, self.shards, self.span, self.held, self.size = width, shards, span, [], 0
 
     def add(self, grams: np.ndarray) -> None:
         self.held.append(_count(grams, None))
@@ -209,8 +240,11 @@ class Counter:
         order = np.argsort(part, kind="stable")
         cuts = np.searchsorted(part[order], np.arange(self.shards + 1))
         found = [(p, order[a:b]) for p, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
-        yield batch(_BLOBS, [p for p, _ in found], [grams[o].tobytes() for _, o in found],
-                    [counts[o].astype("<u4").tobytes() if counts[o].max() < 2**32 else counts[o].astype("<u8").tobytes() for _, o in found])
+        keys = grams[:, 0]
+        if self.width == 2:
+            keys = grams[:, 0] // np.uint64(self.shards) * np.uint64(self.span) + grams[:, 1]
+        yield batch(_BLOBS, [p for p, _ in found], [_differences(keys[o]) for _, o in found],
+                    [_narrow(counts[o]) for _, o in found])
 
 
 def _count(grams: np.ndarray, counts: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
@@ -241,16 +275,16 @@ def _count(grams: np.ndarray, counts: np.ndarray | None) -> tuple[np.ndarray, np
     return np.stack([kinds // np.uint64(base), kinds % np.uint64(base)], axis=1), sums
 
 
-def _read_blobs(batches: Iterator[pa.RecordBatch], width: int) -> tuple[int, np.ndarray, np.ndarray]:
-    """The shard of a group of blobs, its distinct n-grams and their counts."""
-    part, grams, counts = 0, [], []
+def _read_blobs(batches: Iterator[pa.RecordBatch]) -> tuple[int, np.ndarray, np.ndarray]:
+    """The shard of a group of blobs, its distinct keys and their counts."""
+    part, keys, counts = 0, [], []
     for b in batches:
         part = b.column("part")[0].as_py() if b.num_rows else part
         for g, c in zip(b.column("grams").to_pylist(), b.column("counts").to_pylist()):
-            g = np.frombuffer(g, np.uint64).reshape(-1, width)
-            grams.append(g)
-            counts.append(np.frombuffer(c, "<u4" if len(c) == 4 * len(g) else "<u8").astype(np.int64))
-    return (part, *_count(np.concatenate(grams), np.concatenate(counts)))
+            keys.append(_from_differences(g))
+            counts.append(_wide(c, len(keys[-1])))
+    grams, counts = _count(np.concatenate(keys)[:, None], np.concatenate(counts))
+    return part, grams[:, 0], counts
 
 
 def quantise(logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -446,11 +480,11 @@ def _train(docs: DataFrame, held_out: Column) -> DataFrame:
     return docs.filter(~held_out).select(utf8(F.col("text")).alias("text"))
 
 
-def _counted(texts: DataFrame, grams_of, width: int, shards: int) -> DataFrame:
+def _counted(texts: DataFrame, grams_of, width: int, shards: int, span: int = 0) -> DataFrame:
     """Blobs with the counts of the rows that ``grams_of(hashes, sizes)`` gives for every slice of texts."""
 
     def run(batches):
-        counter = Counter(width, shards)
+        counter = Counter(width, shards, span)
         for b in batches:
             for part in slices(b, "text", SLICE_BYTES):
                 counter.add(grams_of(*hash_words(part.column("text").to_pylist())))
@@ -467,15 +501,16 @@ def learn(docs: DataFrame, held_out: Column, order: int = ORDER, min_count: int
     A level's n-grams are looked up in the levels before it, so only those whose shorter n-grams are
     kept can be: an n-gram of ``min_count`` has none that is rarer. The driver gets a row a shard.
     """
-    shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     folder = scratch_path(docs.sparkSession, "trie")
     texts = _train(docs, held_out)
+    n_bytes = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    shards = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // SHARD_BYTES))
     ddl = "part int, n_words long, n_tokens long"
     schema = arrow(ddl)
 
     def write_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, grams, counts = _read_blobs(batches, 1)
-        write_once(f"{folder}/level1-{part:05d}", _pack(grams[:, 0], counts.astype("<i8")))
+        part, hashes, counts = _read_blobs(batches)
+        write_once(f"{folder}/level1-{part:05d}", _pack(hashes, counts.astype("<i8")))
         yield batch(schema, [part], [len(counts)], [int(counts.sum())])
 
     words = _counted(texts, lambda h, sizes: h[:, None], 1, shards).groupBy("part").applyInArrow(write_words, ddl)
@@ -504,25 +539,30 @@ def learn(docs: DataFrame, held_out: Column, order: int = ORDER, min_count: int
             return np.stack([context[keep], number[keep]], axis=1).astype(np.uint64)
 
         def write_level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            part, grams, counts = _read_blobs(batches, 2)
+            part, keys, counts = _read_blobs(batches)
             keep = counts >= min_count
-            context, word, counts = (grams[keep, 0] // np.uint64(shards)).astype(np.int64), grams[keep, 1].astype(np.int64), counts[keep]
+            keys, counts = keys[keep], counts[keep]
+            context, word = (keys // np.uint64(trie.span)).astype(np.int64), (keys % np.uint64(trie.span)).astype(np.int64)
             above = trie.level(k - 1, part)
-            totals = above.counts if k == 2 else np.frombuffer(mapped(f"{folder}/counts{k - 1}-{part:05d}"), "<i8")
+            totals = above.counts if k == 2 else _wide(mapped(f"{folder}/counts{k - 1}-{part:05d}"), above.followers.n)
             n = len(totals)
             given = np.bincount(context, counts - discount, n)
             left = 1.0 - given / np.maximum(totals, 1)
-            lower = trie.first_order(trie.counts_of(word))
-            if k > 2:
-                lower = trie.lower(k, part, context, word, lower)
-            logs = np.log10((counts - discount) / totals[context] + left[context] * 10.0 ** lower)
+            logs = np.empty(len(context))
+            for a in range(0, len(context), CHUNK):
+                some = slice(a, a + CHUNK)
+                lower = trie.first_order(trie.counts_of(word[some]))
+                if k > 2:
+                    lower = trie.lower(k, part, context[some], word[some], lower)
+                logs[some] = np.log10((counts[some] - discount) / totals[context[some]] + left[context[some]] * 10.0 ** lower)
             weights, table = quantise(np.log10(left))
-            write_once(f"{folder}/counts{k}-{part:05d}", counts.astype("<i8").tobytes())
+            if k < order:
+                write_once(f"{folder}/counts{k}-{part:05d}", _narrow(counts))
             write_once(f"{folder}/level{k}-{part:05d}", Level.encode(context, word, n, trie.span, logs, weights, table))
             yield batch(schema, [part], [len(counts)], [int(counts.sum())])
 
         # Every shard writes a level, also one without n-grams.
-        blobs = _counted(texts, grams_of, 2, shards).unionByName(everyone)
+        blobs = _counted(texts, grams_of, 2, shards, span).unionByName(everyone)
         materialise(blobs.groupBy("part").applyInArrow(write_level, ddl), "trie-level")
     return trie
 
@@ -554,9 +594,9 @@ def held_out_column() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
 
 
-def learn_and_score(docs: DataFrame) -> DataFrame:
+def learn_and_score(docs: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
     """Scores all documents with a model of those that are not held out."""
-    trie = learn(docs, held_out_column())
+    trie = learn(docs, held_out_column(), min_count=min_count)
     return score(docs, trie).select(
         "doc_id", held_out_column().alias("held_out"), "n_tokens", "n_known",
         F.lit(trie.n_tokens).cast("long").alias("train_tokens"), "base_score", "score")

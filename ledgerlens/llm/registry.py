@@ -36,7 +36,7 @@ def op3_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngrams.learn_and_score(table(spark, sf_dir, "documents"))
+    return ngrams.learn_and_score(table(spark, sf_dir, "documents"), min_count=ngrams.ALL)
 
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from ledgerlens.llm import ngrams
+from ledgerlens.llm.registry import op4_ngram_trie
 
 
 @settings(deadline=None, max_examples=80)
@@ -92,3 +93,26 @@ def test_odd_documents(spark, odd_docs, no_docs):
     unseen = spark.createDataFrame([(next(i for i in range(99) if zlib.crc32(str(i).encode()) % 7 == 2), "a b")], "doc_id long, text string")
     r = ngrams.learn_and_score(unseen).first()
     assert (r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) == (3, 0, 0, 0.0, 0.0)
+
+
+def test_query_keeps_all_ngrams(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(ngrams, "SHARD_BYTES", 40_000)  # more shards than partitions
+    monkeypatch.setattr(ngrams, "CHUNK", 1_000)
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    want, pruned = brute(rows, least=1), brute(rows)
+    got = {r.doc_id: r for r in op4_ngram_trie(spark, sf_dir).collect()}
+    assert set(got) == set(want)
+    for i, (n, known, total, base, full) in want.items():
+        assert (got[i].n_tokens, got[i].n_known, got[i].train_tokens) == (n, known, total)
+        assert got[i].score == pytest.approx(full, abs=0.02 * n)
+    assert any(got[i].score > pruned[i][4] + 0.5 * got[i].n_tokens for i in want if got[i].held_out)
+
+
+@settings(deadline=None, max_examples=60)
+@given(st.dictionaries(st.integers(0, 2**64 - 1), st.integers(1, 2**40), max_size=50))
+def test_blobs(counts):
+    keys = np.array(sorted(counts), dtype=np.uint64)
+    sums = np.array([counts[k] for k in sorted(counts)], dtype=np.int64)
+    data = ngrams._differences(keys) if len(keys) else b""
+    assert ngrams._from_differences(data).tolist() == keys.tolist()
+    assert ngrams._wide(ngrams._narrow(sums), len(keys)).tolist() == sums.tolist()
