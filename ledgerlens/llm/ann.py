@@ -22,8 +22,9 @@ from ledgerlens.session import materialise
 
 PIVOTS = 256
 PREFIX = 64
-# Share of a block's vectors that is compared exactly, and the least number.
-RERANK_SHARE = 0.06
+# Share of a block's vectors that is compared exactly, and the least number. At a full block the share
+# decides, and the recall must hold there.
+RERANK_SHARE = 0.12
 RERANK_LEAST = 512
 
 POSTINGS = "block int, pivot int, rows binary, places binary"

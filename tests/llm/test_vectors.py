@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,6 +66,31 @@ def test_recall_with_production_settings(spark):
     assert len(got & want) >= 0.9 * len(want)
 
 
+def drawn(n, seed=1):
+    """Distinct vectors from the mean and covariance of each label of the real ones."""
+    real = pq.read_table("/root/testdata/sf0.1/embeddings.parquet").to_pandas().dropna()
+    rng, out = np.random.default_rng(seed), []
+    for _, same in real.groupby("label"):
+        x = np.stack(same["embedding"])
+        out.append(rng.multivariate_normal(x.mean(axis=0), np.cov(x.T), -(-n * len(x) // len(real))))
+    x = np.concatenate(out)
+    return np.float32(x[rng.permutation(len(x))[:n]])
+
+
+@pytest.mark.parametrize("n", [8_192, 16_384])
+def test_recall_where_the_share_decides(spark, n):
+    x = drawn(n)
+    n = len(x)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {(r.query_id, r.vec_id) for r in ann.search(df).collect()}
+    x, asked = np.float64(x), np.arange(0, n, 20)
+    scores = x[asked] @ x.T
+    scores[np.arange(len(asked)), asked] = -np.inf
+    near = np.argpartition(-scores, 19, axis=1)[:, :20]
+    want = {(int(q), int(v)) for q, row in zip(asked, near) for v in row}
+    assert len(got & want) >= 0.92 * len(want)
+
+
 def test_footrule_counts_missing_pivots_at_the_end():
     orders = np.array([[0, 1], [1, 0], [2, 3], [0, 2]])
     files = {p: (r, s) for p, r, s in ann.inverted_files(orders, 4)}
