@@ -11,6 +11,7 @@ from ledgerlens.session import materialise
 
 # A text whose code is longer than eight bits a byte is in no learned language: plain bytes are shorter.
 MOST_BITS = 8.0
+PASSAGE_WORDS = 51
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,8 +34,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts passages that repeat out of the texts; a character that a cut goes through goes with it."""
-    found = suffixes.repeats(docs)
+    """Cuts passages of over 50 words that repeat out of the texts; a character that a cut goes through goes with it."""
+    found = suffixes.repeated_words(docs, PASSAGE_WORDS)
     left = F.decode(suffixes.cut_out(F.col("text"), F.col("removed"), characters=True), "UTF-8")
     text = F.when(F.size("removed") > 0, left).otherwise(F.decode("text", "UTF-8"))
     return found.withColumn("text", text).withColumn(

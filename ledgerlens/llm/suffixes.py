@@ -1,9 +1,9 @@
 """Repeated passages by a sparse suffix array that a distributed, prefix-aware merge sort builds.
 
-A passage of ``LENGTH`` bytes that occurs twice has the same least fingerprint of ``ANCHOR`` bytes in
+A passage of ``length`` bytes that occurs twice has the same least fingerprint of ``anchor`` bytes in
 both places (winnowing), so only suffixes that start at such an anchor can tell a repeat, and only
 anchors whose fingerprint occurs again are sorted. A fingerprint is all that is exchanged to find
-those out. Their suffixes are cut after ``LENGTH`` bytes, sorted where they lie into runs, front-coded
+those out. Their suffixes are cut after ``length`` bytes, sorted where they lie into runs, front-coded
 (every string holds only what follows its common prefix with the one before it), dealt out by range,
 and merged by a loser tree that compares two strings only from the prefix that they are known to
 share. The merge gives the common prefixes of neighbours, from which the repeats follow exactly.
@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+import re
 import struct
 from collections.abc import Iterator
 
@@ -26,8 +27,6 @@ from ledgerlens.llm.common import arrow, batch, slices, utf8
 from ledgerlens.session import materialise
 
 LENGTH = 400
-ANCHOR = 256
-REACH = LENGTH - ANCHOR  # how far before its anchor a passage may start
 SLICE_BYTES = 4 << 20
 RUN_BYTES = 24 << 20
 SAMPLE_DOCS = 2_000
@@ -37,6 +36,8 @@ PLACES = "uid long, place int, sorted boolean"
 RUNS = "part int, run binary"
 SPANS = "uid long, start int, stop int"
 
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+_BLANK = frozenset(b" \t\n\v\f\r")
 _P = 0x9E3779B97F4A7C15 | 1
 
 
@@ -45,7 +46,17 @@ def _mix(h):
     return h ^ (h >> np.uint64(29))
 
 
-def fingerprints(data: np.ndarray, width: int = ANCHOR) -> np.ndarray:
+def anchor_of(length: int) -> int:
+    """Bytes of an anchor: the greatest power of two in ``length``."""
+    return 1 << (length.bit_length() - 1)
+
+
+def reach_of(length: int) -> int:
+    """How far before its anchor a passage may start."""
+    return length - anchor_of(length)
+
+
+def fingerprints(data: np.ndarray, width: int) -> np.ndarray:
     """Hash of the ``width`` bytes (a power of two) from every position, by doubling."""
     h = _mix((data.astype(np.uint64) + np.uint64(1)) * np.uint64(_P))
     step, factor = 1, _P
@@ -56,23 +67,23 @@ def fingerprints(data: np.ndarray, width: int = ANCHOR) -> np.ndarray:
     return _mix(h) if step == width else h[:0]
 
 
-def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def anchors(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Places of anchors and their fingerprints; ``ends`` are where the texts in ``data`` end.
 
-    Of every window of LENGTH bytes inside a text the least fingerprint is taken, the first of equals.
+    Of every window of ``length`` bytes inside a text the least fingerprint is taken, the first of equals.
     """
-    h = fingerprints(data)
+    h = fingerprints(data, anchor_of(length))
     starts = np.concatenate([[0], ends[:-1]])
     valid = np.zeros(len(data) + 1, dtype=np.int32)
-    full = ends - starts >= LENGTH
+    full = ends - starts >= length
     np.add.at(valid, starts[full], 1)
-    np.add.at(valid, ends[full] - LENGTH + 1, -1)
+    np.add.at(valid, ends[full] - length + 1, -1)
     windows = np.flatnonzero(np.cumsum(valid[:-1]) > 0)
     if not len(windows):
         return windows, h[:0]
     place = np.uint64((1 << 28) - 1)
     least = (h & ~place) | np.arange(len(h), dtype=np.uint64)
-    step, width = 1, REACH + 1
+    step, width = 1, reach_of(length) + 1
     while 2 * step <= width:
         least = np.minimum(least[:-step], least[step:])
         step *= 2
@@ -92,13 +103,13 @@ def _with_uid(docs: DataFrame) -> DataFrame:
     return docs.withColumn("uid", F.xxhash64("doc_id", "text")).withColumn("text", text)
 
 
-def find_places(texts: DataFrame, parts: int) -> DataFrame:
+def find_places(texts: DataFrame, parts: int, length: int) -> DataFrame:
     """Anchors that occur again: ``uid, place, sorted``.
 
     Those with equal surroundings (all that any passage around the anchor could cover) are told by a
     hash alone; of each kind of surroundings one, with ``sorted``, goes into the sort if others differ.
     """
-    schema, out = arrow(FOUND), arrow(PLACES)
+    schema, out, reach = arrow(FOUND), arrow(PLACES), reach_of(length)
 
     def run(batches):
         for b in batches:
@@ -106,12 +117,12 @@ def find_places(texts: DataFrame, parts: int) -> DataFrame:
                 data, ends = _texts(rows)
                 if not data:
                     continue
-                at, prints = anchors(np.frombuffer(data, dtype=np.uint8), ends)
+                at, prints = anchors(np.frombuffer(data, dtype=np.uint8), ends, length)
                 if not len(at):
                     continue
                 doc = np.searchsorted(ends, at, side="right")
                 starts = np.concatenate([[0], ends[:-1]])[doc]
-                left, right = np.maximum(at - REACH, starts), np.minimum(at + LENGTH, ends[doc])
+                left, right = np.maximum(at - reach, starts), np.minimum(at + length, ends[doc])
                 view = memoryview(data)
                 contexts = np.fromiter(
                     (xxhash.xxh3_64_intdigest(view[x:y], seed=int(a - x)) for x, y, a in zip(left, right, at)),
@@ -229,12 +240,12 @@ def merge_runs(runs: list):
             node //= 2
 
 
-def repeated(items: list, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def repeated(items: list, shared: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """For sorted ``items`` with common prefixes ``shared``: the first and last byte counts before the
     anchor at which a repeated passage starts, -1 if none does.
 
     A passage that starts x bytes before an anchor occurs again if another suffix shares
-    LENGTH - x bytes after its anchor and x bytes before it.
+    length - x bytes after its anchor and x bytes before it.
     """
     n = len(items)
     after, before = (np.array([len(i[f]) for i in items]) for f in (1, 2))
@@ -244,12 +255,12 @@ def repeated(items: list, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.array(order)
     least, most = np.full(n, -1), np.full(n, -1)
     left_class = np.empty(n, dtype=np.int64)
-    for x in range(REACH + 1):
-        fits = np.flatnonzero((before >= x) & (after >= LENGTH - x))
+    for x in range(reach_of(length) + 1):
+        fits = np.flatnonzero((before >= x) & (after >= length - x))
         if len(fits) < 2:
             continue
         left_class[order] = np.cumsum(left_shared < x)
-        key = np.cumsum(shared < LENGTH - x)[fits] * np.int64(n + 1) + left_class[fits]
+        key = np.cumsum(shared < length - x)[fits] * np.int64(n + 1) + left_class[fits]
         sort = np.argsort(key, kind="stable")
         same = key[sort][1:] == key[sort][:-1]
         twice = np.zeros(len(fits), dtype=bool)
@@ -261,14 +272,14 @@ def repeated(items: list, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return least, most
 
 
-def sort_and_compare(texts: DataFrame, places: DataFrame, parts: int) -> DataFrame:
+def sort_and_compare(texts: DataFrame, places: DataFrame, parts: int, length: int) -> DataFrame:
     """Spans ``uid, start, stop`` of passages around the ``places`` (``uid, places``) that occur again."""
-    schema, out = arrow(RUNS), arrow(SPANS)
+    schema, out, reach = arrow(RUNS), arrow(SPANS), reach_of(length)
 
     def suffixes_of(rows: pa.RecordBatch):
         for uid, text, where in zip(rows.column("uid").to_pylist(), rows.column("text").to_pylist(), rows.column("places").to_pylist()):
             for a in sorted(set(where)):
-                yield text[a:a + LENGTH], text[max(0, a - REACH):a][::-1], uid, a
+                yield text[a:a + length], text[max(0, a - reach):a][::-1], uid, a
 
     def some(batches):
         for b in batches:
@@ -297,7 +308,7 @@ def sort_and_compare(texts: DataFrame, places: DataFrame, parts: int) -> DataFra
         for b in batches:
             for item in suffixes_of(b):
                 held.append(item)
-                size += 2 * LENGTH
+                size += 2 * length
                 if size >= RUN_BYTES:
                     yield flush()
                     held, size = [], 0
@@ -311,14 +322,14 @@ def sort_and_compare(texts: DataFrame, places: DataFrame, parts: int) -> DataFra
         def spans():
             shared = np.array([i[0] for i in held])
             shared[0] = 0
-            least, most = repeated(held, shared)
+            least, most = repeated(held, shared, length)
             hit = np.flatnonzero(most >= 0)
             at = np.array([held[i][4] for i in hit], dtype=np.int64)
-            return batch(out, [held[i][3] for i in hit], at - most[hit], at - least[hit] + LENGTH)
+            return batch(out, [held[i][3] for i in hit], at - most[hit], at - least[hit] + length)
 
         for item in merge_runs([decode_run(r) for r in runs]):
             # Suffixes that share less than an anchor have nothing to do with each other.
-            if item[0] < ANCHOR and len(held) >= 20_000:
+            if item[0] < anchor_of(length) and len(held) >= 20_000:
                 yield spans()
                 held = []
             held.append(item)
@@ -329,11 +340,11 @@ def sort_and_compare(texts: DataFrame, places: DataFrame, parts: int) -> DataFra
     return rows.mapInArrow(make_runs, RUNS).groupBy("part").applyInArrow(merge, SPANS)
 
 
-def removed(text_length: int, copied: list[int], spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+def removed(text_length: int, copied: list[int], spans: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
     """Maximal runs that the surroundings of ``copied`` anchors and the ``spans`` cover together."""
-    around = [(max(0, a - REACH), min(text_length, a + LENGTH)) for a in copied]
+    around = [(max(0, a - reach_of(length)), min(text_length, a + length)) for a in copied]
     merged: list[list[int]] = []
-    for start, stop in sorted([r for r in around if r[1] - r[0] >= LENGTH] + spans):
+    for start, stop in sorted([r for r in around if r[1] - r[0] >= length] + spans):
         if merged and start <= merged[-1][1]:
             merged[-1][1] = max(merged[-1][1], stop)
         else:
@@ -341,10 +352,10 @@ def removed(text_length: int, copied: list[int], spans: list[tuple[int, int]]) -
     return [tuple(r) for r in merged]
 
 
-def repeats(docs: DataFrame) -> DataFrame:
+def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``docs`` with ``removed``: the byte ranges (start, stop) that repeat, ascending and apart.
 
-    A byte repeats if a string of 400 bytes that covers it starts at another place too, in the same
+    A byte repeats if a string of ``length`` bytes that covers it starts at another place too, in the same
     or another document; strings never cross documents. The texts' UTF-8 bytes count; null text is
     empty. All columns are kept, and ``text`` becomes its bytes; a row that occurs twice repeats as a
     whole if it is long enough. Rows without id take part. An empty table gives no rows.
@@ -352,9 +363,9 @@ def repeats(docs: DataFrame) -> DataFrame:
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = _with_uid(docs)
     only = texts.select("uid", "text")
-    places = materialise(find_places(only, parts), "suffix-places")
+    places = materialise(find_places(only, parts, length), "suffix-places")
     to_sort = places.filter("sorted").groupBy("uid").agg(F.collect_set("place").alias("places"))
-    spans = materialise(sort_and_compare(only, materialise(to_sort, "suffix-lists"), parts), "suffix-spans")
+    spans = materialise(sort_and_compare(only, materialise(to_sort, "suffix-lists"), parts, length), "suffix-spans")
     marks = places.filter("NOT sorted").select("uid", "place", F.lit(None).cast("int").alias("stop")).unionByName(
         spans.select("uid", F.col("start").alias("place"), "stop")).distinct()
     marks = materialise(marks.groupBy("uid").agg(F.collect_list(F.struct("place", "stop")).alias("marks")), "suffix-marks")
@@ -366,13 +377,52 @@ def repeats(docs: DataFrame) -> DataFrame:
         return pd.Series([
             [] if m is None else [{"start": int(x), "stop": int(y)} for x, y in removed(
                 int(n), [i["place"] for i in m if i["stop"] is None],
-                [(i["place"], i["stop"]) for i in m if i["stop"] is not None])]
+                [(i["place"], i["stop"]) for i in m if i["stop"] is not None], length)]
             for n, m in zip(lengths, found)])
 
     joined = texts.join(marks, "uid", "left")
     return joined.withColumn("removed", ranges(F.octet_length("text"), F.col("marks"))).drop("marks", "uid")
 
 
+def repeated_words(docs: DataFrame, words: int) -> DataFrame:
+    """Like ``repeats``, for passages of ``words`` whole words and what stands between them, byte by byte.
+
+    A passage that occurs again has ``2 * words - 1`` bytes at least, so it lies in a range of ``repeats``
+    of that length. Only there the passages' 128-bit hashes are counted, as a range may join repeats
+    of fewer words.
+    """
+    found = materialise(repeats(docs, 2 * words - 1).withColumn("_uid", F.xxhash64("doc_id", "text")), "word-ranges")
+    schema = arrow("uid long, start int, stop int, print binary")
+
+    def windows(batches):
+        for b in batches:
+            for uid, text, ranges in zip(b.column("_uid").to_pylist(), b.column("text").to_pylist(), b.column("removed").to_pylist()):
+                rows = []
+                for r in ranges:
+                    at = [m.span() for m in _WORD.finditer(text, r["start"], r["stop"])]
+                    # A word that a range begins or ends in is not whole.
+                    at = [(x, y) for x, y in at if (x == 0 or text[x - 1] in _BLANK) and (y == len(text) or text[y] in _BLANK)]
+                    rows += [(uid, x, y, xxhash.xxh3_128_digest(text[x:y])) for (x, _), (_, y) in zip(at, at[words - 1:])]
+                if rows:
+                    yield batch(schema, *map(list, zip(*rows)))
+
+    some = found.filter(F.size("removed") > 0).select("_uid", "text", "removed")
+    some = materialise(some.mapInArrow(windows, "uid long, start int, stop int, print binary"), "word-windows")
+    again = some.groupBy("print").agg(F.count("*").alias("n")).filter("n > 1").select("print")
+    marks = some.join(again, "print", "left_semi").select("uid", "start", "stop").distinct().groupBy("uid").agg(
+        F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("marks"))
+
+    @F.pandas_udf("array<struct<start:int,stop:int>>")
+    def joined(found):
+        import pandas as pd
+
+        return pd.Series([[] if m is None else [{"start": x, "stop": y} for x, y in removed(
+            0, [], [(int(i["start"]), int(i["stop"])) for i in m], 1)] for m in found])
+
+    rows = found.drop("removed").join(marks, F.col("_uid") == F.col("uid"), "left")
+    return rows.withColumn("removed", joined("marks")).drop("marks", "uid", "_uid")
+
+
 def cut_out(text: Column, ranges: Column, characters: bool = False) -> Column:
     """The bytes outside the ranges, joined; with ``characters``, without bytes of a cut character."""
 

@@ -1,10 +1,13 @@
 import hashlib
+import re
 from collections import Counter
 
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from corpus_pipeline import repeated_passages
 from ledgerlens.llm import suffixes
 
 N = suffixes.LENGTH
@@ -63,3 +66,25 @@ def test_loser_tree_merges_front_coded_runs(runs):
     assert all(o[2] == o[1][::-1] for o in out)
     for a, b in zip(out, out[1:]):
         assert b[0] == suffixes._common(a[1], b[1])
+
+
+def test_pipeline_cuts_passages_of_over_50_words(spark):
+    rng = np.random.default_rng(6)
+    some = lambda n: " ".join("".join(chr(97 + x) for x in rng.integers(0, 26, rng.integers(1, 9))) for _ in range(n))
+    passages = [some(n) for n in (49, 50, 51, 52, 62, 90)] + [" ".join("abcde"[x] for x in rng.integers(0, 5, 51)), some(30), some(30)]
+    rows = [(i, f"{some(9)} {p} {some(7)}") for i, p in enumerate(passages * 2)]
+    # Two short repeats side by side are no long one.
+    rows += [(50, f"{some(3)} {passages[7]} {passages[8]}"), (51, passages[2] + "x " + some(5)), (None, passages[3]), (52, None)]
+    texts = [(t or "").encode() for _, t in rows]
+    spans = [[m.span() for m in re.finditer(rb"\S+", t)] for t in texts]
+    windows = [[(w[j][0], w[j + 50][1]) for j in range(len(w) - 50)] for w in spans]
+    seen = Counter(t[x:y] for t, w in zip(texts, windows) for x, y in w)
+    want = {}
+    for (i, _), t, w in zip(rows, texts, windows):
+        gone = np.zeros(len(t), dtype=bool)
+        for x, y in w:
+            gone[x:y] |= seen[t[x:y]] > 1
+        want[i] = np.frombuffer(t, dtype=np.uint8)[~gone].tobytes().decode()
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_chars", F.length("text").cast("long"))
+    assert {r.doc_id: r.text for r in repeated_passages(spark, df, "").collect()} == want
+    assert all(len(want[i]) < len(t) - 100 for i, t in rows[2:7])
