@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import ann, langid, mixing, neardup, ngrams, packing, suffixes, tokens, topk, warc
+from ledgerlens.llm import ann, langid, mixing, neardup, ngrams, packing, periods, suffixes, tokens, topk, warc
 from ledgerlens.llm.common import n_words
 
 
@@ -70,6 +70,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("predicted.lang").alias("lang_pred"), F.col("predicted.score").alias("score"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_token_files": op2_token_files,
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_repeats": op8_suffix_repeats,
     "op9_mixing": op9_mixing,
     "op10_language_id": op10_language_id,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 OP1_SQL = r"""
