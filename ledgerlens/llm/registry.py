@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import ann, langid, mixing, neardup, ngrams, packing, periods, suffixes, tokens, topk, warc
+from ledgerlens.llm import alignment, ann, langid, mixing, neardup, ngrams, packing, periods, suffixes, tokens, topk, warc
 from ledgerlens.llm.common import n_words
 
 
@@ -15,10 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +74,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods.digest(table(spark, sf_dir, "documents"))
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.digest(
+        table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_token_files": op2_token_files,
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_language_id": op10_language_id,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
 }
 
 OP1_SQL = r"""
