@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import alignment, ann, langid, mixing, neardup, ngrams, packing, periods, suffixes, tokens, topk, warc
+from ledgerlens.llm import alignment, ann, langid, mixing, neardup, ngrams, packing, periods, quality, suffixes, tokens, topk, warc
 from ledgerlens.llm.common import n_words
 
 
@@ -79,6 +79,10 @@ def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_token_files": op2_token_files,
@@ -92,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_tokenizer_alignment": op12_tokenizer_alignment,
+    "op13_quality": op13_quality,
 }
 
 OP1_SQL = r"""
