@@ -1,9 +1,14 @@
 """Exact k nearest neighbours of many points at once, without forming all pairs.
 
 Copies of a point collapse first: no query needs more than k of them. The distinct points are cut
-into cells around pivot points. Each query searches its own cell, which bounds how far its
-neighbours can be, and then visits only the cells that can still hold a nearer one (ball and
-hyperplane bounds). Equal distances are ordered by id.
+into cells by a two-level tree of pivot points: the nearest of the upper pivots, then the nearest of
+that one's lower pivots. Each query searches its own cell, which bounds how far its neighbours can be,
+and then visits only the cells whose bounding box can still hold a nearer one. Inside a cell the points
+lie in small boxes; distances begin with the columns of the greatest variance, and a point that is
+already too far is left there. Equal distances are ordered by id.
+
+With ``groups`` the search is keyed: rows meet only rows of the same group, and one search serves all
+groups, each cut into cells by the same pivots.
 """
 
 from __future__ import annotations
@@ -19,63 +24,192 @@ from pyspark.sql import types as T
 from ledgerlens.operators.ranking import stable_hash
 from ledgerlens.session import materialise
 
-# Distinct points aimed at per cell; more points make more cells, not larger ones.
+# Distinct points aimed at per cell; more points make more cells, up to ``MOST_CELLS``, then larger
+# ones, which are searched in blocks. Pivots and boxes of all cells go out with every task.
 CELL_ROWS = 20_000
-# Queries of a cell that one task searches for.
+MOST_CELLS = 16_384
+# Queries of a cell that one task searches for, and those of them that it takes at once.
 QUERY_ROWS = 5_000
+STEP_ROWS = 1_000
+# Points of the smallest boxes, and the columns by which a point is first told to be too far.
+LEAF_ROWS = 32
+FIRST_COLUMNS = 6
+# Rounding must never hide a point: bounds get a relative margin.
+MARGIN = 1 + 1e-9
 
 
 def _vector(features: list[str]):
     return F.array(*[F.col(f"`{c}`").cast("double") for c in features])
 
 
+def group_key(groups: list[str]):
+    """One column for the group; it is written with the rows, so that joins have a real key."""
+    return F.to_json(F.struct(*[F.col(g) for g in groups])) if groups else F.lit("")
+
+
 def _thin_copies(points: DataFrame, copies: int) -> DataFrame:
     """At most ``copies`` smallest ids of each distinct vector; map tasks already drop the rest."""
-    by_vector = Window.partitionBy("vec").orderBy("id")
+    by_vector = Window.partitionBy("g", "vec").orderBy("id")
     return points.withColumn("_rn", F.row_number().over(by_vector)).where(
         F.col("_rn") <= copies
     ).drop("_rn")
 
 
-def _pivots(points: DataFrame, cell_rows: int) -> np.ndarray | None:
-    """Pivot vectors in a repeatable order, or None where one cell is enough."""
-    vectors = points.select("vec").distinct()
-    m = math.ceil(vectors.count() / cell_rows)
-    if m <= 1:
-        return None
+# --- boxes of a cell's points --------------------------------------------------------------------
+
+def box_gaps(points: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Squared distance from every point to every box."""
+    gaps = np.zeros((len(points), len(lo)))
+    for j in range(points.shape[1]):
+        x = points[:, j, None]
+        gaps += np.maximum(np.maximum(lo[None, :, j] - x, x - hi[None, :, j]), 0.0) ** 2
+    return gaps
+
+
+class Leaves:
+    """Points, in order of their ids, in small boxes: halved at the middle of their widest column."""
+
+    def __init__(self, points: np.ndarray, columns: np.ndarray, leaf_rows: int = LEAF_ROWS):
+        self.points, self.columns = points, columns
+        self.rows, todo = [], [np.arange(len(points))] if len(points) else []
+        while todo:
+            rows = todo.pop()
+            x = points[rows]
+            lo, hi = x.min(axis=0), x.max(axis=0)
+            j = int((hi - lo).argmax())
+            left = x[:, j] <= lo[j] + (hi[j] - lo[j]) / 2
+            if len(rows) <= leaf_rows or left.all():
+                self.rows.append(rows)
+            else:
+                todo += [rows[left], rows[~left]]
+        self.lo = np.array([points[r].min(axis=0) for r in self.rows])
+        self.hi = np.array([points[r].max(axis=0) for r in self.rows])
+
+    def search(self, asked: np.ndarray, limit: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """``(d2, row)`` of the k nearest points of every query that are not beyond its limit, nearest
+        first (infinite where there are fewer), and how many pairs were looked at."""
+        best = np.full((len(asked), k), np.inf)
+        rows = np.full((len(asked), k), len(self.points))
+        if not self.rows or not len(asked):
+            return best, rows, 0
+        kth = limit.copy()
+        bounds = box_gaps(asked, self.lo, self.hi)
+        touched = 0
+
+        def visit(leaf: int, who: np.ndarray) -> None:
+            nonlocal touched
+            held = self.rows[leaf]
+            touched += len(who) * len(held)
+            x, p = asked[who], self.points[held]
+            first = self.columns[:FIRST_COLUMNS]
+            part = np.zeros((len(who), len(held)))
+            for j in first:
+                part += (x[:, j, None] - p[None, :, j]) ** 2
+            q, at = np.nonzero(part <= kth[who, None] * MARGIN)
+            if not len(q):
+                return
+            # In the order of the columns, whatever their variance: equal distances stay equal.
+            d2 = np.zeros(len(q))
+            for j in range(x.shape[1]):
+                d2 += (x[q, j] - p[at, j]) ** 2
+            full = np.full(part.shape, np.inf)
+            full[q, at] = d2
+            some = np.unique(q)
+            who, full = who[some], full[some]
+            near = np.concatenate([best[who], full], axis=1)
+            which = np.concatenate([rows[who], np.broadcast_to(held, full.shape)], axis=1)
+            order = np.lexsort((which, near), axis=1)[:, :k]
+            best[who] = np.take_along_axis(near, order, axis=1)
+            rows[who] = np.take_along_axis(which, order, axis=1)
+            kth[who] = np.minimum(kth[who], best[who, -1])
+
+        # The nearest boxes first, which bound the rest; then each box with all that still need it.
+        seen = np.zeros(bounds.shape, dtype=bool)
+        rounds = min(2, len(self.rows))
+        nearest = np.argsort(bounds, axis=1, kind="stable")[:, :rounds]
+        everyone = np.arange(len(asked))
+        for r in range(rounds):
+            seen[everyone, nearest[:, r]] = True
+            order = np.argsort(nearest[:, r], kind="stable")
+            leaves, start = np.unique(nearest[order, r], return_index=True)
+            for leaf, who in zip(leaves.tolist(), np.split(order, start[1:])):
+                who = who[bounds[who, leaf] <= kth[who] * MARGIN]
+                if len(who):
+                    visit(leaf, who)
+        for leaf in np.argsort(bounds.min(axis=0), kind="stable").tolist():
+            who = np.flatnonzero((bounds[:, leaf] <= kth * MARGIN) & ~seen[:, leaf])
+            if len(who):
+                visit(leaf, who)
+        rows[~(best <= (limit * MARGIN)[:, None])] = len(self.points)
+        best[rows == len(self.points)] = np.inf
+        return best, rows, touched
+
+
+# --- cells ---------------------------------------------------------------------------------------
+
+class Pivots:
+    """Two levels of pivot vectors; a cell is a lower pivot. One cell where there are no vectors."""
+
+    def __init__(self, sample: np.ndarray, cells: int):
+        upper = max(1, min(math.ceil(math.sqrt(cells)), len(sample)))
+        lower = math.ceil(cells / upper)
+        self.upper = sample[:upper]
+        of = self._nearest(sample, self.upper) if len(sample) else np.zeros(0, dtype=int)
+        self.lower = [sample[of == i][:lower] for i in range(len(self.upper))]
+        self.first = np.concatenate([[0], np.cumsum([len(x) for x in self.lower])]).astype(int)
+        self.cells = max(1, int(self.first[-1]))
+
+    @staticmethod
+    def _nearest(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(x), dtype=int)
+        step = max(1, 2_000_000 // max(len(pivots), 1))
+        for at in range(0, len(x), step):
+            d2 = np.zeros((len(x[at:at + step]), len(pivots)))
+            for j in range(x.shape[1]):
+                d2 += (x[at:at + step, j, None] - pivots[None, :, j]) ** 2
+            out[at:at + step] = d2.argmin(axis=1)
+        return out
+
+    def cell_of(self, x: np.ndarray) -> np.ndarray:
+        if self.cells == 1:
+            return np.zeros(len(x), dtype=int)
+        upper, out = self._nearest(x, self.upper), np.zeros(len(x), dtype=int)
+        for i in np.unique(upper):
+            out[upper == i] = self.first[i] + self._nearest(x[upper == i], self.lower[i])
+        return out
+
+    def upper_of_cells(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.upper)), np.diff(self.first))
+
+
+def _pivots(points: DataFrame, n: int, groups: int, cell_rows: int) -> Pivots:
+    """Pivots in a repeatable order, about four sampled vectors for each cell."""
+    cells = min(math.ceil(n / cell_rows), max(1, MOST_CELLS // max(groups, 1)))
+    if cells <= 1:
+        return Pivots(np.zeros((0, 0)), 1)
     text = F.concat_ws(",", F.transform("vec", lambda x: x.cast("string")))
-    rows = vectors.orderBy(stable_hash(text, "pivot"), "vec").limit(m).collect()
-    return np.array([r.vec for r in rows], dtype=float)
+    rows = points.select("vec").distinct().orderBy(stable_hash(text, "pivot"), "vec").limit(4 * cells).collect()
+    return Pivots(np.array([r.vec for r in rows], dtype=float), cells)
 
 
-def _assign_cells(df: DataFrame, pivots: np.ndarray | None) -> DataFrame:
-    """Adds ``cell`` (nearest pivot) and ``reach`` (distance to it)."""
-    schema = T.StructType(
-        df.schema.fields + [T.StructField("cell", T.IntegerType()), T.StructField("reach", T.DoubleType())]
-    )
-    if pivots is None:
-        return df.withColumn("cell", F.lit(0)).withColumn("reach", F.lit(0.0))
+def _assign_cells(df: DataFrame, pivots: Pivots) -> DataFrame:
+    """Adds ``cell``."""
+    schema = T.StructType([*df.schema.fields, T.StructField("cell", T.IntegerType())])
 
     def assign(frames):
         for frame in frames:
-            cells, reach = [], []
-            step = max(1, 2_000_000 // len(pivots))
-            for at in range(0, len(frame), step):
-                x = np.stack(frame["vec"].to_numpy()[at : at + step])
-                d2 = np.zeros((len(x), len(pivots)))
-                for j in range(x.shape[1]):
-                    d2 += (x[:, j, None] - pivots[None, :, j]) ** 2
-                nearest = d2.argmin(axis=1)
-                cells.append(nearest)
-                reach.append(np.sqrt(d2[np.arange(len(x)), nearest]))
-            if cells:
-                yield frame.assign(cell=np.concatenate(cells).astype("int32"), reach=np.concatenate(reach))
+            if len(frame):
+                x = np.stack(frame["vec"].to_numpy())
+                yield frame.assign(cell=pivots.cell_of(x).astype("int32"))
 
     return df.mapInPandas(assign, schema)
 
 
-def _search(queries: DataFrame, points: DataFrame, k: int) -> DataFrame:
-    """The k nearest points of the same cell for every (cell, query) row."""
+_NOTHING = ["qkey", "d2", "id", "label", "vec"]
+
+
+def _search(queries: DataFrame, points: DataFrame, k: int, columns: np.ndarray) -> DataFrame:
+    """The k nearest points of the same cell, not beyond ``worst``, for every (g, cell, query) row."""
     schema = T.StructType(
         [
             T.StructField("qkey", T.LongType()),
@@ -88,129 +222,138 @@ def _search(queries: DataFrame, points: DataFrame, k: int) -> DataFrame:
 
     def search(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         if asked.empty or held.empty:
-            return pd.DataFrame(columns=["qkey", "d2", "id", "label", "vec"], dtype=object)
+            return pd.DataFrame(columns=_NOTHING, dtype=object)
         held = held.sort_values("id", kind="stable").reset_index(drop=True)
-        p = np.stack(held["vec"].to_numpy())
-        take = min(k, len(p))
+        leaves = Leaves(np.stack(held["vec"].to_numpy()), columns)
         found = []
-        step = max(1, 4_000_000 // len(p))
-        for at in range(0, len(asked), step):
-            q = np.stack(asked["vec"].to_numpy()[at : at + step])
-            d2 = np.zeros((len(q), len(p)))
-            for j in range(p.shape[1]):
-                d2 += (q[:, j, None] - p[None, :, j]) ** 2
-            worst = np.partition(d2, take - 1, axis=1)[:, take - 1]
-            row, col = np.nonzero(d2 <= worst[:, None])
-            order = np.lexsort((col, d2[row, col], row))
-            row, col = row[order], col[order]
-            position = np.arange(len(row)) - np.searchsorted(row, row)
-            row, col = row[position < take], col[position < take]
-            found.append((asked["qkey"].to_numpy()[at + row], d2[row, col], col))
-        col = np.concatenate([f[2] for f in found])
+        for at in range(0, len(asked), STEP_ROWS):
+            part = asked.iloc[at : at + STEP_ROWS]
+            limit = part["worst"].to_numpy(dtype=float)
+            d2, row, _ = leaves.search(
+                np.stack(part["vec"].to_numpy()), np.where(np.isnan(limit), np.inf, limit), min(k, len(held)))
+            q, place = np.nonzero(row < len(held))
+            found.append((part["qkey"].to_numpy()[q], d2[q, place], row[q, place]))
+        row = np.concatenate([f[2] for f in found])
         return pd.DataFrame(
             {
                 "qkey": np.concatenate([f[0] for f in found]),
                 "d2": np.concatenate([f[1] for f in found]),
-                "id": held["id"].to_numpy()[col],
-                "label": held["label"].to_numpy()[col],
-                "vec": held["vec"].to_numpy()[col],
+                "id": held["id"].to_numpy()[row],
+                "label": held["label"].to_numpy()[row],
+                "vec": held["vec"].to_numpy()[row],
             }
         )
 
     # A cell with many queries or points is searched in many tasks: each of its blocks of queries meets
     # each of its blocks of points, and the best of all are picked afterwards.
-    sizes = queries.groupBy("cell").agg(F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("asked_in")).join(
-        points.groupBy("cell").agg(F.ceil(F.count("*") / (2 * CELL_ROWS)).cast("int").alias("held_in")), "cell"
+    sizes = queries.groupBy("g", "cell").agg(F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("asked_in")).join(
+        points.groupBy("g", "cell").agg(F.ceil(F.count("*") / (2 * CELL_ROWS)).cast("int").alias("held_in")),
+        ["g", "cell"],
     )
     sizes = materialise(sizes, "knn-sizes")
 
     def blocks(side: DataFrame, key: str, own: str, other: str) -> DataFrame:
         mine = F.pmod(F.xxhash64(key), F.col(own)).cast("int")
         others = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
-        return side.join(sizes, "cell").withColumn(own, mine).withColumn(other, others)
+        return side.join(sizes, ["g", "cell"]).withColumn(own, mine).withColumn(other, others)
 
-    place = ("cell", "asked_in", "held_in")
-    asked = blocks(queries.select("cell", "qkey", "vec"), "qkey", "asked_in", "held_in").groupBy(*place)
-    held = blocks(points.select("cell", "id", "label", "vec"), "id", "held_in", "asked_in").groupBy(*place)
+    place = ("g", "cell", "asked_in", "held_in")
+    asked = blocks(queries.select("g", "cell", "qkey", "vec", "worst"), "qkey", "asked_in", "held_in").groupBy(*place)
+    held = blocks(points.select("g", "cell", "id", "label", "vec"), "id", "held_in", "asked_in").groupBy(*place)
     return asked.cogroup(held).applyInPandas(search, schema)
 
 
-def _visits(queries: DataFrame, own: DataFrame, k: int, pivots: np.ndarray, radius: np.ndarray) -> DataFrame:
-    """Other cells each query has to look into, given what its own cell offered."""
-    bound = own.groupBy("qkey").agg(F.count(F.lit(1)).alias("n"), F.max("d2").alias("worst"))
-    bounded = queries.join(bound, "qkey", "left").select(
-        "qkey", "vec", "cell", F.sqrt(F.when(F.col("n") >= k, F.col("worst"))).alias("limit")
+def _boxes(held: DataFrame, width: int, pivots: Pivots) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """For every group the corners of each cell's box; empty cells have no box (infinite corners)."""
+    corners = held.groupBy("g", "cell").agg(
+        F.array(*[F.min(F.col("vec")[j]) for j in range(width)]).alias("lo"),
+        F.array(*[F.max(F.col("vec")[j]) for j in range(width)]).alias("hi"),
     )
+    out: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    for g, cell, lo, hi in corners.collect():  # at most MOST_CELLS rows
+        if g not in out:
+            out[g] = tuple(np.full((pivots.cells, width), np.inf) for _ in range(2))
+        out[g][0][cell], out[g][1][cell] = lo, hi
+    return out
+
+
+def _visits(bounded: DataFrame, pivots: Pivots, boxes: dict[str, tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """Other cells each query has to look into, given what its own cell offered."""
+    upper = pivots.upper_of_cells()
+
+    def open_cells(x: np.ndarray, worst: np.ndarray, lo: np.ndarray, hi: np.ndarray):
+        """Pairs (query, cell): first the boxes of the upper pivots, then those of their cells."""
+        for u in np.unique(upper):
+            cells = np.flatnonzero((upper == u) & np.isfinite(lo[:, 0]))
+            if not len(cells):
+                continue
+            whole = box_gaps(x, lo[cells].min(axis=0)[None, :], hi[cells].max(axis=0)[None, :])[:, 0]
+            some = np.flatnonzero(whole <= worst * MARGIN)
+            if len(some):
+                q, c = np.nonzero(box_gaps(x[some], lo[cells], hi[cells]) <= worst[some, None] * MARGIN)
+                yield some[q], cells[c]
 
     def visit(frames):
         for frame in frames:
-            step = max(1, 2_000_000 // len(pivots))
-            for at in range(0, len(frame), step):
-                part = frame.iloc[at : at + step]
-                if part.empty:
+            for g, rows in frame.groupby("g"):
+                if g not in boxes:
                     continue
-                x = np.stack(part["vec"].to_numpy())
-                home = part["cell"].to_numpy()
-                limit = part["limit"].to_numpy(dtype=float)
-                limit = np.where(np.isnan(limit), np.inf, limit)
-                d2 = np.zeros((len(x), len(pivots)))
-                gap2 = np.zeros((len(x), len(pivots)))
-                for j in range(x.shape[1]):
-                    d2 += (x[:, j, None] - pivots[None, :, j]) ** 2
-                    gap2 += (pivots[home, j][:, None] - pivots[None, :, j]) ** 2
-                ball = np.sqrt(d2) - radius[None, :]
-                plane = (d2 - d2[np.arange(len(x)), home][:, None]) / np.maximum(
-                    2 * np.sqrt(gap2), np.finfo(float).tiny
-                )
-                # Rounding must never hide a cell: leave a relative margin.
-                margin = 1e-9 * (1 + np.sqrt(d2))
-                open_cells = np.maximum(ball, plane) <= limit[:, None] + margin
-                open_cells &= radius[None, :] >= 0
-                open_cells[np.arange(len(x)), home] = False
-                row, cell = np.nonzero(open_cells)
-                yield pd.DataFrame(
-                    {
-                        "qkey": part["qkey"].to_numpy()[row],
-                        "vec": part["vec"].to_numpy()[row],
-                        "cell": cell.astype("int32"),
-                    }
-                )
-
-    return bounded.mapInPandas(visit, "qkey long, vec array<double>, cell int")
+                for at in range(0, len(rows), STEP_ROWS):
+                    part = rows.iloc[at : at + STEP_ROWS]
+                    limit = part["worst"].to_numpy(dtype=float)
+                    limit = np.where(np.isnan(limit), np.inf, limit)
+                    home = part["cell"].to_numpy()
+                    for q, cell in open_cells(np.stack(part["vec"].to_numpy()), limit, *boxes[g]):
+                        q, cell = q[cell != home[q]], cell[cell != home[q]]
+                        yield pd.DataFrame(
+                            {
+                                "g": g,
+                                "qkey": part["qkey"].to_numpy()[q],
+                                "vec": part["vec"].to_numpy()[q],
+                                "worst": part["worst"].to_numpy()[q],
+                                "cell": cell.astype("int32"),
+                            }
+                        )
+
+    return bounded.mapInPandas(visit, "g string, qkey long, vec array<double>, worst double, cell int")
 
 
 def nearest_neighbours(
     queries: DataFrame, points: DataFrame, features: list[str], k: int,
-    exclude_self: bool = False, cell_rows: int = CELL_ROWS,
+    exclude_self: bool = False, cell_rows: int = CELL_ROWS, groups: list[str] | None = None,
 ) -> DataFrame:
     """Adds ``neighbours`` to the queries: array of (d2, id, label, vec), nearest first.
 
-    Both sides have ``id`` and the feature columns, the points also ``label``. With
-    ``exclude_self`` a point of the query's own id does not count.
+    Both sides have ``id``, the feature columns and the ``groups``, the points also ``label``; only
+    points of the query's own group count. With ``exclude_self`` a point of the query's own id does not.
     """
+    groups = groups or []
     want = k + 1 if exclude_self else k
-    keyed = queries.withColumn("_vec", _vector(features))
+    keyed = queries.withColumn("_g", group_key(groups)).withColumn("_vec", _vector(features))
     held = _thin_copies(
-        points.select("id", F.col("label").cast("int").alias("label"), _vector(features).alias("vec")), want
-    )
+        points.select(
+            group_key(groups).alias("g"), "id", F.col("label").cast("int").alias("label"),
+            _vector(features).alias("vec")),
+        want)
     held = materialise(held, "knn-points")
-    pivots = _pivots(held, cell_rows)
-    asked = keyed.select(F.col("_vec").alias("vec")).distinct().withColumn(
+    spread = [F.coalesce(F.var_pop(F.col("vec")[j]), F.lit(0.0)) for j in range(len(features))]
+    n, n_groups, variance = held.agg(F.count(F.lit(1)), F.count_distinct("g"), F.array(*spread)).first()
+    columns = np.argsort(-np.nan_to_num(np.array(variance, dtype=float)), kind="stable")
+    pivots = _pivots(held, n, n_groups, cell_rows)
+    asked = keyed.select(F.col("_g").alias("g"), F.col("_vec").alias("vec")).distinct().withColumn(
         "qkey", F.monotonically_increasing_id()
     )
     # Written once, so that the generated keys stay what they are.
     asked = materialise(_assign_cells(asked, pivots), "knn-queries")
-    if pivots is None:
-        held = _assign_cells(held, None)
-        found = _search(asked, held, want)
-    else:
-        held = materialise(_assign_cells(held, pivots), "knn-cells")
-        radius = np.full(len(pivots), -1.0)
-        for cell, reach in held.groupBy("cell").agg(F.max("reach")).collect():
-            radius[cell] = reach
-        own = materialise(_search(asked, held, want), "knn-own")
-        visits = _visits(asked, own, want, pivots, radius)
-        found = own.unionByName(_search(visits, held, want))
+    held = materialise(_assign_cells(held, pivots), "knn-cells")
+    found = _search(asked.withColumn("worst", F.lit(None).cast("double")), held, want, columns)
+    if pivots.cells > 1:
+        found = materialise(found, "knn-own")
+        bound = found.groupBy("qkey").agg(F.count(F.lit(1)).alias("n"), F.max("d2").alias("d2"))
+        bounded = asked.join(bound, "qkey", "left").select(
+            "g", "qkey", "vec", "cell", F.when(F.col("n") >= want, F.col("d2")).alias("worst"))
+        visits = _visits(bounded, pivots, _boxes(held, len(features), pivots))
+        found = found.unionByName(_search(visits, held, want, columns))
     best = Window.partitionBy("qkey").orderBy("d2", "id")
     ranked = found.withColumn("_rn", F.row_number().over(best)).where(F.col("_rn") <= want)
     lists = ranked.groupBy("qkey").agg(
@@ -219,8 +362,9 @@ def nearest_neighbours(
             lambda x: F.struct(x["d2"], x["id"], x["label"], x["vec"]),
         ).alias("neighbours")
     )
-    by_vector = asked.select("qkey", F.col("vec").alias("_qvec")).join(lists, "qkey")
-    joined = keyed.join(by_vector, F.col("_vec") == F.col("_qvec"), "left").drop("qkey", "_vec", "_qvec")
+    by_vector = asked.select("qkey", F.col("g").alias("_qg"), F.col("vec").alias("_qvec")).join(lists, "qkey")
+    same = (F.col("_g") == F.col("_qg")) & (F.col("_vec") == F.col("_qvec"))
+    joined = keyed.join(by_vector, same, "left").drop("qkey", "_g", "_vec", "_qg", "_qvec")
     if not exclude_self:
         return joined
     others = F.filter("neighbours", lambda x: x["id"] != F.col("id"))
@@ -228,10 +372,11 @@ def nearest_neighbours(
 
 
 def knn_classify(
-    train: DataFrame, test: DataFrame, features: list[str], k: int = 5, cell_rows: int = CELL_ROWS
+    train: DataFrame, test: DataFrame, features: list[str], k: int = 5, cell_rows: int = CELL_ROWS,
+    groups: list[str] | None = None,
 ) -> DataFrame:
     """Adds ``score`` (share of positive neighbours) and ``prediction`` to the test rows."""
-    found = nearest_neighbours(test, train, features, k, cell_rows=cell_rows)
+    found = nearest_neighbours(test, train, features, k, cell_rows=cell_rows, groups=groups)
     votes = F.aggregate("neighbours", F.lit(0.0), lambda total, x: total + x["label"])
     return (
         found.withColumn("score", votes / F.size("neighbours"))

@@ -45,7 +45,7 @@ def test_base_currency_filter_is_pushed(stored):
 
 CHECKED = [
     "users_first_tx_over_10usd", "asof_fx_rate", "transactions_enriched", "user_feature_table", "days_since_min",
-    "stratified_split", "roc_auc", "crosstab_counts", "prepare_transactions", "standard_scale", "smote_enn",
+    "stratified_split", "roc_auc", "crosstab_counts", "prepare_transactions", "standard_scale", "smote", "smote_enn", "model_knn",
 ]
 
 

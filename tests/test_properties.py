@@ -136,6 +136,72 @@ def test_neighbours_of_far_away_queries(spark, cell_rows):
     assert {r.id: [n.id for n in r.neighbours] for r in got.collect()} == _brute(asked, points, 3, False)
 
 
+@pytest.mark.parametrize("cell_rows", [10_000, 25])
+def test_neighbours_of_groups_stay_in_their_group(spark, cell_rows):
+    """One keyed search gives what a search of each group gives, also where groups hold equal points."""
+    rng = np.random.default_rng(4)
+    rows = [(f"g{i % 3}", i // 3, int(i % 2), *map(float, rng.normal(0, 2, 2).round(1))) for i in range(360)]
+    rows += [(None, i, 0, 1.0, float(i)) for i in range(9)]
+    df = spark.createDataFrame(rows, "part string, id long, label int, x double, y double")
+    got = neighbours.nearest_neighbours(df.drop("label"), df, ["x", "y"], 3, True, cell_rows, ["part"]).collect()
+    assert len(got) == len(rows)
+    for part in ("g0", "g1", "g2", None):
+        points = [r[1:] for r in rows if r[0] == part]
+        want = _brute([(p[0], *p[2:]) for p in points], points, 3, True)
+        assert {r.id: [n.id for n in r.neighbours] for r in got if r.part == part} == want
+
+
+def test_few_points_are_touched_in_encoded_columns():
+    """25 columns as after encoding: nine numbers, and rare and frequent dummies that are scaled."""
+    rng = np.random.default_rng(5)
+    n = 12_000
+    numbers = [rng.integers(0, 900, n), rng.integers(0, 60, n), *(rng.random(n) < p for p in (.9, .3, .7, .4)),
+               rng.exponential(1e6, n).round(), rng.random(n) < .8, rng.integers(1, 6, n)]
+    shares = ([.4, .3, .2, .1], [.5, .3, .1, .07, .03], [.8, .1, .06, .03, .01], [.9, .1])
+    for share in shares:
+        value = rng.choice(len(share), n, p=share)
+        numbers += [value == v for v in range(len(share))]
+    x = np.array(numbers, dtype=float).T
+    assert x.shape[1] == 25
+    points = np.unique((x - x.mean(axis=0)) / x.std(axis=0), axis=0)
+    leaves = neighbours.Leaves(points, np.argsort(-points.var(axis=0)))
+    asked = points[rng.permutation(len(points))[:500]]
+    d2, rows, touched = leaves.search(asked, np.full(500, np.inf), 6)
+    assert touched < 0.1 * len(asked) * len(points)
+    whole = np.zeros((500, len(points)))
+    for j in range(25):
+        whole += (asked[:, j, None] - points[None, :, j]) ** 2
+    order = np.argsort(whole, axis=1, kind="stable")[:, :6]
+    assert np.array_equal(rows, order) and np.array_equal(d2, np.take_along_axis(whole, order, axis=1))
+    # A limit hides what is beyond it, and nothing else.
+    limit = d2[:, 2].copy()
+    near, at, fewer = leaves.search(asked, limit, 6)
+    assert fewer < touched and np.array_equal(np.where(d2 <= limit[:, None], rows, len(points)), at)
+
+
+def test_cells_of_two_levels_cover_all_points():
+    rng = np.random.default_rng(6)
+    sample = rng.normal(size=(400, 5))
+    pivots = neighbours.Pivots(sample, 100)
+    cells = pivots.cell_of(rng.normal(size=(3000, 5)))
+    assert len(pivots.upper) == 10 and 50 < pivots.cells <= 100 and 0 <= cells.min() and cells.max() < pivots.cells
+    assert len(np.unique(cells)) > 0.8 * pivots.cells and len(pivots.upper_of_cells()) == pivots.cells
+
+
+@pytest.mark.parametrize("kind", ["under", "smote", "combine"])
+def test_balancing_of_groups_is_that_of_each_group(spark, kind):
+    rows = [(i % 3, i, int(i % (4 + i % 3) == 0), float(i * 7 % 31), float(i * 13 % 17)) for i in range(180)]
+    rows += [(9, 1000 + i, 1, 0.5, float(i)) for i in range(5)]
+    df = spark.createDataFrame(rows, "fold int, id long, label int, x1 double, x2 double")
+    whole = sampling.resample(df, kind, ["x1", "x2"], groups=["fold"]).select("fold", "id", "label", "x1", "x2")
+    got = sorted(map(tuple, whole.collect()))
+    alone = []
+    for fold in (0, 1, 2, 9):
+        part = sampling.resample(df.where(F.col("fold") == fold).drop("fold"), kind, ["x1", "x2"])
+        alone += [(fold, *r) for r in part.select("id", "label", "x1", "x2").collect()]
+    assert got == sorted(alone)
+
+
 def test_neighbours_fewer_points_than_asked(spark):
     df = spark.createDataFrame([(1, 0, 0.0), (2, 1, 1.0)], "id long, label int, x double")
     got = neighbours.nearest_neighbours(df, df, ["x"], 5, True).collect()
