@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial, reduce
 from itertools import product
 
 from pyspark.ml import PipelineModel
@@ -17,12 +18,10 @@ from ledgerlens.functions.scalar import flag
 from ledgerlens.operators import metrics
 from ledgerlens.operators.actions import decide_action
 from ledgerlens.operators.features import categories, one_hot_expressions, scaler_stats
-from ledgerlens.operators.sampling import fold_of, resample, stratified_split
-from ledgerlens.plans.models import (
-    MODEL_NAMES,
-    fit_model,
-    predict,
-)
+from ledgerlens.operators.neighbours import knn_classify
+from ledgerlens.operators.sampling import edited, fold_of, resample, stratified_split
+from ledgerlens.plans import grouped
+from ledgerlens.plans.models import ESTIMATORS, MODEL_NAMES, fit_model, predict
 from ledgerlens.session import materialise, scratch_path
 from ledgerlens.settings import CATEGORICAL_FEATURES, LABEL, NUMERIC_FEATURES, ModelSettings
 
@@ -87,7 +86,7 @@ def auc_of(scored: DataFrame) -> float:
     return BinaryClassificationEvaluator(rawPredictionCol="score", numBins=0).evaluate(rows)
 
 
-def _scored_cells(cells: list[tuple], columns: list[str], spark: SparkSession, parallelism: int) -> DataFrame:
+def _scored_one_by_one(cells: list[tuple], columns: list[str], spark: SparkSession, parallelism: int) -> DataFrame:
     """``(cell, label, score)`` of the test rows of every ``(model, params, train, test)``.
 
     Fits are independent chains of small jobs: a bounded pool keeps the cluster busy between their
@@ -107,6 +106,25 @@ def _scored_cells(cells: list[tuple], columns: list[str], spark: SparkSession, p
     return spark.read.schema(schema).parquet(folder)
 
 
+def _scored_together(name: str, train: DataFrame, test: DataFrame, columns: list[str]) -> DataFrame:
+    """``(cell, label, score)`` of the test rows of all cells, by a model of each cell's train rows. The
+    number of jobs does not depend on the number of cells."""
+    if name == "KNN":
+        scored = knn_classify(train, test, columns, groups=["cell"])
+    elif name == "LDA":
+        scored = grouped.linear_scores(test, columns, grouped.fit_discriminants(train, columns))
+    elif name == "LogitReg":
+        scored = grouped.linear_scores(test, columns, grouped.fit_logistic(train, columns))
+    elif name == "SVM":
+        mapping = grouped.CosineMap.draw(len(columns))
+        scored = grouped.linear_scores(test, columns, grouped.fit_margins(train, columns, mapping), mapping, False)
+    elif name == "XGB":
+        scored = grouped.boosted_scores(test, columns, *grouped.fit_boosted(train, columns))
+    else:
+        raise ValueError(f"unknown model {name!r}: use one of {MODEL_NAMES}")
+    return scored.select("cell", "label", "score")
+
+
 def _rated(scored: DataFrame, names: list[tuple], ddl: str) -> DataFrame:
     """``test_rows``, ``positives`` and ``auc`` of every cell, in one grouped rank sum."""
     counts = scored.groupBy("cell").agg(
@@ -118,6 +136,46 @@ def _rated(scored: DataFrame, names: list[tuple], ddl: str) -> DataFrame:
     return named.join(rated, "cell").drop("cell")
 
 
+def _spread(df: DataFrame, name: str) -> DataFrame:
+    """Written in as many parts as shuffles have: every job of the fits reads all of it."""
+    return materialise(df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), name)
+
+
+def fold_cells(
+    data: DataFrame, columns: list[str], kinds: tuple, n_splits: int, resample_first: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Train and test rows ``(cell, id, label, columns)`` of every way of balancing and fold; the cell is
+    ``kind * n_splits + fold``.
+
+    The train part of a fold is all other folds. They are balanced together: SMOTE searches the
+    neighbours of all folds at once, and cleaning those of all that have grown.
+    """
+    def folded(rows: DataFrame) -> DataFrame:
+        return materialise(rows.select("id", "label", *columns).withColumn("fold", fold_of("id", n_splits)), "folds")
+
+    def rest_of(rows: DataFrame) -> DataFrame:
+        others = F.filter(F.sequence(F.lit(0), F.lit(n_splits - 1)), lambda f: f != F.col("fold"))
+        return rows.withColumn("fold", F.explode(others))
+
+    whole = None if resample_first else folded(data)
+    grown = None
+    trains, tests = [], []
+    for i, kind in enumerate(kinds):
+        rows = folded(resample(data, kind, columns)) if resample_first else whole
+        if resample_first or kind is None:
+            train = rest_of(rows)
+        elif kind == "under":
+            train = resample(rest_of(rows), kind, columns, groups=["fold"])
+        else:
+            grown = grown or materialise(resample(rest_of(rows), "smote", columns, groups=["fold"]), "grown")
+            train = grown if kind == "smote" else edited(grown, columns, groups=["fold"])
+        number = (F.lit(i * n_splits) + F.col("fold")).cast("int").alias("cell")
+        trains.append(train.select(number, F.col("id").cast("string").alias("id"), "label", *columns))
+        tests.append(rows.select(number, F.col("id").cast("string").alias("id"), "label", *columns))
+    return tuple(_spread(reduce(DataFrame.unionByName, parts), name)
+                 for parts, name in ((trains, "cells-train"), (tests, "cells-test")))
+
+
 def choose_sampling(
     data: DataFrame,
     columns: list[str],
@@ -132,35 +190,30 @@ def choose_sampling(
 
     ``data`` is the train part. Folds come from a hash of the row id. Each fold's train part is
     balanced on its own, once for all models; with ``resample_first`` the rows are balanced once,
-    before the folds are cut.
+    before the folds are cut. All but the library's trees are fitted for all cells together.
     """
-    spark = data.sparkSession
     models = models or MODEL_NAMES
-
-    def folded(rows: DataFrame, name: str) -> DataFrame:
-        return materialise(rows.withColumn("fold", fold_of("id", n_splits)).hint("rebalance"), name)
-
-    whole = None if resample_first else folded(data, "folds")
-    rows = {k: whole or folded(resample(data, k, columns), f"folds-{k}") for k in kinds}
-
-    def balanced(part: tuple) -> DataFrame:
-        kind, fold = part
-        train = rows[kind].where(F.col("fold") != fold).drop("fold")
-        if not resample_first:
-            train = resample(train, kind, columns)
-        return materialise(train.hint("rebalance"), f"fold-{fold}")
-
-    parts = [(k, f) for k in kinds for f in range(n_splits)]
+    train, test = fold_cells(data, columns, kinds, n_splits, resample_first)
+    cells = [(kind or "none", fold) for kind in kinds for fold in range(n_splits)]
+
+    def together(number: int) -> DataFrame:
+        found = _scored_together(models[number], train, test, columns)
+        return materialise(found.withColumn("cell", F.col("cell") + number * len(cells)), "scored")
+
+    def apart(number: int, cell: int) -> DataFrame:
+        mine = [t.where(F.col("cell") == cell).drop("cell") for t in (train, test)]
+        scored = predict(fit_model(models[number], mine[0], columns), mine[1])
+        at = F.lit(number * len(cells) + cell).alias("cell")
+        return materialise(scored.select(at, "label", F.col("score").cast("double").alias("score")), "scored")
+
+    # Chains of small jobs: a bounded pool keeps the cluster busy between their stages.
+    jobs = [partial(together, i) for i, name in enumerate(models) if name not in ESTIMATORS]
+    jobs += [partial(apart, i, c) for i, name in enumerate(models) if name in ESTIMATORS for c in range(len(cells))]
     with ThreadPoolExecutor(parallelism) as pool:
-        trains = list(pool.map(balanced, parts))
-    cells, names = [], []
-    for name in models:
-        for (kind, fold), train in zip(parts, trains):
-            cells.append((name, None, train, rows[kind].where(F.col("fold") == fold).drop("fold")))
-            names.append((kind or "none", name, fold))
-    return _rated(
-        _scored_cells(cells, columns, spark, parallelism), names, "sampling string, model string, fold int"
-    )
+        scored = list(pool.map(lambda job: job(), jobs))
+    rows = [s.select("cell", F.col("label").cast("int").alias("label"), "score") for s in scored]
+    names = [(kind, name, fold) for name in models for kind, fold in cells]
+    return _rated(reduce(DataFrame.unionByName, rows), names, "sampling string, model string, fold int")
 
 
 def cv_auc_by_model(data: DataFrame, columns: list[str], sampling: str | None, **options) -> DataFrame:
@@ -194,7 +247,7 @@ def grid_search(
             rest, test = (folds.where(c).drop("fold") for c in (F.col("fold") != fold, F.col("fold") == fold))
             cells.append((name, params, rest, test))
             names.append((i, str(sorted(params.items())), fold))
-    rated = _rated(_scored_cells(cells, columns, spark, parallelism), names, "at int, params string, fold int")
+    rated = _rated(_scored_one_by_one(cells, columns, spark, parallelism), names, "at int, params string, fold int")
     table = materialise(rated.groupBy("at", "params").agg(
         F.count("fold").alias("folds"), F.sum("test_rows").alias("test_rows"),
         F.sum("positives").alias("positives"), F.avg("auc").alias("mean_auc"),
@@ -222,8 +275,6 @@ def train_model(features: DataFrame, settings: ModelSettings = ModelSettings())
     encoded = encode(encoding, train)
     balanced = materialise(resample(encoded, settings.sampling, encoding.columns, settings.seed), "balanced")
     fitted = fit_model(settings.model, balanced, encoding.columns, settings.params)
-    if not isinstance(fitted, PipelineModel):
-        raise ValueError(f"{settings.model} keeps its training rows and cannot be saved: use fit_model")
     pipeline = PipelineModel([encoding.transformer, *fitted.stages])
     scored = predict(pipeline, test).select("id", "label", "score", "prediction")
     counts = [
