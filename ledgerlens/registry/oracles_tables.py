@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import types as T
+
 from ledgerlens.sources import fixtures as fx
+from ledgerlens.sources import schemas
 
 
 def _columns(columns: dict[str, str]) -> str:
@@ -166,6 +169,25 @@ _KEYS = {"users": ["id"], "transactions": ["id"], "fx_rates": ["ts", "base_ccy",
          "currency_details": ["ccy"]}
 
 
+def _column_sums() -> str:
+    """Values and checksum of every column of the four tables as they are loaded."""
+    parts = []
+    for table in schemas.TABLES.values():
+        for c in table.columns:
+            text = f"CAST({c.name} AS VARCHAR)"
+            if isinstance(c.type, T.TimestampNTZType):
+                text = f"strftime({c.name}, '%Y-%m-%d %H:%M:%S')"
+            elif isinstance(c.type, T.DoubleType):
+                text = f"CAST(CAST(round({c.name} * 10000) AS BIGINT) AS VARCHAR)"
+            elif isinstance(c.type, T.BooleanType):
+                text = f"CAST(CAST({c.name} AS INTEGER) AS VARCHAR)"
+            parts.append(
+                f"SELECT '{table.name}' AS table_name, '{c.name}' AS column_name, count({c.name}) AS n_values,"
+                f" CAST(sum(CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT)) AS BIGINT) AS checksum,"
+                f" count(*) AS loaded, true AS ok FROM {table.name}")
+    return " UNION ALL ".join(parts)
+
+
 def _constraints() -> str:
     parts = []
     for t, names in _NOT_NULL.items():
@@ -330,11 +352,7 @@ ORACLES = {
     "reconcile_counts": "SELECT 'transactions' AS table_name, count(*) AS loaded,"
     " count(*) AS expected, true AS ok FROM orders",
     "load_all_tables": sql(
-        "SELECT 'users' AS table_name, count(*) AS loaded, count(*) AS expected, true AS ok FROM customer"
-        " UNION ALL SELECT 'transactions', count(*), count(*), true FROM orders"
-        " UNION ALL SELECT 'currency_details', count(*), count(*), true FROM currency_details"
-        " UNION ALL SELECT 'fx_rates', count(*), count(*), true FROM fx_rates",
-        "fx_rates", "currency_details"),
+        _column_sums(), "users", "raw_transactions", "transactions", "fx_rates", "currency_details", "fraudsters"),
     "scan_table": sql("SELECT ts, base_ccy, ccy, rate FROM fx_rates", "fx_rates"),
     "scan_table_by_key": sql(
         f"SELECT {_RAW} FROM raw_transactions WHERE user_id IN (SELECT user_id FROM fraudsters)",

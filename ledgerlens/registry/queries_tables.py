@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,13 +62,13 @@ def replace_table(d: Data) -> DataFrame:
 
 
 def reconcile_counts(d: Data) -> DataFrame:
-    return load.reconcile_counts(
-        load.prepare_transactions(d.raw_transactions, d.countries), "transactions", d.path("rec")
-    )
+    rows = load.prepare_transactions(d.raw_transactions, d.countries)
+    return load.reconcile_counts(rows, "transactions", d.path("rec")).select("table_name", "loaded", "expected", "ok")
 
 
 def load_all_tables(d: Data) -> DataFrame:
-    """The whole load job over raw CSV files written from the fixture tables."""
+    """The whole load job over raw CSV files written from the fixture tables, and all four tables read
+    back: values and a checksum of their texts for every column."""
     raw = d.path("raw")
 
     def put(df: DataFrame, name: str) -> None:
@@ -78,7 +80,26 @@ def load_all_tables(d: Data) -> DataFrame:
     put(d.countries, "countries.csv")
     put(d.currency_details.withColumnRenamed("ccy", "currency"), "currency_details.csv")
     put(d.fx_wide, "fx_rates.csv")
-    return load.load_all_tables(d.spark, JobSettings.for_folders(raw, d.path("tables"), d.path("model")))
+    settings = JobSettings.for_folders(raw, d.path("tables"), d.path("model"))
+    report = load.load_all_tables(d.spark, settings).select("table_name", "loaded", "ok")
+    sums = [_column_sums(files.scan_table(d.spark, f"{settings.warehouse}/{n}"), t) for n, t in schemas.TABLES.items()]
+    return reduce(DataFrame.unionByName, sums).join(report, "table_name")
+
+
+def _column_sums(df: DataFrame, table: schemas.Table) -> DataFrame:
+    """``(table_name, column_name, n_values, checksum)``: a sum over hashes of the values' texts."""
+    def text(c: schemas.Column):
+        value = F.col(c.name)
+        if isinstance(c.type, T.TimestampNTZType):
+            return F.date_format(value, "yyyy-MM-dd HH:mm:ss")
+        if isinstance(c.type, T.DoubleType):
+            value = F.round(value * 10000)
+        return (value.cast("long") if isinstance(c.type, T.BooleanType | T.DoubleType) else value).cast("string")
+
+    hashed = {c.name: F.conv(F.substring(F.md5(text(c)), 1, 8), 16, 10).cast("long") for c in table.columns}
+    summed = df.agg(*[F.struct(F.count(c).alias("n_values"), F.sum(h).alias("checksum")).alias(c) for c, h in hashed.items()])
+    return summed.unpivot([], list(hashed), "column_name", "sums").select(
+        F.lit(table.name).alias("table_name"), "column_name", "sums.n_values", "sums.checksum")
 
 
 def scan_table(d: Data) -> DataFrame:

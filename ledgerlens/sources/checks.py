@@ -4,21 +4,26 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.sources.schemas import Table
 
 
-def _column_violations(df: DataFrame, table: Table) -> DataFrame:
-    measures = []
+def column_rules(table: Table) -> list[tuple[str, str, Column]]:
+    """``(column, rule, count of violations)`` of the NOT NULL and length rules."""
+    rules = []
     for c in table.columns:
         if not c.nullable:
-            measures.append((c.name, "not_null", F.count_if(F.col(c.name).isNull())))
+            rules.append((c.name, "not_null", F.count_if(F.col(c.name).isNull())))
         if c.max_length is not None:
             too_long = F.length(F.col(c.name).cast("string")) > c.max_length
-            measures.append((c.name, "max_length", F.count_if(too_long)))
-    counted = df.agg(*[m.alias(f"{name}|{rule}") for name, rule, m in measures])
+            rules.append((c.name, "max_length", F.count_if(too_long)))
+    return rules
+
+
+def _column_violations(df: DataFrame, table: Table) -> DataFrame:
+    counted = df.agg(*[m.alias(f"{name}|{rule}") for name, rule, m in column_rules(table)])
     return (
         counted.unpivot([], counted.columns, "measure", "violations")
         .select(
@@ -30,7 +35,7 @@ def _column_violations(df: DataFrame, table: Table) -> DataFrame:
     )
 
 
-def _key_violations(df: DataFrame, table: Table) -> DataFrame:
+def key_violations(df: DataFrame, table: Table) -> DataFrame:
     key = list(table.primary_key)
     repeated = df.groupBy(*key).count().where("count > 1")
     return repeated.agg(F.count(F.lit(1)).alias("violations")).select(
@@ -45,5 +50,5 @@ def validate_constraints(tables: list[tuple[DataFrame, Table]]) -> DataFrame:
     """``(table_name, column_name, rule, violations)`` for NOT NULL, length and key rules."""
     parts = []
     for df, table in tables:
-        parts += [_column_violations(df, table), _key_violations(df, table)]
+        parts += [_column_violations(df, table), key_violations(df, table)]
     return reduce(DataFrame.unionByName, parts)

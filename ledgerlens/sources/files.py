@@ -56,6 +56,35 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     writer.parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The file system of a path and the path, as Spark itself sees them."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def swap_table(spark: SparkSession, staged: str, path: str) -> None:
+    """Puts a staged table in the place of the table at ``path`` by renaming; the old one goes last.
+
+    A run that ends between the two renames leaves the old table under ``path`` with ``.old`` behind it.
+    """
+    files, new = _file_system(spark, staged)
+    _, here = _file_system(spark, path)
+    _, old = _file_system(spark, f"{path}.old")
+    if files.exists(here):
+        files.delete(old, True)
+        if not files.rename(here, old):
+            raise OSError(f"cannot move {path} away")
+    if not files.rename(new, here):
+        raise OSError(f"cannot publish {path}")
+    files.delete(old, True)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that this run has written."""
+    files, where = _file_system(spark, path)
+    files.delete(where, True)
+
+
 def replace_table(spark: SparkSession, name: str, df: DataFrame) -> None:
     """Replace a catalog table, or create it."""
     df.write.format("parquet").mode("overwrite").saveAsTable(name)

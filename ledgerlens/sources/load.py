@@ -1,8 +1,10 @@
-"""Load job: raw files to clean tables, with a row-count reconciliation."""
+"""Load job: raw files to clean tables: staged, checked while they are written, and swapped in."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +19,8 @@ from ledgerlens.functions.scalar import (
 )
 from ledgerlens.settings import TABLE_COLUMNS, JobSettings, TableSettings
 from ledgerlens.sources import schemas as S
-from ledgerlens.sources.files import header_of, scan_csv, write_table
+from ledgerlens.sources.checks import column_rules
+from ledgerlens.sources.files import drop_path, header_of, scan_csv, swap_table, write_table
 
 
 # --- preparation, one function per table ---------------------------------------------------------
@@ -136,25 +139,79 @@ LOADERS: dict[str, Callable[[SparkSession, TableSettings], DataFrame]] = {
 }
 
 
-# --- reconciliation ------------------------------------------------------------------------------
+# --- stage, check, publish -----------------------------------------------------------------------
 
-_RECONCILED = "table_name string, loaded long, expected long, ok boolean"
+_RECONCILED = "table_name string, loaded long, expected long, ok boolean, violations long"
 
 
-def load_and_reconcile(prepared: DataFrame, name: str, path: str) -> tuple[str, int, int, bool]:
-    """Write a table and compare stored with prepared rows; the prepared rows are counted on the
-    way to the file, so the input is read once."""
+class ConstraintViolation(ValueError):
+    """Prepared rows that a table's rules refuse: ``(table, column, rule, violations)``."""
+
+    def __init__(self, found: list[tuple[str, str, str, int]]):
+        super().__init__("; ".join(f"{t}.{c}: {n} x {rule}" for t, c, rule, n in found))
+        self.found = found
+
+
+@dataclass(frozen=True)
+class Staged:
+    """A table written beside the one it is to replace, with what was seen on the way."""
+
+    name: str
+    path: str
+    staged: str
+    expected: int
+    loaded: int
+    violations: list[tuple[str, str, str, int]]
+
+    @property
+    def ok(self) -> bool:
+        return self.loaded == self.expected and not self.violations
+
+
+def stage(prepared: DataFrame, name: str, path: str) -> Staged:
+    """Writes the prepared rows to a staging folder.
+
+    The rows and the violations of every column rule are counted by the write itself; the keys by one
+    aggregate over the stored key columns, which also counts the stored rows.
+    """
+    spark, table = prepared.sparkSession, S.TABLES[name]
     seen = Observation()
-    write_table(prepared.observe(seen, F.count(F.lit(1)).alias("n")), path)
-    expected = int(seen.get["n"])
-    loaded = prepared.sparkSession.read.schema(prepared.schema).parquet(path).count()
-    return name, loaded, expected, loaded == expected
+    rules = column_rules(table)
+    counted = [m.alias(f"r{i}") for i, (_, _, m) in enumerate(rules)]
+    staged = f"{path}.staged-{uuid.uuid4().hex}"
+    write_table(prepared.observe(seen, F.count(F.lit(1)).alias("n"), *counted), staged)
+    found = [(name, column, rule, int(seen.get[f"r{i}"])) for i, (column, rule, _) in enumerate(rules)]
+    stored = spark.read.schema(prepared.schema).parquet(staged)
+    keys = stored.groupBy(*table.primary_key).count().agg(
+        F.coalesce(F.sum("count"), F.lit(0)).alias("n"), F.count_if(F.col("count") > 1).alias("repeated")).first()
+    found.append((name, "+".join(table.primary_key), "primary_key", int(keys.repeated)))
+    return Staged(name, path, staged, int(seen.get["n"]), int(keys.n), [f for f in found if f[3]])
+
+
+def publish(spark: SparkSession, tables: list[Staged]) -> None:
+    """Swaps in all staged tables, if all of them are whole and clean; else refuses all of them and
+    leaves the published ones as they are."""
+    bad = [v for t in tables for v in t.violations]
+    bad += [(t.name, "*", "stored rows", abs(t.expected - t.loaded)) for t in tables if t.loaded != t.expected]
+    for t in tables:
+        if bad:
+            drop_path(spark, t.staged)
+        else:
+            swap_table(spark, t.staged, t.path)
+    if bad:
+        raise ConstraintViolation(bad)
+
+
+def _reconciled(t: Staged) -> tuple:
+    return t.name, t.loaded, t.expected, t.loaded == t.expected, sum(v[3] for v in t.violations)
 
 
 def reconcile_counts(prepared: DataFrame, name: str, path: str) -> DataFrame:
-    return prepared.sparkSession.createDataFrame(
-        [load_and_reconcile(prepared, name, path)], _RECONCILED
-    )
+    """Stages, checks and publishes one table; one row of stored and prepared rows."""
+    spark = prepared.sparkSession
+    staged = stage(prepared, name, path)
+    publish(spark, [staged])
+    return spark.createDataFrame([_reconciled(staged)], _RECONCILED)
 
 
 def row_count(df: DataFrame, name: str) -> DataFrame:
@@ -162,12 +219,18 @@ def row_count(df: DataFrame, name: str) -> DataFrame:
 
 
 def load_all_tables(spark: SparkSession, settings: JobSettings) -> DataFrame:
-    """Load the tables marked for it, only count the others; one row per table."""
-    rows = []
+    """Load the tables marked for it, only count the others; one row per table.
+
+    All tables are staged and checked before the first is published: a file with rows that the rules of
+    its table refuse stops the load with ``ConstraintViolation``, and nothing has changed.
+    """
+    staged, rows = [], []
     for name, table in settings.tables.items():
         path = f"{settings.warehouse}/{name}"
         if table.insert or settings.insert_all:
-            rows.append(load_and_reconcile(LOADERS[name](spark, table), name, path))
+            staged.append(stage(LOADERS[name](spark, table), name, path))
+            rows.append(_reconciled(staged[-1]))
         else:
-            rows.append((name, spark.read.parquet(path).count(), None, None))
+            rows.append((name, spark.read.parquet(path).count(), None, None, None))
+    publish(spark, staged)
     return spark.createDataFrame(rows, _RECONCILED)

@@ -1,6 +1,7 @@
 """Load layer over raw files, and the whole job from files to actions."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,8 +10,18 @@ from pyspark.sql import types as T
 from ledgerlens import job
 from ledgerlens.registry.data import Data, write_raw_csv
 from ledgerlens.session import scratch_path, shared_dir
-from ledgerlens.settings import TABLE_COLUMNS
-from ledgerlens.sources import checks, files, schemas
+from ledgerlens.settings import TABLE_COLUMNS, JobSettings
+from ledgerlens.sources import checks, files, load, schemas
+
+
+def write_raw_files(d, raw, transactions=None, currencies=None):
+    currencies = d.currency_details if currencies is None else currencies
+    write_raw_csv(d.users.drop("is_fraudster"), f"{raw}/train_users.csv")
+    write_raw_csv(d.fraudsters, f"{raw}/train_fraudsters.csv")
+    write_raw_csv(d.raw_transactions if transactions is None else transactions, f"{raw}/train_transactions.csv")
+    write_raw_csv(d.countries, f"{raw}/countries.csv")
+    write_raw_csv(currencies.withColumnRenamed("ccy", "currency"), f"{raw}/currency_details.csv")
+    write_raw_csv(d.fx_wide, f"{raw}/fx_rates.csv")
 
 
 def put(spark, lines):
@@ -55,6 +66,45 @@ def test_constraint_violations_are_counted(spark):
                      ("ccy", "primary_key"): 1}
 
 
+def currencies(spark, rows):
+    return spark.createDataFrame(rows, "ccy string, iso_code int, exponent int, is_crypto boolean")
+
+
+def test_a_table_is_published_only_when_clean(spark):
+    path = f"{scratch_path(spark, 'wh')}/currency_details"
+    good = [("EUR", 1, 2, False), ("USD", 2, 2, False)]
+    row = load.reconcile_counts(currencies(spark, good), "currency_details", path).first()
+    assert tuple(row) == ("currency_details", 2, 2, True, 0)
+    bad = [("EUR", 1, 2, False), ("EUR", 1, 2, None), ("X" * 11, None, None, True)]
+    with pytest.raises(load.ConstraintViolation) as refused:
+        load.reconcile_counts(currencies(spark, bad), "currency_details", path)
+    assert sorted(refused.value.found) == [
+        ("currency_details", "ccy", "max_length", 1), ("currency_details", "ccy", "primary_key", 1),
+        ("currency_details", "is_crypto", "not_null", 1)]
+    assert sorted(r.ccy for r in spark.read.parquet(path).collect()) == ["EUR", "USD"]
+    load.reconcile_counts(currencies(spark, [("GBP", 3, 2, False)]), "currency_details", path)
+    assert [r.ccy for r in spark.read.parquet(path).collect()] == ["GBP"]
+    # Neither staged nor replaced folders stay behind.
+    assert os.listdir(os.path.dirname(path)) == ["currency_details"]
+
+
+def test_one_bad_file_stops_the_whole_load(spark, sf_dir):
+    d = Data(spark, sf_dir)
+    raw, warehouse = scratch_path(spark, "raw"), scratch_path(spark, "warehouse")
+    write_raw_files(d, raw)
+    settings = JobSettings.for_folders(raw, warehouse, scratch_path(spark, "model"))
+    assert all(r.ok and r.violations == 0 for r in load.load_all_tables(spark, settings).collect())
+    before = {n: spark.read.parquet(f"{warehouse}/{n}").count() for n in TABLE_COLUMNS}
+    repeated = d.raw_transactions.unionByName(d.raw_transactions.limit(3))
+    changed = scratch_path(spark, "changed")
+    write_raw_files(d, changed, transactions=repeated, currencies=d.currency_details.limit(2))
+    with pytest.raises(load.ConstraintViolation) as refused:
+        load.load_all_tables(spark, JobSettings.for_folders(changed, warehouse, "unused"))
+    assert refused.value.found == [("transactions", "id", "primary_key", 3)]
+    assert before == {n: spark.read.parquet(f"{warehouse}/{n}").count() for n in TABLE_COLUMNS}
+    assert sorted(os.listdir(warehouse)) == sorted(TABLE_COLUMNS)
+
+
 def test_scratch_space_is_the_configured_folder(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     assert configured is None or shared_dir(spark) == configured
@@ -63,12 +113,7 @@ def test_scratch_space_is_the_configured_folder(spark):
 def test_job_from_files_to_actions(spark, sf_dir, capsys):
     d = Data(spark, sf_dir)
     raw, warehouse, model = (scratch_path(spark, n) for n in ("raw", "warehouse", "model"))
-    write_raw_csv(d.users.drop("is_fraudster"), f"{raw}/train_users.csv")
-    write_raw_csv(d.fraudsters, f"{raw}/train_fraudsters.csv")
-    write_raw_csv(d.raw_transactions, f"{raw}/train_transactions.csv")
-    write_raw_csv(d.countries, f"{raw}/countries.csv")
-    write_raw_csv(d.currency_details.withColumnRenamed("ccy", "currency"), f"{raw}/currency_details.csv")
-    write_raw_csv(d.fx_wide, f"{raw}/fx_rates.csv")
+    write_raw_files(d, raw)
     folders = ["--data", raw, "--warehouse", warehouse, "--model", model]
     job.main(["--type", "load_db", *folders])
     settings = job.settings_from(job.parse_arguments(folders))
