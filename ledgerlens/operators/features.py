@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import OneHotEncoder
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.scalar import (
@@ -16,6 +17,7 @@ from ledgerlens.functions.scalar import (
 )
 from ledgerlens.operators.facts import user_facts
 from ledgerlens.operators.fx import convert_to_usd_daily
+from ledgerlens.session import materialise
 from ledgerlens.settings import (
     CATEGORICAL_FEATURES,
     FILL_DEFAULT,
@@ -125,16 +127,27 @@ def user_feature_table_by_key(
 
 # --- model matrix --------------------------------------------------------------------------------
 
-def categories(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
-    """Sorted values of each categorical column, found in one pass.
+# The most values that may become columns of a plan. Any more go through ``category_dictionary``.
+WIDE_VALUES = 10_000
 
-    Each value is to become a column, so the values, and nothing else, reach the driver. For a column
-    with very many of them ``one_hot_vector`` makes no columns.
-    """
+
+def _values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Distinct ``(name, value)`` of the columns, found in one pass."""
     pairs = F.array(
         *[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in columns]
     )
-    rows = df.select(F.inline(pairs)).where("value IS NOT NULL").distinct().collect()
+    return df.select(F.inline(pairs)).where("value IS NOT NULL").distinct()
+
+
+def categories(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
+    """Sorted values of each categorical column.
+
+    Each value is to become a column, so the values, and nothing else, reach the driver: at most
+    ``WIDE_VALUES`` of them. With more this is refused, and ``one_hot_vector`` makes no columns.
+    """
+    rows = _values(df, columns).limit(WIDE_VALUES + 1).collect()
+    if len(rows) > WIDE_VALUES:
+        raise ValueError(f"more than {WIDE_VALUES} values in {columns}: use one_hot_vector")
     found: dict[str, list[str]] = {c: [] for c in columns}
     for name, value in sorted(rows):
         found[name].append(value)
@@ -163,19 +176,52 @@ def one_hot(
     return df.selectExpr(*kept, *dummies)
 
 
-def one_hot_vector(df: DataFrame, columns: list[str]) -> DataFrame:
+@dataclass(frozen=True)
+class Dictionary:
+    """``table`` has ``(name, value, at)``: the place of each value among the sorted ones of its column;
+    ``sizes`` how many there are."""
+
+    table: DataFrame
+    sizes: dict[str, int]
+
+
+def category_dictionary(df: DataFrame, columns: list[str]) -> Dictionary:
+    """Numbers the values of categorical columns without bringing them together.
+
+    The values are range-partitioned in order and numbered inside each part; the sizes of the parts
+    give their offsets. The driver sees one number a column.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = _values(df, columns).repartitionByRange(parts, "name", "value")
+    # Written with the number of its part, which a second run might draw elsewhere.
+    ranged = materialise(ranged.withColumn("part", F.spark_partition_id()), "categories")
+    sizes = ranged.groupBy("name", "part").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("name").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("name", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    inside = F.row_number().over(Window.partitionBy("name", "part").orderBy("value"))
+    numbered = ranged.withColumn("pos", inside - 1).join(F.broadcast(offsets), ["name", "part"])
+    table = materialise(numbered.select("name", "value", (F.col("offset") + F.col("pos")).alias("at")), "dictionary")
+    found = {r["name"]: r.n for r in table.groupBy("name").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return Dictionary(table, {c: found.get(c, 0) for c in columns})
+
+
+def one_hot_vector(df: DataFrame, columns: list[str], dictionary: Dictionary | None = None) -> DataFrame:
     """Each column replaced by a sparse vector with a place for every value in sorted order.
 
-    For any number of values; NULL has a place of its own, the last one.
+    For any number of values; NULL, and a value that the dictionary lacks, has a place of its own, the
+    last one. The dictionary is joined: broadcast where its stored size allows, else by shuffle.
     """
+    dictionary = dictionary or category_dictionary(df, columns)
     names = [f"_{c}_at" for c in columns]
-    texts = df.withColumns({c: F.col(c).cast("string") for c in columns})
-    places = StringIndexer(
-        inputCols=columns, outputCols=names, stringOrderType="alphabetAsc", handleInvalid="keep"
-    ).fit(texts)
-    placed = places.transform(texts).drop(*columns)
-    coder = OneHotEncoder(inputCols=names, outputCols=columns, dropLast=False)
-    return coder.fit(placed).transform(placed).drop(*names)
+    placed = df
+    for c, name in zip(columns, names):
+        mine = dictionary.table.where(F.col("name") == c).select(F.col("value").alias(f"_{c}_value"), F.col("at").alias(name))
+        joined = placed.join(mine, F.col(f"`{c}`").cast("string") == F.col(f"_{c}_value"), "left").drop(f"_{c}_value")
+        placed = joined.withColumn(name, F.coalesce(name, F.lit(dictionary.sizes[c])).cast("double"))
+    # The encoder needs to see the last place only.
+    last = df.sparkSession.createDataFrame([[float(dictionary.sizes[c]) for c in columns]], ", ".join(f"`{n}` double" for n in names))
+    coder = OneHotEncoder(inputCols=names, outputCols=columns, dropLast=False).fit(last)
+    return coder.transform(placed.drop(*columns)).drop(*names)
 
 
 def align_columns(df: DataFrame, columns: list[str], fill: float = 0.0) -> DataFrame:

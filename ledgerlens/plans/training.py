@@ -21,7 +21,8 @@ from ledgerlens.operators.features import categories, one_hot_expressions, scale
 from ledgerlens.operators.neighbours import knn_classify
 from ledgerlens.operators.sampling import edited, fold_of, resample, stratified_split
 from ledgerlens.plans import grouped
-from ledgerlens.plans.models import ESTIMATORS, MODEL_NAMES, fit_model, predict
+from ledgerlens.plans.models import ESTIMATORS, MODEL_NAMES, fit_model, fit_sparse_model, predict
+from ledgerlens.plans.transformers import PresentCategories, SparseFeatures
 from ledgerlens.session import materialise, scratch_path
 from ledgerlens.settings import CATEGORICAL_FEATURES, LABEL, NUMERIC_FEATURES, ModelSettings
 
@@ -33,28 +34,29 @@ class Encoding:
     """Fitted one-hot columns and scaler as one SQL projection to ``f0 .. fn``."""
 
     names: tuple[str, ...]
-    transformer: SQLTransformer
+    stages: tuple
 
     @property
     def columns(self) -> list[str]:
         return [f"f{i}" for i in range(len(self.names))]
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return self.transformer.transform(df)
+        return reduce(lambda rows, stage: stage.transform(rows), self.stages, df)
 
 
-def fit_encoding(features: DataFrame, missing_dummy: float = 0.0) -> Encoding:
-    """Categories and population z-scores of the given rows."""
+def fit_encoding(features: DataFrame, missing_dummy: float = 0.0, absent_dummy: float | None = None) -> Encoding:
+    """Categories and population z-scores of the given rows.
+
+    ``missing_dummy`` fills the columns of a row whose category was never seen; ``absent_dummy`` fills
+    a column in all rows of a scored table of which none has its category.
+    """
     values = categories(features, CATEGORICAL_FEATURES)
     raw = {c: f"CAST(`{c}` AS DOUBLE)" for c in NUMERIC_FEATURES}
     for name, sql in one_hot_expressions(values).items():
         raw[name] = f"CAST({sql} AS DOUBLE)"
     plain = features.selectExpr(*[f"{sql} AS `{name}`" for name, sql in raw.items()])
     stats = scaler_stats(plain, list(raw)).first()
-    known = {
-        c: ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in found)
-        for c, found in values.items()
-    }
+    known = {c: ", ".join(map(_text, found)) for c, found in values.items()}
     terms = []
     for i, (name, sql) in enumerate(raw.items()):
         source = next((c for c in CATEGORICAL_FEATURES if name.startswith(f"{c}_")), None)
@@ -64,9 +66,21 @@ def fit_encoding(features: DataFrame, missing_dummy: float = 0.0) -> Encoding:
                 f"CASE WHEN CAST(`{source}` AS STRING) IN ({known[source]}) THEN {sql}"
                 f" ELSE {float(missing_dummy)!r}D END"
             )
+        if absent_dummy is not None and source:
+            value = _text(name.removeprefix(f"{source}_"))
+            sql = f"CASE WHEN array_contains(`_present_{source}`, {value}) THEN {sql} ELSE {float(absent_dummy)!r}D END"
         terms.append(f"({sql} - ({stats[f'm{i}']!r}D)) / ({stats[f's{i}']!r}D) AS f{i}")
-    statement = f"SELECT *, {', '.join(terms)} FROM __THIS__"
-    return Encoding(tuple(raw), SQLTransformer(statement=statement))
+    if absent_dummy is None:
+        return Encoding(tuple(raw), (SQLTransformer(statement=f"SELECT *, {', '.join(terms)} FROM __THIS__"),))
+    helpers = ", ".join(f"_present_{c}" for c in CATEGORICAL_FEATURES)
+    statement = f"SELECT * EXCEPT ({helpers}), {', '.join(terms)} FROM __THIS__"
+    return Encoding(tuple(raw), (PresentCategories(columns=CATEGORICAL_FEATURES), SQLTransformer(statement=statement)))
+
+
+def _text(value: str) -> str:
+    """A value as SQL text."""
+    quoted = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{quoted}'"
 
 
 def labelled(features: DataFrame) -> DataFrame:
@@ -262,7 +276,7 @@ def grid_search(
 @dataclass(frozen=True)
 class Trained:
     pipeline: PipelineModel  # feature table -> probability and prediction
-    encoding: Encoding
+    encoding: Encoding | SparseFeatures
     test_scored: DataFrame  # (id, label, score, prediction) of the untouched test part
     balance: DataFrame  # (stage, label, n)
 
@@ -271,11 +285,21 @@ def train_model(features: DataFrame, settings: ModelSettings = ModelSettings())
     """Split, encode, balance the train part only, fit, and score the test part."""
     table = materialise(stratified_split(labelled(features), settings.test_size, settings.seed), "split")
     train, test = table.where("part = 'train'"), table.where("part = 'test'")
-    encoding = fit_encoding(table if settings.fit_on == "all" else train, settings.missing_dummy)
-    encoded = encode(encoding, train)
-    balanced = materialise(resample(encoded, settings.sampling, encoding.columns, settings.seed), "balanced")
-    fitted = fit_model(settings.model, balanced, encoding.columns, settings.params)
-    pipeline = PipelineModel([encoding.transformer, *fitted.stages])
+    fitted_on = table if settings.fit_on == "all" else train
+    if settings.sparse:
+        # Synthetic rows need dense columns.
+        if settings.sampling not in (None, "under"):
+            raise ValueError("sparse categories can be balanced by 'under' only")
+        encoding = SparseFeatures.fit(fitted_on, NUMERIC_FEATURES, CATEGORICAL_FEATURES)
+        encoded = encoding.transform(train).select("id", "label", "features")
+        balanced = materialise(resample(encoded, settings.sampling, ["features"], settings.seed), "balanced")
+        pipeline = PipelineModel([encoding, fit_sparse_model(settings.model, balanced, settings.params)])
+    else:
+        encoding = fit_encoding(fitted_on, settings.missing_dummy, settings.absent_dummy)
+        encoded = encode(encoding, train)
+        balanced = materialise(resample(encoded, settings.sampling, encoding.columns, settings.seed), "balanced")
+        fitted = fit_model(settings.model, balanced, encoding.columns, settings.params)
+        pipeline = PipelineModel([*encoding.stages, *fitted.stages])
     scored = predict(pipeline, test).select("id", "label", "score", "prediction")
     counts = [
         df.groupBy("label").agg(F.count(F.lit(1)).alias("n")).select(F.lit(stage).alias("stage"), "label", "n")

@@ -66,6 +66,8 @@ class ModelSettings:
     seed: int = 42
     fit_on: str = "train"  # 'all' fits scaler and categories on every row, before the split
     missing_dummy: float = 0.0  # value of a one-hot column whose category was not seen
+    absent_dummy: float | None = None  # value of a one-hot column whose category no scored row has
+    sparse: bool = False  # categories stay in a table: for columns with any number of values
 
 
 @dataclass(frozen=True)

@@ -21,13 +21,21 @@ def header_of(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
     return [n.lower() for n in names]
 
 
+def has_quoted_breaks(spark: SparkSession, path: str) -> bool:
+    """Whether a line has an odd number of quotes, that is a quoted cell goes on in the next line."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+
+
 def scan_csv(
-    spark: SparkSession, path: str, schema: T.StructType, sep: str = ","
+    spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", quoted_breaks: bool | None = None
 ) -> DataFrame:
     """Delimited file with a header row, typed by column **name** from ``schema``.
 
     The header decides the order of the cells and may hold columns the schema lacks; those are not
-    kept. Cells are read as text, missing-value texts become NULL, and then each is cast once, so a
+    kept. Files are split at line ends and read in many tasks; where quoted cells hold line breaks
+    (``quoted_breaks``; found by a look at the lines when it is not given) a file is one task. Cells are
+    read as text, missing-value texts become NULL, and then each is cast once, so a
     cell that does not fit its type fails the job instead of vanishing.
     """
     raw = normalize_columns(
@@ -35,7 +43,7 @@ def scan_csv(
         .option("sep", sep)
         .option("mode", "FAILFAST")
         .option("escape", '"')
-        .option("multiLine", False)
+        .option("multiLine", has_quoted_breaks(spark, path) if quoted_breaks is None else quoted_breaks)
         .csv(path)
     )
     typed = []

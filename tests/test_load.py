@@ -2,12 +2,14 @@
 
 import datetime as dt
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens import job
+from ledgerlens.plans.models import MODEL_NAMES
 from ledgerlens.registry.data import Data, write_raw_csv
 from ledgerlens.session import scratch_path, shared_dir
 from ledgerlens.settings import TABLE_COLUMNS, JobSettings
@@ -40,6 +42,21 @@ def test_scan_csv_by_name_with_gaps(spark):
     assert rows == sorted([(36, None, " x ", dt.datetime(2020, 1, 1, 10)), (None, 1.5, None, None)], key=str)
 
 
+def test_scan_csv_with_line_breaks_and_quotes_in_cells(spark):
+    texts = ["plain", "two\nlines", 'a "quoted" word', "three\n\nlines, and a comma", 'ends with "', "last\n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "a int, b string")
+    path = scratch_path(spark, "breaks")
+    quoted = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.repartition(3).write.options(**quoted).csv(path)
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+    assert files.has_quoted_breaks(spark, path)
+    assert sorted(tuple(r) for r in files.scan_csv(spark, path, schema).collect()) == list(enumerate(texts))
+    tidy = scratch_path(spark, "tidy")
+    df.where("a in (0, 2)").write.options(**quoted).csv(tidy)
+    assert not files.has_quoted_breaks(spark, tidy)
+    assert sorted(tuple(r) for r in files.scan_csv(spark, tidy, schema).collect()) == [(0, texts[0]), (2, texts[2])]
+
+
 def test_scan_csv_refuses_bad_cells(spark):
     schema = T.StructType([T.StructField("a", T.IntegerType())])
     with pytest.raises(Exception):
@@ -128,6 +145,11 @@ def test_job_from_files_to_actions(spark, sf_dir, capsys):
     assert "f1" in out and "action_label" in out
     job.main(["--type", "load_db", "--only", "fx_rates", *folders])
     keys = spark.createDataFrame([("7",), ("8",), ("missing",)], "id string")
+    for name in MODEL_NAMES:
+        # Each kind of model is trained, stored, loaded and scored with by the job's own steps.
+        chosen = replace(settings, model=replace(settings.model, model=name, sampling="under", params={}), model_dir=f"{model}-{name}")
+        assert job.run_training(spark, chosen).where("metric = 'f1'").count() == 4
+        assert sorted(r.id for r in job.run_scoring(spark, chosen, keys).collect()) == ["7", "8"]
     scored = job.run_scoring(spark, settings, keys).collect()
     assert sorted(r.id for r in scored) == ["7", "8"]
     assert all(0 <= r.probability <= 1 and r.action in ("BOTH", "ALERT", "NOTHING") for r in scored)

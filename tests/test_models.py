@@ -82,3 +82,41 @@ def test_encoding_is_fitted_on_the_train_part_only(spark, sf_dir):
     plain = training.encode(encoding, odd).first()
     filled = training.encode(training.fit_encoding(table, missing_dummy=-1.0), odd).first()
     assert all(filled[f"f{i}"] < plain[f"f{i}"] for i in kyc)
+
+
+def test_training_on_sparse_categories_of_any_number(spark, sf_dir):
+    """More values than columns are allowed: dictionary, sparse vectors, storage and scoring."""
+    table = Data(spark, sf_dir).features.withColumn("kyc", F.concat("kyc", F.col("id") * 131 % 50_000))
+    many = materialise(table.unionByName(table.withColumn("id", F.col("id") + 1_000_000).withColumn("kyc", F.lit("same"))), "many")
+    settings = training.ModelSettings(sampling="under", model="RF", params={"numTrees": 3}, sparse=True)
+    trained = training.train_model(many, settings)
+    folder = scratch_path(spark, "sparse")
+    trained.pipeline.write().overwrite().save(folder)
+    before, after = (sorted((r.id, r.score) for r in models.predict(p, many).select("id", "score").collect())
+                     for p in (trained.pipeline, PipelineModel.load(folder)))
+    assert before == after and len(before) == many.count()
+    assert all(0 <= score <= 1 for _, score in before)
+    with pytest.raises(ValueError):
+        training.train_model(many, training.ModelSettings(sampling="smote", sparse=True))
+
+
+def test_columns_whose_category_no_scored_row_has_are_filled(spark, sf_dir):
+    table = materialise(training.labelled(Data(spark, sf_dir).features), "features")
+    plain, filled = training.fit_encoding(table), training.fit_encoding(table, absent_dummy=-1.0)
+    whole = [sorted(map(tuple, training.encode(e, table).collect())) for e in (plain, filled)]
+    assert whole[0] == whole[1]
+    one = table.limit(1)
+    values = one.first()
+    a, b = (training.encode(e, one).first() for e in (plain, filled))
+    numbers = {n: f"f{i}" for i, n in enumerate(plain.names)}
+    for name, column in numbers.items():
+        source = next((c for c in ("terms_version", "type_freq", "state_freq", "kyc") if name.startswith(f"{c}_")), None)
+        if source and name != f"{source}_{values[source]}":
+            assert b[column] < a[column]
+        else:
+            assert b[column] == a[column]
+    trained = training.train_model(table.drop("label"), training.ModelSettings(sampling="under", model="LDA", params={}, absent_dummy=-1.0))
+    folder = scratch_path(spark, "absent")
+    trained.pipeline.write().overwrite().save(folder)
+    scored = models.predict(PipelineModel.load(folder), table)
+    assert not [c for c in scored.columns if c.startswith("_present")] and scored.count() == table.count()

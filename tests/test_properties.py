@@ -215,6 +215,22 @@ def test_any_number_of_categories(spark):
     assert len({int(r.kind.indices[0]) for r in rows}) == 5000 and all(r.kind.values[0] == 1 for r in rows)
 
 
+def test_two_hundred_thousand_categories_stay_in_tables(spark):
+    """Places are those of the sorted values; NULL and unknown values share the last place."""
+    n = 200_000
+    df = spark.range(n).select("id", F.concat(F.lit("v"), F.col("id") * 7919 % n).alias("kind"), F.lit("one").alias("same"))
+    found = features.category_dictionary(df, ["kind", "same"])
+    assert found.sizes == {"kind": n, "same": 1}
+    table = {r.value: r.at for r in found.table.where("name = 'kind'").collect()}
+    assert [table[v] for v in sorted(table)] == list(range(n))
+    odd = spark.createDataFrame([("v5", "one"), ("none", "two"), (None, None)], "kind string, same string")
+    rows = features.one_hot_vector(odd, ["kind", "same"], found).collect()
+    assert sorted((int(r.kind.indices[0]), int(r.same.indices[0])) for r in rows) == sorted([(table["v5"], 0), (n, 1), (n, 1)])
+    assert {r.kind.size for r in rows} == {n + 1}
+    with pytest.raises(ValueError):
+        features.categories(df, ["kind"])
+
+
 def test_mean_keeps_small_and_large_values(spark):
     df = spark.createDataFrame([(1, 1e-8), (1, 3e-8), (2, 1e19), (2, 3e19), (3, None)], "k int, v double")
     got = dict(df.groupBy("k").agg(scalar.stable_avg("v")).collect())
