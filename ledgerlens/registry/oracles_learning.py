@@ -99,7 +99,51 @@ _BALANCED = (
     " (SELECT count(*) AS n FROM split WHERE part = 'train' GROUP BY label))"
 )
 
+# Pooled covariance of two classes in two columns, its inverse written out, and the linear score.
+_LDA = {
+    "points": _POINTS,
+    "split": _SPLIT,
+    "train": "SELECT * FROM split WHERE part = 'train'",
+    "means": "SELECT label, count(*)::DOUBLE AS n, avg(x1) AS a, avg(x2) AS b FROM train GROUP BY 1",
+    "pooled": "SELECT sum((x1 - a) ** 2) / (sum(1) - 2) AS s11, sum((x1 - a) * (x2 - b)) / (sum(1) - 2) AS s12,"
+    " sum((x2 - b) ** 2) / (sum(1) - 2) AS s22 FROM train JOIN means USING (label)",
+    "solved": "SELECT (s22 * (q.a - p.a) - s12 * (q.b - p.b)) / (s11 * s22 - s12 * s12) AS w1,"
+    " (s11 * (q.b - p.b) - s12 * (q.a - p.a)) / (s11 * s22 - s12 * s12) AS w2, p.a + q.a AS a2, p.b + q.b AS b2,"
+    " ln(q.n / p.n) AS odds FROM pooled, means p, means q WHERE p.label = 0 AND q.label = 1",
+}
+# The angle of the first axis of two centred columns; a direction's greater loading is positive.
+_PCA = {
+    "points": _POINTS,
+    "centred": "SELECT id, label, x1 - avg(x1) OVER () AS u, x2 - avg(x2) OVER () AS v FROM points",
+    "turned": "SELECT 0.5 * atan2(2 * covar_samp(u, v), var_samp(u) - var_samp(v)) AS t FROM centred",
+    "signs": "SELECT cos(t) AS c, sin(t) AS s, CASE WHEN CASE WHEN abs(cos(t)) >= abs(sin(t)) THEN cos(t) ELSE sin(t)"
+    " END < 0 THEN -1 ELSE 1 END AS g, CASE WHEN CASE WHEN abs(sin(t)) >= abs(cos(t)) THEN -sin(t) ELSE cos(t)"
+    " END < 0 THEN -1 ELSE 1 END AS h FROM turned",
+}
+_TEST_ROWS = "SELECT id, label, true AS score_valid, true AS prediction_follows FROM split WHERE part = 'test'"
+_ACTIONS = "SELECT c_custkey AS id, true AS probability_valid, true AS action_allowed, true AS label_follows FROM customer"
+_REPORT_NAMES = (
+    "SELECT CAST(c AS VARCHAR) AS class, metric, CASE WHEN metric = 'support' THEN (SELECT count(*) FROM split"
+    " WHERE part = 'test' AND label = c)::DOUBLE END AS support, true AS value_valid FROM (VALUES (0), (1)) AS k(c)"
+    " CROSS JOIN (VALUES ('precision'), ('recall'), ('f1'), ('support')) AS m(metric)"
+    " UNION ALL SELECT avg_, metric, CASE WHEN metric = 'support' THEN (SELECT count(*) FROM split"
+    " WHERE part = 'test')::DOUBLE END, true FROM (VALUES ('macro avg'), ('weighted avg')) AS k(avg_)"
+    " CROSS JOIN (VALUES ('precision'), ('recall'), ('f1'), ('support')) AS m(metric)"
+    " UNION ALL SELECT 'accuracy', 'accuracy', NULL, true"
+)
+
 ORACLES = {
+    **{f"model_{m}": sql(_TEST_ROWS, points=_POINTS, split=_SPLIT) for m in ("logreg", "cart", "svm", "gbt", "rf")},
+    "model_lda": sql(
+        "SELECT id, label, round(1 / (1 + exp(-(w1 * x1 + w2 * x2 - (w1 * a2 + w2 * b2) / 2 + odds))), 6) AS score"
+        " FROM split, solved WHERE part = 'test'", **_LDA),
+    "pca_2d": sql(
+        "SELECT id, label, round(g * (c * u + s * v), 4) AS pc1, round(h * (c * v - s * u), 4) AS pc2"
+        " FROM centred, signs", **_PCA),
+    "train_model": sql(_REPORT_NAMES, points=_POINTS, split=_SPLIT),
+    "save_load_pipeline": "SELECT c_custkey AS id, true AS score_valid, true AS prediction_follows FROM customer",
+    "score_users": f"{_ACTIONS} WHERE c_acctbal < 0",
+    "pipeline_train_predict": _ACTIONS,
     "standard_scale": sql(
         " UNION ALL ".join(
             f"SELECT id, '{c}' AS feature, round((CAST({c} AS DOUBLE) - (SELECT avg({c}) FROM features))"

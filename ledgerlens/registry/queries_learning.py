@@ -11,7 +11,7 @@ from ledgerlens.operators.actions import decide_action
 from ledgerlens.plans import models, training
 from ledgerlens.registry.data import Data
 from ledgerlens.session import materialise
-from ledgerlens.settings import NUMERIC_FEATURES
+from ledgerlens.settings import ACTION_LABELS, NUMERIC_FEATURES, THRESHOLD_ALERT, THRESHOLD_SUSPECT
 
 _ROUND = 6
 _XY = ["x1", "x2"]
@@ -28,13 +28,34 @@ def class_balance(d: Data) -> DataFrame:
     return sampling.class_balance(d.points, "before").unionByName(sampling.class_balance(after, "after"))
 
 
+def _split_points(d: Data) -> tuple[DataFrame, DataFrame]:
+    split = materialise(sampling.stratified_split(d.points), "split")
+    return split.where("part = 'train'").drop("part"), split.where("part = 'test'").drop("part")
+
+
 def model_knn(d: Data) -> DataFrame:
     """Test part of all users classified by the five nearest users of the train part."""
-    split = materialise(sampling.stratified_split(d.points), "split")
-    train, test = split.where("part = 'train'").drop("part"), split.where("part = 'test'").drop("part")
+    train, test = _split_points(d)
     return neighbours.knn_classify(train, test, _XY).select("id", "label", "score", "prediction")
 
 
+def model_lda(d: Data) -> DataFrame:
+    """Test part of all users scored by the discriminant of the train part."""
+    train, test = _split_points(d)
+    scored = models.predict(models.fit_model("LDA", train, _XY), test)
+    return scored.select("id", "label", F.round("score", _ROUND).alias("score"))
+
+
+def _checked(scored: DataFrame, *kept: str, cut: float = 0.5, bounded: bool = True) -> DataFrame:
+    """What must hold for every row of a fitted model, instead of the fitted value itself: there is a
+    score, within its bounds, and the prediction follows from it."""
+    score = F.col("score")
+    inside = score.between(0, 1) if bounded else ~F.isnan(score)
+    return scored.select(
+        *kept, F.coalesce(inside, F.lit(False)).alias("score_valid"),
+        F.coalesce(F.col("prediction") == (score > cut).cast("double"), F.lit(False)).alias("prediction_follows"))
+
+
 def _encoded(d: Data) -> tuple[DataFrame, DataFrame, list[str]]:
     """Encoded train and test rows of all users."""
     table = materialise(sampling.stratified_split(training.labelled(d.features)), "split")
@@ -43,12 +64,12 @@ def _encoded(d: Data) -> tuple[DataFrame, DataFrame, list[str]]:
     return training.encode(encoding, train), training.encode(encoding, test), encoding.columns
 
 
-def _model(name: str, params: dict | None = None):
+def _model(name: str, params: dict | None = None, **checks):
     def query(d: Data) -> DataFrame:
         train, test, columns = _encoded(d)
         balanced = materialise(sampling.resample(train, "under", columns), "balanced")
         fitted = models.fit_model(name, balanced, columns, params)
-        return models.predict(fitted, test).select("id", "label", "score", "prediction")
+        return _checked(models.predict(fitted, test), "id", "label", **checks)
 
     return query
 
@@ -56,19 +77,16 @@ def _model(name: str, params: dict | None = None):
 _FOREST = {"impurity": "entropy", "minInstancesPerNode": 3, "numTrees": 10}
 
 
-def _all_encoded(d: Data) -> tuple[DataFrame, list[str]]:
-    table = materialise(training.labelled(d.features), "labelled")
-    encoding = training.fit_encoding(table)
-    return training.encode(encoding, table), encoding.columns
-
-
 def pca_2d(d: Data) -> DataFrame:
-    data, columns = _all_encoded(d)
-    return models.pca_2d(data, columns)
+    reduced = models.pca_2d(d.points, _XY)
+    return reduced.withColumns({c: F.round(c, 4) for c in ("pc1", "pc2")})
 
 
 def train_model(d: Data) -> DataFrame:
-    return training.evaluate(training.train_model(d.stored_features))
+    """The report on the test part: how many rows of each class it rests on, and that measures are shares."""
+    report = training.evaluate(training.train_model(d.stored_features))
+    support = F.when(F.col("metric") == "support", F.col("value"))
+    return report.select("class", "metric", support.alias("support"), (support.isNotNull() | F.col("value").between(0, 1)).alias("value_valid"))
 
 
 def _valid_auc(df: DataFrame, column: str) -> DataFrame:
@@ -105,7 +123,19 @@ def save_load_pipeline(d: Data) -> DataFrame:
     """All users scored by a model that went through storage."""
     table = d.stored_features
     pipeline, _ = _saved(d, table)
-    return models.predict(pipeline, table).select("id", "score", "prediction")
+    return _checked(models.predict(pipeline, table), "id")
+
+
+def _checked_actions(scored: DataFrame) -> DataFrame:
+    """Probability within bounds, and an action with its label that the probability allows."""
+    labels = F.create_map(*[F.lit(x) for pair in ACTION_LABELS.items() for x in pair])
+    p = F.col("probability")
+    allowed = F.when(p < THRESHOLD_SUSPECT, F.col("action") == "NOTHING").when(
+        p < THRESHOLD_ALERT, F.col("action").isin("ALERT", "NOTHING")).otherwise(F.col("action").isin("ALERT", "BOTH", "NOTHING"))
+    return scored.select(
+        "id", F.coalesce(p.between(0, 1), F.lit(False)).alias("probability_valid"),
+        F.coalesce(allowed, F.lit(False)).alias("action_allowed"),
+        (F.col("action_label") == labels[F.col("action")]).alias("label_follows"))
 
 
 def score_users(d: Data) -> DataFrame:
@@ -114,14 +144,14 @@ def score_users(d: Data) -> DataFrame:
     asked = feat.user_feature_table_by_key(
         d.users, d.transactions, d.fx_rates, d.currency_details, d.fraudsters, start
     )
-    return training.score_users(pipeline, asked)
+    return _checked_actions(training.score_users(pipeline, asked))
 
 
 def pipeline_train_predict(d: Data) -> DataFrame:
     """The configured path end to end: features, split, balancing, forest, storage, all actions."""
     table = d.stored_features
     pipeline, _ = _saved(d, table)
-    return training.score_users(pipeline, table)
+    return _checked_actions(training.score_users(pipeline, table))
 
 
 def decide(d: Data) -> DataFrame:
@@ -145,9 +175,9 @@ QUERIES = {
     "pca_2d": pca_2d,
     "model_logreg": _model("LogitReg"),
     "model_knn": model_knn,
-    "model_lda": _model("LDA"),
+    "model_lda": model_lda,
     "model_cart": _model("CART"),
-    "model_svm": _model("SVM"),
+    "model_svm": _model("SVM", cut=0.0, bounded=False),
     "model_gbt": _model("XGB"),
     "model_rf": _model("RF", _FOREST),
     "train_model": train_model,
