@@ -22,11 +22,16 @@ def quality_weight(quality: Column) -> Column:
     return F.when(quality == 1, 2.0).when(quality == 0, 0.5).otherwise(1.0)
 
 
-def with_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Adds ``_weight`` from ``labels``; with several labels of a document the best counts."""
+def with_quality(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, source``, the words of the text as ``_words``, and ``_weight`` from ``labels``; with
+    several labels of a document the best counts.
+
+    Words are counted in the scan: no text travels through the join.
+    """
     best = labels.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).agg(
         F.max("quality").alias("_quality"))
-    return docs.join(best, docs["doc_id"] == best["_id"], "left").withColumn(
+    sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("_words"), *keep)
+    return sized.join(best, sized["doc_id"] == best["_id"], "left").withColumn(
         "_weight", quality_weight(F.col("_quality"))).drop("_id", "_quality")
 
 
@@ -65,10 +70,12 @@ def source_targets(sizes: DataFrame, cycle: tuple, share: float, max_epochs: int
 
 def mix(
     docs: DataFrame, seed: int = 7, cycle: tuple = (5, 2, 1), share: float = 1.0, max_epochs: int = 3,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Per document: ``doc_id, source, size, source_size, target, epochs, taken, sample_key``.
 
-    ``docs`` has ``doc_id, text, source`` and, if quality counts, ``_weight`` (positive; null is 1).
+    ``docs`` has ``doc_id, source``, ``text`` or its number of words as ``_words`` and, if quality counts,
+    ``_weight`` (positive; null is 1). Columns named in ``keep`` go with their rows.
     ``taken`` is the number of words the mix takes, repeats counted: ``size`` times the whole epochs,
     plus ``size`` for the documents of the last, partial epoch. A source ends within half a document
     of its target. Null or empty text has size 0 and is never taken. Null sources are one source.
@@ -77,7 +84,7 @@ def mix(
     """
     weight = F.coalesce(F.col("_weight"), F.lit(1.0)) if "_weight" in docs.columns else F.lit(1.0)
     sizes = materialise(docs.select(
-        "doc_id", "source", n_words(F.col("text")).alias("size"),
+        "doc_id", "source", *keep, (F.col("_words") if "_words" in docs.columns else n_words(F.col("text"))).alias("size"),
         (-F.log(uniform(F.col("doc_id"), seed)) / weight).alias("sample_key"),
     ), "mix-sizes")
     targets = materialise(source_targets(sizes, cycle, share, max_epochs).withColumn(
@@ -109,5 +116,5 @@ def mix(
     return at_edge.unionByName(rest).select(
         "doc_id", "source", "size", "source_size", "target", "epochs",
         (F.col("size") * (F.col("epochs") + F.when(chosen, 1).otherwise(0))).cast("long").alias("taken"),
-        "sample_key",
+        "sample_key", *keep,
     )
