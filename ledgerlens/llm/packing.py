@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from ledgerlens.session import materialise
 
 
+# Sequences of a bucket are numbered in so many groups (2 to this power) that follow one another.
+GROUP_BITS = 14
+
+
 def optimal_boundaries(histogram: dict[int, int], buckets: int) -> list[int]:
     """Ascending bucket lengths (at most ``buckets``) with the least total padding.
 
@@ -57,7 +61,6 @@ def sequences(docs: DataFrame, length: str, max_len: int) -> DataFrame:
 
 def pack(
     docs: DataFrame, length: str, max_len: int = 2048, buckets: int = 8, token_budget: int = 65_536,
-    groups: int | None = None,
 ) -> DataFrame:
     """Per sequence: ``doc_id, piece, start, n_tokens, bucket_len, batch, slot, padding``.
 
@@ -77,9 +80,9 @@ def pack(
     for b in reversed(bounds):
         bucket = F.when(F.col("n_tokens") <= b, F.lit(b).cast("long")).otherwise(bucket)
     bucket = F.when(F.col("n_tokens") > 0, bucket)
-    groups = groups or 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = pieces.withColumn("bucket_len", bucket).withColumn("_h", F.xxhash64("doc_id", "piece", "n_tokens"))
-    placed = placed.withColumn("_g", F.pmod("_h", F.lit(groups)))
+    # The order is that of the hash, whatever the cluster: its high bits cut it into groups.
+    placed = placed.withColumn("_g", F.shiftright("_h", 64 - GROUP_BITS))
     before = Window.partitionBy("bucket_len").orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)
     offsets = placed.groupBy("bucket_len", "_g").agg(F.count("*").alias("_n")).select(
         F.col("bucket_len").alias("_b"), F.col("_g").alias("_og"),

@@ -42,6 +42,18 @@ def test_pack_covers_every_token_once(spark, sf_dir):
         assert sorted(slots) == list(range(len(slots))) and (len(slots) == full or k == last[b] and len(slots) < full)
 
 
+def test_pack_does_not_depend_on_the_cluster(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("n", n_words(F.col("text")))
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for parts in ("8", "50"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            found.append(sorted(map(tuple, packing.pack(docs, "n").collect()), key=str))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1]
+
+
 def test_pack_odd(odd_docs, no_docs):
     rows = packing.pack(odd_docs.withColumn("n", n_words(F.col("text"))), "n", max_len=16).collect()
     assert {r.doc_id for r in rows} == {1, 2, 3, 4, 5, 6, 7, 8, None}
