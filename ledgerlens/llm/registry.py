@@ -53,7 +53,7 @@ def op7_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffixes.digest(table(spark, sf_dir, "documents"))
+    return suffixes.digest(table(spark, sf_dir, "documents"), with_text=True)
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

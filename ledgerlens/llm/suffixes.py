@@ -445,13 +445,13 @@ def cut_out(text: Column, ranges: Column, characters: bool = False) -> Column:
     return cut(text, ranges)
 
 
-def digest(docs: DataFrame) -> DataFrame:
-    """Per document: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and ``text``, what is left of it; a
-    character that a cut goes through is replaced in ``text`` only."""
+def digest(docs: DataFrame, with_text: bool = False) -> DataFrame:
+    """Per document: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and, if asked for, ``text``, what is
+    left of it; a character that a cut goes through is replaced there, not in the checksum."""
     found = repeats(docs.select("doc_id", "text"))
     length = F.aggregate("removed", F.lit(0).cast("long"), lambda a, r: a + r["stop"] - r["start"])
     cut = found.withColumn("kept", cut_out(F.col("text"), F.col("removed")))
+    left = [F.make_valid_utf8(F.col("kept").cast("string")).alias("text")] if with_text else []
     return cut.select(
         "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), length.alias("n_removed"),
-        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
-        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
+        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), *left)
