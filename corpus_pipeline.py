@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import langid, mixing, neardup, packing, suffixes
@@ -43,13 +43,24 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats documents, or leaves them out, so that the sources meet their target weights."""
+    """Repeats documents, or leaves them out, so that the sources meet their target weights.
+
+    Every row counts by itself, also where ids are null or repeat. Rows that are equal in all columns
+    share what is taken of them as evenly as it goes. Null and empty texts are not taken, null sources
+    are one source, an empty table gives none.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
-    mixed = mixing.mix(mixing.with_quality(docs.select("doc_id", "text", "source"), labels))
-    times = mixed.filter("taken > 0").select(
-        F.col("doc_id").alias("_id"), (F.col("taken") / F.col("size")).cast("int").alias("_times")).distinct()
-    taken = docs.join(times, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return taken.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    names = docs.columns
+    rows = docs.withColumn("_row", F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in names]))))
+    mixed = mixing.mix(mixing.with_quality(rows, labels, keep=("_row",)), keep=("_row",))
+    times = mixed.groupBy(F.col("_row").alias("_taken")).agg(
+        F.count(F.lit(1)).alias("_equal"), F.sum(F.try_divide("taken", "size")).cast("long").alias("_times")).filter("_times > 0")
+    taken = rows.join(times, F.col("_row") == F.col("_taken"))
+    place = F.row_number().over(Window.partitionBy("_row").orderBy("_row"))
+    each = F.expr("_times DIV _equal") + F.when(place <= F.col("_times") % F.col("_equal"), 1).otherwise(0)
+    counted = taken.withColumn("_each", each.cast("int")).filter("_each > 0")
+    return counted.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_each")))).select(
+        *[F.col(f"`{c}`") for c in names])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
