@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.scalar import USD, minor_units_to_usd, nearest_day, stable_avg
-from ledgerlens.session import broadcast_if_small
+from ledgerlens.session import broadcast_if_small, materialise
 
 
 def filter_base_usd(fx_rates: DataFrame) -> DataFrame:
@@ -15,7 +15,20 @@ def filter_base_usd(fx_rates: DataFrame) -> DataFrame:
 
 # --- as-of ---------------------------------------------------------------------------------------
 
-def rate_pieces(fx_rates: DataFrame) -> DataFrame:
+def day_quotes(fx_rates: DataFrame) -> DataFrame:
+    """``(ccy, day, quotes)``: the USD-based quotes ``(ts, rate)`` of a currency's day in order of time."""
+    return (
+        filter_base_usd(fx_rates)
+        .groupBy("ccy", F.to_date("ts").alias("day"))
+        .agg(F.sort_array(F.collect_list(F.struct("ts", "rate"))).alias("quotes"))
+    )
+
+
+def last_quoted_day(days: DataFrame) -> DataFrame:
+    return days.agg(F.max("day").alias("last_day"))
+
+
+def rate_pieces(days: DataFrame) -> DataFrame:
     """Validity pieces of the quotes: ``(ccy, day, since, until, rate_ts, rate)``.
 
     A piece covers part of one day, so an as-of lookup is an equality on (currency, day) plus a
@@ -23,28 +36,20 @@ def rate_pieces(fx_rates: DataFrame) -> DataFrame:
     repeated once for each of them, so the table grows with the calendar, not with the lookups.
     Past the last day with any quote one closing piece per currency stands for all later days.
     ``since`` or ``until`` is NULL where the piece reaches the edge of its day.
+
+    ``days`` is ``day_quotes``, stored: only its one row a currency and day is ever sorted.
     """
-    quotes = filter_base_usd(fx_rates).select(
-        "ccy", F.to_date("ts").alias("day"), F.col("ts").alias("rate_ts"), "rate"
-    )
-    in_day = Window.partitionBy("ccy", "day").orderBy("rate_ts")
-    within = quotes.select(
-        "ccy", "day", F.col("rate_ts").alias("since"),
-        F.lead("rate_ts").over(in_day).alias("until"), "rate_ts", "rate",
-    )
-    # One row per currency and quoted day: its first time, its last quote.
-    days = quotes.groupBy("ccy", "day").agg(
-        F.min("rate_ts").alias("opens"),
-        F.max("rate_ts").alias("rate_ts"),
-        F.max_by("rate", "rate_ts").alias("rate"),
-    )
+    quotes = F.col("quotes")
+    within = days.select("ccy", "day", F.inline(F.transform(quotes, lambda q, i: F.struct(
+        q["ts"].alias("since"), F.get(quotes, i + 1)["ts"].alias("until"), q["ts"].alias("rate_ts"), q["rate"].alias("rate")))))
     by_day = Window.partitionBy("ccy").orderBy("day")
-    closing_day = F.date_add(last_quoted_day(fx_rates).scalar(), 1)
+    last = F.element_at("quotes", -1)
+    closing_day = F.date_add(last_quoted_day(days).scalar(), 1)
     spans = days.select(
-        "ccy", "rate_ts", "rate",
+        "ccy", last["ts"].alias("rate_ts"), last["rate"].alias("rate"),
         F.date_add("day", 1).alias("from_day"),
         F.coalesce(F.lead("day").over(by_day), closing_day).alias("to_day"),
-        F.lead("opens").over(by_day).alias("next_opens"),
+        F.lead(quotes[0]["ts"]).over(by_day).alias("next_opens"),
     )
     carried = spans.withColumn(
         "day", F.explode(F.sequence("from_day", "to_day", F.expr("INTERVAL 1 DAY")))
@@ -56,17 +61,14 @@ def rate_pieces(fx_rates: DataFrame) -> DataFrame:
     return within.unionByName(carried)
 
 
-def last_quoted_day(fx_rates: DataFrame) -> DataFrame:
-    return filter_base_usd(fx_rates).agg(F.to_date(F.max("ts")).alias("last_day"))
-
-
 def asof_fx_rate(df: DataFrame, fx_rates: DataFrame) -> DataFrame:
     """Adds ``rate_ts`` and ``rate``: last USD-based quote of the row's currency at or before its
-    time, however old; NULL where there is none."""
-    pieces = broadcast_if_small(rate_pieces(fx_rates)).select(
+    time, however old; NULL where there is none. The rates are read once."""
+    days = materialise(day_quotes(fx_rates), "day-quotes")
+    pieces = broadcast_if_small(rate_pieces(days)).select(
         F.col("ccy").alias("_ccy"), F.col("day").alias("_day"), "since", "until", "rate_ts", "rate"
     )
-    closing_day = F.date_add(last_quoted_day(fx_rates).scalar(), 1)
+    closing_day = F.date_add(last_quoted_day(days).scalar(), 1)
     keyed = df.withColumn("_lookup", F.least(F.to_date("created_date"), closing_day))
     at = F.col("created_date")
     found = (

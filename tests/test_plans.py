@@ -90,6 +90,16 @@ def test_hot_join_key_is_split(spark):
             spark.conf.unset(key)
 
 
+def test_asof_reads_the_rates_once(spark, stored):
+    """All that the lookup needs of the rates comes from one job over them; the join itself reads none."""
+    days = fx.day_quotes(stored["fx_rates"])
+    assert plan_of(days).count("Location: ") == 1
+    folder = stored["fx_rates"].inputFiles()[0].rsplit("/", 1)[0]
+    joined = fx.asof_fx_rate(stored["transactions"], stored["fx_rates"])
+    assert folder.removeprefix("file://") not in plan_of(joined)
+    assert "SortMergeJoin" not in plan_of(joined)
+
+
 def test_heavy_user_is_combined_before_the_shuffle(stored):
     plan = plan_of(facts.first_date_by_user(stored["transactions"]))
     assert "partial_min" in plan
