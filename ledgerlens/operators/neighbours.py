@@ -30,9 +30,9 @@ CELL_ROWS = 20_000
 MOST_CELLS = 16_384
 # Queries of a cell that one task searches for, and those of them that it takes at once.
 QUERY_ROWS = 5_000
-STEP_ROWS = 1_000
+STEP_ROWS = 5_000
 # Points of the smallest boxes, and the columns by which a point is first told to be too far.
-LEAF_ROWS = 32
+LEAF_ROWS = 128
 FIRST_COLUMNS = 6
 # Rounding must never hide a point: bounds get a relative margin.
 MARGIN = 1 + 1e-9
