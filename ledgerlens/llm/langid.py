@@ -21,6 +21,7 @@ ORDER = 3
 # The bounded sample that the models are fitted on: documents of a language and bytes of each.
 SAMPLE_DOCS = 400
 SAMPLE_BYTES = 4_000
+PIECES = 8
 UNKNOWN = "und"
 SLICE_BYTES = 1 << 20
 
@@ -121,20 +122,40 @@ def has_letter(text: bytes) -> bool:
     return bool(_ASCII_LETTER.search(text)) or not text.isascii() and any(c.isalpha() for c in text.decode())
 
 
+def _pieces(text: Column, draw: Column) -> Column:
+    """Up to ``SAMPLE_BYTES`` of a text: the whole of a short one, of a longer one ``PIECES`` pieces, each
+    at a hashed place in its part of the text."""
+    size, n = F.octet_length(text), SAMPLE_BYTES // PIECES
+    part = (size - n) / PIECES
+
+    def piece(i: Column) -> Column:
+        share = F.pmod(F.xxhash64(draw, i), F.lit(1_000_003)) / F.lit(1_000_003.0)
+        return F.substring(text, (F.floor(part * (i + share)) + 1).cast("int"), F.lit(n))
+
+    return F.when(size <= SAMPLE_BYTES, F.array(text)).otherwise(
+        F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)), piece))
+
+
 def fit(docs: DataFrame, held_out: Column) -> dict[str, Model]:
     """A model for every non-null ``lang`` of documents that are not held out.
 
     At most ``SAMPLE_DOCS`` documents of a language, chosen by a stable hash, with ``SAMPLE_BYTES`` of
-    each: the driver holds no more than this for each language.
+    each, taken all over its text: the driver holds no more than this for each language.
     """
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text")
-    known = docs.select("doc_id", "text", "lang", held_out.alias("_out")).filter(
+    draw = F.xxhash64("doc_id", "text")
+    known = docs.select("doc_id", "text", "lang", held_out.alias("_out"), draw.alias("_draw")).filter(
         "NOT _out AND lang IS NOT NULL AND length(text) > 0").drop("_out")
-    rows = known.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= SAMPLE_DOCS).select(
-        "lang", F.substring(F.col("text").cast("binary"), 1, SAMPLE_BYTES).alias("text")).collect()
+    # The draws alone are ranked; a bounded number of them then fetches the texts from the scan.
+    order = Window.partitionBy("lang").orderBy("_draw")
+    wanted = known.select("lang", "_draw").distinct().withColumn("_n", F.row_number().over(order)).filter(
+        F.col("_n") <= SAMPLE_DOCS).select(F.col("lang").alias("_lang"), F.col("_draw").alias("_key"))
+    found = known.join(F.broadcast(wanted), (F.col("lang") == F.col("_lang")) & (F.col("_draw") == F.col("_key")))
+    # Rows that are repeated whole count once.
+    rows = found.select("lang", "_draw", _pieces(F.col("text").cast("binary"), F.col("_draw")).alias("pieces")).dropDuplicates(
+        ["lang", "_draw"]).orderBy("lang", "_draw").collect()
     texts: dict[str, list[bytes]] = {}
     for r in rows:
-        texts.setdefault(r.lang, []).append(bytes(r.text))
+        texts.setdefault(r.lang, []).extend(bytes(p) for p in r.pieces)
     return {lang: Model(texts[lang]) for lang in sorted(texts)}
 
 

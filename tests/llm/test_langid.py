@@ -60,3 +60,15 @@ def test_odd_documents(odd_docs, no_docs):
     assert langid.identify(no_docs, langid.fit(no_docs, langid.held_out_column())).count() == 0
     nothing = langid.identify(odd_docs, {}).collect()
     assert {r.predicted.lang for r in nothing} == {"und"}
+
+
+def test_models_learn_from_all_over_a_long_text(spark):
+    """A long text in one language under a heading in another: the heading is a small share of the sample."""
+    body, head = "zwei drei vier " * 4000, "one two three " * 300
+    rows = [(i, head + body if i % 2 else "short text here", "de" if i % 2 else "en") for i in range(40)]
+    rows += [rows[1]] * 5
+    models = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), langid.F.lit(False))
+    bits = {n: m.bits(langid.gram_codes(b"zwei drei vier " * 20)[0]).sum() for n, m in models.items()}
+    assert set(models) == {"de", "en"} and bits["de"] * 5 < bits["en"]
+    # 20 different texts of 4,000 bytes, each counted once.
+    assert int(models["de"].levels[0].total.sum()) == 20 * langid.SAMPLE_BYTES
