@@ -23,7 +23,7 @@ SAMPLE_DOCS = 400
 SAMPLE_BYTES = 4_000
 PIECES = 8
 UNKNOWN = "und"
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 256 << 10
 
 _PAD = b"\n" * ORDER
 _ASCII_LETTER = re.compile(rb"[A-Za-z]")

@@ -27,8 +27,8 @@ from ledgerlens.llm.common import arrow, batch, slices, utf8
 from ledgerlens.session import materialise
 
 LENGTH = 400
-SLICE_BYTES = 1 << 20
-RUN_BYTES = 24 << 20
+SLICE_BYTES = 256 << 10
+RUN_BYTES = 8 << 20
 SAMPLE_DOCS = 2_000
 
 FOUND = "part int, prints binary, contexts binary, docs binary, places binary"
