@@ -30,34 +30,37 @@ def exact_type(x: np.ndarray, q: np.ndarray):
 
 
 def sorted_lists(x: np.ndarray) -> np.ndarray:
-    """``lists[d]``: rows in ascending order of component d."""
-    return np.argsort(x, axis=0, kind="stable").T.copy()
+    """``lists[0, d]``: rows in ascending order of component d; ``lists[1, d]``: in descending order."""
+    rising = np.argsort(x, axis=0, kind="stable").T.astype(np.int32)
+    return np.stack([rising, rising[:, ::-1]])
 
 
 def threshold_search(x: np.ndarray, lists: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows met and their scores; every row not met scores below the k-th of these.
 
-    The lists are read in steps that double, so the bound is tested a few times only.
+    The lists are read in steps that double, so the bound is tested a few times only. Where the
+    components are alike and independent, rows are met in all lists long before the bound falls; the
+    search then ends when no row is left to meet.
     """
     n = len(x)
     used = np.flatnonzero(q != 0)
-    met = np.zeros(n, dtype=bool)
-    rows, scores = [], []
+    if not len(used):
+        return np.arange(n), x @ q  # a query of zeros: everything scores zero
+    way = (q[used] > 0).astype(np.int8)
+    unmet = np.ones(n, dtype=bool)
+    rows, scores = [], np.zeros(0, dtype=x.dtype)
     depth, before = min(FIRST_DEPTH, n), 0
-    while len(used):
-        reading = np.where((q[used] > 0)[:, None], lists[used, n - depth:n - before], lists[used, before:depth])
-        new = np.unique(reading)
-        new = new[~met[new]]
-        met[new] = True
+    while True:
+        reading = np.zeros(n, dtype=bool)
+        reading[lists[way, used, before:depth].ravel()] = True
+        new = np.flatnonzero(reading & unmet)
+        unmet[new] = False
         rows.append(new)
-        scores.append(x[new] @ q)
-        last = np.where(q[used] > 0, lists[used, n - depth], lists[used, depth - 1])
-        bound = (x[last, used] * q[used]).sum()
-        everything = np.concatenate(scores)
-        if depth == n or len(everything) >= k and np.partition(everything, len(everything) - k)[len(everything) - k] > bound:
-            return np.concatenate(rows), everything
+        scores = np.concatenate([scores, x[new] @ q])
+        bound = (x[lists[way, used, depth - 1], used] * q[used]).sum()
+        if len(scores) == n or len(scores) >= k and np.partition(scores, len(scores) - k)[len(scores) - k] > bound:
+            return np.concatenate(rows), scores
         before, depth = depth, min(2 * depth, n)
-    return np.arange(n), x @ q  # a query of zeros: everything scores zero
 
 
 def search(
