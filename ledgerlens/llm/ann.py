@@ -20,7 +20,8 @@ from ledgerlens.llm.vectors import (
 )
 from ledgerlens.session import materialise
 
-PIVOTS = 256
+# The more pivots share out a block's postings, the fewer of them a query reads with its own prefix.
+PIVOTS = 512
 PREFIX = 64
 # Share of a block's vectors that is compared exactly, and the least number. At a full block the share
 # decides, and the recall must hold there.
@@ -38,9 +39,13 @@ def pick_pivots(vectors: DataFrame, pivots: int, seed: int) -> np.ndarray:
 
 
 def nearest_pivots(x: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
-    """Numbers of the nearest pivots, nearest first: largest cosine, ties to the smaller number."""
+    """Numbers of the nearest pivots, nearest first: largest cosine, ties in the order to the smaller number."""
     unit = pivots / np.linalg.norm(pivots, axis=1, keepdims=True)
-    return np.argsort(-(x @ unit.T), axis=1, kind="stable")[:, :prefix]
+    close = x @ unit.T
+    if prefix == close.shape[1]:
+        return np.argsort(-close, axis=1, kind="stable")
+    some = np.sort(np.argpartition(-close, prefix - 1, axis=1)[:, :prefix], axis=1)
+    return np.take_along_axis(some, np.argsort(-np.take_along_axis(close, some, 1), axis=1, kind="stable"), 1)
 
 
 def inverted_files(orders: np.ndarray, pivots: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
@@ -60,13 +65,22 @@ def footrule(order: np.ndarray, files: dict, n_rows: int, prefix: int) -> np.nda
     cost what is left of its own places.
     """
     everything = prefix * (prefix + 1) // 2  # sum of (prefix - place) over all places
-    gain = np.zeros(n_rows, dtype=np.int32)
-    for place, pivot in enumerate(order):
-        if pivot in files:
-            rows, places = files[pivot]
-            # Without the match both sides would pay (prefix - place); with it they pay the difference.
-            gain[rows] += (prefix - place) + (prefix - places) - np.abs(places.astype(np.int32) - place)
-    return 2 * everything - gain
+    met = [(place, *files[pivot]) for place, pivot in enumerate(order) if pivot in files]
+    if not met:
+        return np.full(n_rows, 2 * everything, dtype=np.int64)
+    # Without a match both sides would pay (prefix - place); with it they pay the difference, which saves
+    # twice what the later of the two places would pay.
+    saved = np.concatenate([2 * (prefix - np.maximum(places, place)) for place, _, places in met])
+    gain = np.bincount(np.concatenate([rows for _, rows, _ in met]), saved, n_rows)
+    return 2 * everything - gain.astype(np.int64)
+
+
+def nearest_rows(far: np.ndarray, n: int) -> np.ndarray:
+    """Rows with the ``n`` least distances, and all that tie with the last of them."""
+    if n >= len(far):
+        return np.arange(len(far))
+    edge = np.searchsorted(np.cumsum(np.bincount(far)), n)
+    return np.flatnonzero(far <= edge)
 
 
 def search(
@@ -130,7 +144,7 @@ def _search_length(rows, queries, k, pivots, prefix, share, least, seed):
         found: list[tuple] = []
         for i, name in enumerate(names):
             far = footrule(orders[i], files, len(x), depth)
-            near = np.argpartition(far, n - 1)[:n] if n < len(x) else np.arange(len(x))
+            near = nearest_rows(far, n)
             found += top_rows(name, x[near] @ q[i], [ids[j] for j in near], k)
         columns = list(map(list, zip(*found))) if found else [[], [], []]
         return pa.Table.from_batches([batch(out, *columns)])
