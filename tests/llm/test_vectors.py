@@ -44,6 +44,27 @@ def test_threshold_search_stops_early():
     assert len(rows) == 16 and sorted(scores)[-3:] == [997, 998, 999]
 
 
+def test_share_of_rows_met():
+    """Where a few components carry the product the bound stops early; where all are alike it cannot."""
+    rng = np.random.default_rng(2)
+    alike = np.floor(256 * rng.normal(size=(4_000, 32)))
+    uneven = np.floor(256 * rng.normal(size=(4_000, 32)) * 0.3 ** np.arange(32))
+    shares = []
+    for x in (uneven, alike):
+        lists, met = topk.sorted_lists(x), 0
+        for q in x[::200]:
+            rows, scores = topk.threshold_search(x, lists, q, 6)
+            assert sorted(scores)[-6:] == sorted(x @ q)[-6:] and len(set(rows.tolist())) == len(rows)
+            met += len(rows)
+        shares.append(met / (20 * len(x)))
+    assert shares[0] < 0.5 and shares[1] <= 1
+
+
+def test_nearest_rows_keep_ties():
+    assert ann.nearest_rows(np.array([5, 1, 3, 3, 9]), 2).tolist() == [1, 2, 3]
+    assert ann.nearest_rows(np.array([5, 1, 3]), 3).tolist() == [0, 1, 2]
+
+
 def test_top_k_of_huge_components(spark):
     df = spark.createDataFrame([(0, [1e300, 1.0]), (50, [1e17, -3.0]), (1, [2.0, 4e18])], "vec_id long, embedding array<double>")
     assert topk.search(df).count() == 4
