@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import arrow, batch, lower_words, slices, utf8
+from ledgerlens.llm.common import arrow, batch, lower_words, mix64, slices, utf8
 from ledgerlens.llm.components import components
 from ledgerlens.session import materialise
 
@@ -35,11 +35,13 @@ DISTANCE = 2 * CHUNKS - 1
 # Signatures of a pair at the similarity differ in 25 of 100 minima on average, standard deviation
 # 4.3; a candidate further apart than this cannot be a link but for 1 case in 10^6.
 FAR = 48
-# Of 64 minima in four bits 15 differ on average, standard deviation 3.4: beyond this 1 case in 10^6.
-SKETCHED, SKETCH_FAR = 64, 33
+# Two signatures within the distance differ in no more of 64 of their minima, whatever four bits tell.
+SKETCHED, SKETCH_FAR = 64, DISTANCE
 ROUNDS = 2
-BLOCK = 256  # documents of a home that are compared in one task with those of another block
-SLICE_BYTES = 4 << 20
+# Documents of a home, and bytes of their sets, that are compared in one task with those of another block.
+BLOCK, BLOCK_BYTES = 4_096, 8 << 20
+SLICE_BYTES = 1 << 20
+PART_KEYS = 1 << 20  # keys that one task sorts, on average
 
 SIGNED = "doc_id long, n_shingles long, digest binary, signature binary"
 FILED = "part int, keys binary, ids binary, groups binary, homes binary, blocks binary, sketches binary"
@@ -49,15 +51,9 @@ PAIRS = "a long, b long"
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(32))
-
-
 def _factors() -> tuple[np.ndarray, np.ndarray]:
     steps = np.arange(1, 2 * SIZE + 1, dtype=np.uint64)
-    drawn = _mix(steps * _MULTIPLY)
+    drawn = mix64(steps * _MULTIPLY)
     return drawn[:SIZE] | np.uint64(1), drawn[SIZE:]
 
 
@@ -85,7 +81,7 @@ class Shingler:
             # A sequence shorter than a shingle is one of its own kind: its length is part of it.
             acc = np.full(len(h) - n + 1, n, dtype=np.uint64)
             for i in range(n):
-                acc = _mix(acc * _MULTIPLY + h[i:len(h) - n + 1 + i])
+                acc = mix64(acc * _MULTIPLY + h[i:len(h) - n + 1 + i])
             out.append(np.unique(acc))
         return out
 
@@ -94,7 +90,7 @@ def signature(hashes: np.ndarray) -> bytes:
     least = np.full(SIZE, np.iinfo(np.uint64).max, dtype=np.uint64)
     for i in range(0, len(hashes), 2048):
         least = np.minimum(least, (hashes[i:i + 2048, None] * _A + _B).min(axis=0))
-    return (_mix(least) & np.uint64(0xFF)).astype(np.uint8).tobytes()
+    return (mix64(least) & np.uint64(0xFF)).astype(np.uint8).tobytes()
 
 
 def sign(docs: DataFrame) -> DataFrame:
@@ -145,10 +141,10 @@ def star_pairs(keys, ids, groups, salt: int = 0) -> tuple[np.ndarray, np.ndarray
         new = np.concatenate([[True], (run[order][1:] != run[order][:-1]) | (groups[order][1:] != groups[order][:-1])])
         members = np.empty(len(ids), dtype=np.int64)
         members[order] = np.diff(np.append(np.flatnonzero(new), len(ids)))[np.cumsum(new) - 1]
-        rank = _mix(ids.astype(np.uint64) * _MULTIPLY ^ _mix(keys ^ np.uint64(salt << 48)))
+        rank = mix64(ids.astype(np.uint64) * _MULTIPLY ^ mix64(keys ^ np.uint64(salt << 48)))
         order = np.lexsort((rank, groups, -members, run))
     else:
-        order = np.lexsort((_mix(ids.astype(np.uint64) * _MULTIPLY), run))
+        order = np.lexsort((mix64(ids.astype(np.uint64) * _MULTIPLY), run))
     first = order[np.concatenate([[True], run[order][1:] != run[order][:-1]])]
     centre, of = ids[first][run], groups[first][run]
     keep = of != groups
@@ -220,12 +216,12 @@ def _filed(signed: DataFrame, parts: int) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            for i in range(0, b.num_rows, 4096):
-                some = b.slice(i, 4096)
+            for i in range(0, b.num_rows, 2048):
+                some = b.slice(i, 2048)
                 data = np.frombuffer(b"".join(some.column("signature").to_pylist()), dtype=np.uint8).reshape(-1, SIZE)
                 keys = filed_keys(data).ravel()
                 columns = [np.repeat(some.column(c).to_numpy(), CHUNKS * WIDE) for c in numbers]
-                part = (_mix(keys) % np.uint64(parts)).astype(np.int64)
+                part = (mix64(keys) % np.uint64(parts)).astype(np.int64)
                 order = np.lexsort((keys, part))
                 cuts = np.searchsorted(part[order], np.arange(parts + 1))
                 found = [(p, order[x:y]) for p, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x]
@@ -249,9 +245,15 @@ def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return pairs[:, 0], pairs[:, 1]
 
 
+def _parts(signed: DataFrame) -> int:
+    """Number of parts that keys are dealt into: it follows the number of documents."""
+    least = int(signed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-signed.count() * CHUNKS * WIDE // PART_KEYS))
+
+
 def candidates(signed: DataFrame, salt: int = 0) -> DataFrame:
     """Pairs ``a < b`` of different groups that share a key, one side being the key's centre."""
-    parts = int(signed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = _parts(signed)
     schema = arrow(PAIRS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,7 +265,7 @@ def candidates(signed: DataFrame, salt: int = 0) -> DataFrame:
 
 def left_over(signed: DataFrame) -> DataFrame:
     """Units ``home, x, y`` and pairs ``a, b`` that are still to be compared: see ``crossing``."""
-    parts = int(signed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = _parts(signed)
     schema = arrow(LEFT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,31 +281,54 @@ def links_of_units(units: DataFrame, placed: DataFrame, sets: DataFrame, percent
     """Links ``u, v`` between different groups of the two blocks of each unit, on full sets."""
     ddl = "u long, v long"
     schema = arrow(ddl)
-    full = placed.join(sets, "id")
+    full = placed.select("id", "grp", "home", "block").join(sets, "id")
 
     def side(name: str, number: int) -> DataFrame:
         some = units if name == "x" else units.filter("x <> y")
         block = full.withColumnRenamed("home", "_home").withColumnRenamed("block", "_block")
         return some.join(block, (F.col("home") == F.col("_home")) & (F.col(name) == F.col("_block"))).select(
-            "home", "x", "y", F.lit(number).alias("side"), "id", "grp", "signature", "hashes")
+            "home", "x", "y", F.lit(number).alias("side"), "id", "grp", "hashes")
 
     def compare(table: pa.Table) -> pa.Table:
         side, ids, groups = (table.column(c).to_numpy() for c in ("side", "id", "grp"))
-        marks = np.frombuffer(b"".join(table.column("signature").to_pylist()), dtype=np.uint8).reshape(-1, SIZE)
-        hashes = [np.frombuffer(h.as_buffer(), dtype=np.uint64) for h in table.column("hashes")]
-        left = np.flatnonzero(side == 0)
-        right = np.flatnonzero(side == 1) if (side == 1).any() else left
-        found: list[tuple[int, int]] = []
-        for i in left:
-            others = right[(groups[right] != groups[i]) & ((marks[right] != marks[i]).sum(axis=1) <= FAR)]
-            if right is left:
-                others = others[others > i]
-            found += [(int(ids[i]), int(ids[j])) for j in others if similar(hashes[i], hashes[j], percent)]
-        return pa.Table.from_batches([batch(schema, *(map(list, zip(*found)) if found else ([], [])))])
+        found = links_of_rows(side, groups, [np.frombuffer(h.as_buffer(), dtype=np.uint64) for h in table.column("hashes")], percent)
+        return pa.Table.from_batches([batch(schema, ids[found[:, 0]], ids[found[:, 1]])])
 
     return side("x", 0).unionByName(side("y", 1)).groupBy("home", "x", "y").applyInArrow(compare, ddl)
 
 
+def links_of_rows(side: np.ndarray, groups: np.ndarray, hashes: list[np.ndarray], percent: int) -> np.ndarray:
+    """Numbers ``i, j`` of rows of different groups that are linked: rows of side 0 with those of side 1, or
+    all with all where there is one side.
+
+    A row's common shingles with all rows of the other side are counted at once. Of its links with one
+    group the first is told, since a group is connected already; rows of the largest group are told
+    by those that they are linked with.
+    """
+    sizes = np.array([len(h) for h in hashes])
+    _, codes = np.unique(np.concatenate(hashes), return_inverse=True)
+    rows_of = np.split(codes, np.cumsum(sizes)[:-1])
+    has = np.zeros(codes.max() + 1, dtype=bool)
+    kinds, counts = np.unique(groups, return_counts=True)
+    minor = np.flatnonzero(groups != kinds[np.argmax(counts)])
+    found = [np.zeros((0, 2), dtype=np.int64)]
+    for one in (0, 1):
+        mine = minor[side[minor] == one]
+        other = np.flatnonzero(side == 1 - one) if (side == 1).any() else np.arange(len(side))
+        if not len(mine) or not len(other):
+            continue
+        theirs = np.concatenate([rows_of[j] for j in other])
+        starts = np.concatenate([[0], np.cumsum(sizes[other])[:-1]])
+        for i in mine:
+            has[rows_of[i]] = True
+            common = np.add.reduceat(has[theirs], starts, dtype=np.int64)
+            has[rows_of[i]] = False
+            near = (100 * common >= percent * (sizes[i] + sizes[other] - common)) & (groups[other] != groups[i])
+            _, first = np.unique(groups[other[near]], return_index=True)
+            found.append(np.stack([np.full(len(first), i), other[near][first]], axis=1))
+    return np.concatenate(found)
+
+
 def similar(x: np.ndarray, y: np.ndarray, percent: int = PERCENT) -> bool:
     """Whether 100 * intersection >= percent * union of two sorted sets."""
     if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
@@ -396,7 +421,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # Documents whose signatures are near have one home, which is cut into blocks.
     grouped = _grouped(members, components(links))
     homes = components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    sizes = homes.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    sizes = homes.join(sets.select("id", F.octet_length("hashes").alias("bytes")), "id").groupBy("component").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("bytes") / BLOCK_BYTES)).alias("blocks"))
     places = homes.join(sizes, "component").select("id", F.col("component").alias("home"), F.pmod(F.xxhash64("id"), "blocks").alias("block"))
     placed = materialise(grouped.join(places, "id", "left").select(
         "id", "grp", "signature", F.coalesce("home", "id").alias("home"), F.coalesce("block", F.lit(0)).cast("long").alias("block")), "neardup-placed")
