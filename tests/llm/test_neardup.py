@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -42,8 +43,10 @@ def test_documents_equal_brute_force(spark, sf_dir):
     assert got == brute([(r.doc_id, r.text) for r in docs.collect()])
 
 
-def test_chains_and_groups_without_a_common_centre(spark):
+@pytest.mark.parametrize("block", [16, neardup.BLOCK])
+def test_chains_and_groups_without_a_common_centre(spark, monkeypatch, block):
     """A long chain whose neighbours alone are linked, and a large group of copies with changed words."""
+    monkeypatch.setattr(neardup, "BLOCK", block)
     rng, rows = np.random.default_rng(1), []
     words = [f"w{i}" for i in range(400)]
     rows += [(i, " ".join(words[6 * i:6 * i + 60])) for i in range(50)]
@@ -78,6 +81,33 @@ def test_all_pairs_under_the_distance_share_a_key(errors, seed):
     assert set(keys[0]) & set(keys[1])
 
 
+@settings(deadline=None, max_examples=30)
+@given(st.integers(0, neardup.DISTANCE), st.integers(0, 10 ** 6))
+def test_no_pair_under_the_distance_is_turned_away_by_its_sketch(errors, seed):
+    rng = np.random.default_rng(seed)
+    x = rng.integers(0, 256, neardup.SIZE).astype(np.uint8)
+    y = x.copy()
+    y[:errors] ^= rng.integers(1, 256, errors).astype(np.uint8)
+    marks = neardup.sketch(np.stack([x, y]))
+    assert neardup.sketch_distance(marks[0], marks[1]) <= neardup.SKETCH_FAR
+
+
+@settings(deadline=None, max_examples=50)
+@given(st.integers(0, 10 ** 6), st.booleans())
+def test_links_of_rows_equal_brute_force(seed, two):
+    rng = np.random.default_rng(seed)
+    n = int(rng.integers(1, 30))
+    sets = [np.unique(rng.integers(0, 12, rng.integers(1, 12)).astype(np.uint64)) for _ in range(n)]
+    side, groups = rng.integers(0, 2, n) if two else np.zeros(n, int), rng.integers(0, 4, n)
+    if two:
+        side[0] = 0
+    pairs = {(i, j) for i in range(n) for j in range(n) if groups[i] != groups[j]
+             and (side[i] != side[j] or not (side == 1).any()) and neardup.similar(sets[i], sets[j])}
+    got = {(int(i), int(j)) for i, j in neardup.links_of_rows(side, groups, sets, 75)}
+    assert got <= pairs
+    assert {frozenset((groups[i], groups[j])) for i, j in got} == {frozenset((groups[i], groups[j])) for i, j in pairs}
+
+
 @settings(deadline=None, max_examples=5)
 @given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), max_size=30))
 def test_components(spark, edges):
