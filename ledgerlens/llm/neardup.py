@@ -35,8 +35,8 @@ DISTANCE = 2 * CHUNKS - 1
 # Signatures of a pair at the similarity differ in 25 of 100 minima on average, standard deviation
 # 4.3; a candidate further apart than this cannot be a link but for 1 case in 10^6.
 FAR = 48
-# Two signatures within the distance differ in no more of 64 of their minima, whatever four bits tell.
-SKETCHED, SKETCH_FAR = 64, DISTANCE
+# Four bits of 96 minima differ in no more places than the signatures: what is turned away here is too far.
+SKETCHED, SKETCH_FAR = 96, FAR
 ROUNDS = 2
 # Documents of a home, and bytes of their sets, that are compared in one task with those of another block.
 BLOCK, BLOCK_BYTES = 4_096, 8 << 20
@@ -163,7 +163,7 @@ def _mixed_rows(keys, ids, groups):
 
 
 def sketch(signatures: np.ndarray) -> np.ndarray:
-    """Four bits of 64 of the minima in four numbers: enough to turn most strangers away."""
+    """Four bits of 96 of the minima in six numbers: enough to turn most strangers away."""
     bits = (signatures[:, :SKETCHED] & 15).astype(np.uint64).reshape(len(signatures), SKETCHED // 16, 16)
     return (bits << np.arange(0, 64, 4, dtype=np.uint64)).sum(axis=2, dtype=np.uint64)
 
