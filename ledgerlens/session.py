@@ -54,6 +54,20 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop(*tables: DataFrame) -> None:
+    """Removes tables that ``materialise`` wrote, once every reader is through: results that are read later must
+    not depend on them. Other tables are left alone."""
+    for df in tables:
+        spark = df.sparkSession
+        names = df.inputFiles()
+        folder = names[0].rsplit("/", 1)[0] if names else ""
+        if f"/ledgerlens/{spark.sparkContext.applicationId}/" not in folder:
+            continue
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def broadcast_if_small(df: DataFrame) -> DataFrame:
     """``df`` written once, so that Spark knows its size in bytes before it plans the join: up to
     ``spark.sql.autoBroadcastJoinThreshold`` it is broadcast, above that the join is a shuffle."""

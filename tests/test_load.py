@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from ledgerlens import job
 from ledgerlens.plans.models import MODEL_NAMES
 from ledgerlens.registry.data import Data, write_raw_csv
-from ledgerlens.session import scratch_path, shared_dir
+from ledgerlens.session import drop, materialise, scratch_path, shared_dir
 from ledgerlens.settings import TABLE_COLUMNS, JobSettings
 from ledgerlens.sources import checks, files, load, schemas
 
@@ -153,3 +153,13 @@ def test_job_from_files_to_actions(spark, sf_dir, capsys):
     scored = job.run_scoring(spark, settings, keys).collect()
     assert sorted(r.id for r in scored) == ["7", "8"]
     assert all(0 <= r.probability <= 1 and r.action in ("BOTH", "ALERT", "NOTHING") for r in scored)
+
+
+def test_drop_removes_scratch_tables_alone(spark, tmp_path):
+    kept = str(tmp_path / "own")
+    spark.range(3).write.parquet(kept)
+    scratch = materialise(spark.range(5), "drop me")
+    drop(scratch, spark.read.parquet(kept))
+    assert spark.read.parquet(kept).count() == 3
+    with pytest.raises(Exception, match="(?i)not.*exist|not.*found"):
+        scratch.count()
