@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.session import materialise
+from ledgerlens.session import drop, materialise
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -21,27 +21,42 @@ def _star(neighbours: DataFrame, only_larger: bool) -> DataFrame:
     return out.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _unfinished(edges: DataFrame) -> bool:
+    """Whether a node has two ways to smaller ones, or lies between two others: then the edges are no stars yet."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    nodes = ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.agg(F.coalesce(F.bool_or((F.col("up") > 1) | (F.col("up") + F.col("down") > 1)), F.lit(False))).first()[0]
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``id, component``: the smallest node reachable, for every node of ``edges`` (``u, v``).
 
-    Each round writes its edges to the shared folder, so nothing is recomputed after a loss; the
+    Each round writes its edges to the shared folder, so nothing is recomputed after a loss, and
+    removes those of the round before; the
     number of rounds grows with the logarithm of a component's size. A node with very many
     neighbours is spread by the joins, whose minima are combined before the shuffle.
     """
     current = materialise(edges.filter("u <> v").select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "components")
-    before = _mark(current)
-    while before[0]:
+    while _unfinished(current):
         large = _star(_both_ways(current), only_larger=True)
-        current = materialise(_star(large.filter("v < u"), only_larger=False), "components")
-        after = _mark(current)
-        if after == before:
-            break
-        before = after
+        following = materialise(_star(large.filter("v < u"), only_larger=False), "components")
+        drop(current)
+        current = following
     nodes = current.select(F.col("u").alias("id"), F.col("v").alias("component"))
     roots = current.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
-    return materialise(nodes.unionByName(roots), "component-labels")
+    labels = materialise(nodes.unionByName(roots), "component-labels")
+    drop(current)
+    return labels
+
+
+def extended(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """``components`` of the edges that gave ``labels`` and of further ones; drops the old labels.
+
+    A component goes in as its star, so rounds are spent on what the new edges join alone.
+    """
+    stars = labels.select(F.col("id").alias("u"), F.col("component").alias("v"))
+    found = components(stars.unionByName(edges))
+    drop(labels)
+    return found

@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import arrow, batch, lower_words, mix64, slices, utf8
-from ledgerlens.llm.components import components
-from ledgerlens.session import materialise
+from ledgerlens.llm.components import components, extended
+from ledgerlens.session import drop, materialise
 
 WORDS = 5
 PERCENT = 75
@@ -411,15 +411,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # First the nearest centre of each document, then what that has left apart.
     order = Window.partitionBy("b").orderBy("distance", "a")
     first = pairs.withColumn("_n", F.row_number().over(order)).filter("_n = 1")
-    links = materialise(confirmed(first, sets), "neardup-links")
-    links = materialise(links.unionByName(confirmed(_apart(pairs, components(links)), sets)), "neardup-links")
+    found = components(confirmed(first, sets))
+    found = extended(found, confirmed(_apart(pairs, found), sets))
     members = reps.join(_members(stars), "id", "left_semi")
     # Further rounds let what is still apart meet others; the last one compares whatever is left.
     for salt in range(1, ROUNDS + 1):
-        met = near(candidates(_grouped(members, components(links)), salt=salt), reps)
-        links = materialise(links.unionByName(confirmed(met, sets)), "neardup-links")
+        grouped = _grouped(members, found)
+        found = extended(found, confirmed(near(candidates(grouped, salt=salt), reps), sets))
+        drop(grouped)
     # Documents whose signatures are near have one home, which is cut into blocks.
-    grouped = _grouped(members, components(links))
+    grouped = _grouped(members, found)
     homes = components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")))
     sizes = homes.join(sets.select("id", F.octet_length("hashes").alias("bytes")), "id").groupBy("component").agg(
         F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("bytes") / BLOCK_BYTES)).alias("blocks"))
@@ -429,7 +430,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     left = materialise(left_over(placed), "neardup-left")
     inside = links_of_units(left.filter("home IS NOT NULL").select("home", "x", "y"), placed, sets)
     across = confirmed(near(left.filter("a IS NOT NULL").select("a", "b"), reps), sets)
-    labels = components(links.unionByName(inside).unionByName(across))
+    labels = extended(found, inside.unionByName(across))
+    drop(stars, pairs, sets, reps, grouped, homes, placed, left)
 
     # Copies lead to their representative, which leads to its component.
     named = same.select(F.col("n_shingles").alias("_n"), F.col("digest").alias("_d"), F.col("id").alias("_rep"))

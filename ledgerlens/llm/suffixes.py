@@ -29,6 +29,7 @@ from ledgerlens.session import materialise
 LENGTH = 400
 SLICE_BYTES = 256 << 10
 RUN_BYTES = 8 << 20
+STRETCH = 1 << 18  # windows whose fingerprints are held at once
 SAMPLE_DOCS = 2_000
 
 FOUND = "part int, prints binary, contexts binary, docs binary, places binary"
@@ -71,16 +72,30 @@ def anchors(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray
     """Places of anchors and their fingerprints; ``ends`` are where the texts in ``data`` end.
 
     Of every window of ``length`` bytes inside a text the least fingerprint is taken, the first of equals.
+    A window is judged by its own bytes alone, so windows are taken ``STRETCH`` at a time: memory does not
+    grow with the longest text.
     """
-    h = fingerprints(data, anchor_of(length))
     starts = np.concatenate([[0], ends[:-1]])
-    valid = np.zeros(len(data) + 1, dtype=np.int32)
     full = ends - starts >= length
-    np.add.at(valid, starts[full], 1)
-    np.add.at(valid, ends[full] - length + 1, -1)
-    windows = np.flatnonzero(np.cumsum(valid[:-1]) > 0)
-    if not len(windows):
-        return windows, h[:0]
+    first, stop = starts[full], ends[full] - length + 1
+    found, prints = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.uint64)]
+    for low in range(0, len(data), STRETCH):
+        high = min(low + STRETCH, len(data))
+        valid = np.zeros(high - low + 1, dtype=np.int32)
+        np.add.at(valid, np.clip(first, low, high) - low, 1)
+        np.add.at(valid, np.clip(stop, low, high) - low, -1)
+        windows = np.flatnonzero(np.cumsum(valid[:-1]) > 0)
+        if len(windows):
+            at, h = _least(data[low:high + length - 1], windows, length)
+            found.append(at + low)
+            prints.append(h)
+    at, one = np.unique(np.concatenate(found), return_index=True)
+    return at, np.concatenate(prints)[one]
+
+
+def _least(data: np.ndarray, windows: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and fingerprints of the anchors of the ``windows``, told by their starts."""
+    h = fingerprints(data, anchor_of(length))
     place = np.uint64((1 << 28) - 1)
     least = (h & ~place) | np.arange(len(h), dtype=np.uint64)
     step, width = 1, reach_of(length) + 1

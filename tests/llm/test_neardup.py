@@ -1,10 +1,10 @@
 import numpy as np
 import pytest
-from hypothesis import given, settings
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from ledgerlens.llm import neardup
-from ledgerlens.llm.components import components
+from ledgerlens.llm.components import components, extended
 
 
 def _set(text):
@@ -117,3 +117,26 @@ def test_components(spark, edges):
         for a, b in edges:
             label[a] = label[b] = min(label[a], label[b])
     assert got == {i: c for i, c in label.items() if any(i in e and e[0] != e[1] for e in edges)}
+
+
+@settings(deadline=None, max_examples=8, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), max_size=40), st.integers(0, 40))
+def test_components_and_later_edges_equal_union_find(spark, edges, cut):
+    def smallest(pairs):
+        of = {x: x for p in pairs for x in p if p[0] != p[1]}
+        for _ in of:
+            for u, v in pairs:
+                if u != v:
+                    of[u] = of[v] = min(of[u], of[v])
+        return of
+
+    table = lambda rows: spark.createDataFrame(rows, "u long, v long")
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    early = components(table(edges[:cut]))
+    assert rows(early) == sorted(smallest(edges[:cut]).items())
+    assert rows(extended(early, table(edges[cut:]))) == sorted(smallest(edges).items())
+
+
+def test_a_chain_takes_few_rounds(spark):
+    chain = spark.range(300).selectExpr("id * 7919 % 301 AS u", "(id + 1) * 7919 % 301 AS v")
+    assert {r.component for r in components(chain).collect()} == {0}

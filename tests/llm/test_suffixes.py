@@ -88,3 +88,15 @@ def test_pipeline_cuts_passages_of_over_50_words(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_chars", F.length("text").cast("long"))
     assert {r.doc_id: r.text for r in repeated_passages(spark, df, "").collect()} == want
     assert all(len(want[i]) < len(t) - 100 for i, t in rows[2:7])
+
+
+def test_anchors_do_not_depend_on_the_stretch(monkeypatch):
+    rng = np.random.default_rng(8)
+    texts = [rng.integers(0, k, n).astype(np.uint8) for k, n in ((4, 5000), (1, 900), (256, 399), (2, 400), (256, 0), (256, 1700))]
+    data, ends = np.concatenate(texts), np.cumsum([len(t) for t in texts])
+    want = suffixes.anchors(data, ends, N)
+    assert len(want[0]) > 20
+    for stretch in (1, 7, 500, 3000):
+        monkeypatch.setattr(suffixes, "STRETCH", stretch)
+        at, prints = suffixes.anchors(data, ends, N)
+        assert at.tolist() == want[0].tolist() and prints.tolist() == want[1].tolist()
