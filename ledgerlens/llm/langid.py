@@ -204,4 +204,5 @@ def identify(docs: DataFrame, models: dict[str, Model]) -> DataFrame:
 
     Every byte of every text is scored. Repeated rows get equal results, an empty table gives none.
     """
-    return docs.withColumn("predicted", predictor(models)(utf8(F.col("text"))))
+    # A filter on a deterministic function would be pushed below and score every text a second time.
+    return docs.withColumn("predicted", predictor(models).asNondeterministic()(utf8(F.col("text"))))

@@ -3,7 +3,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
-from ledgerlens.llm import mixing
+from ledgerlens.llm import mixing, neardup
 
 DDL = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -79,3 +79,14 @@ def test_run_ends_in_the_sequences_of_what_the_stages_keep(spark, sf_dir):
     for (doc_id, n), times in want.items():
         total[doc_id] += n * times
     assert +got == +total
+
+
+def test_texts_and_pairs_are_looked_at_once(spark, sf_dir):
+    """A filter on what Python returns must not make Spark run the Python code twice."""
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    assert plan(corpus_pipeline.language_id(spark, docs, sf_dir)).count("ArrowEvalPython") == 1
+    signed = spark.createDataFrame([(1, b"a" * 100), (2, b"a" * 90 + b"b" * 10)], "id long, signature binary")
+    pairs = neardup.near(spark.createDataFrame([(1, 2)], "a long, b long"), signed)
+    assert plan(pairs).count("ArrowEvalPython") == 1
+    assert [tuple(r) for r in pairs.collect()] == [(1, 2, 10)]
