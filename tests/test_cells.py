@@ -3,6 +3,7 @@
 import numpy as np
 
 from ledgerlens.operators import neighbours
+from ledgerlens.plans import training
 
 
 def encoded(n, seed=5):
@@ -43,3 +44,14 @@ def test_cells_of_an_upper_part_follow_one_another():
             assert (np.diff(upper) >= 0).all() and set(upper) == set(range(len(pivots.upper)))
             of = pivots.cell_of(sample)
             assert len(of) == len(sample) and (not len(of) or 0 <= of.min() <= of.max() < pivots.cells)
+
+
+def test_a_fit_of_one_cell_reads_that_cell_alone(spark):
+    rows = spark.range(300).selectExpr(
+        "CAST(id AS STRING) AS id", "CAST(id % 7 = 0 AS INT) AS label", "CAST(id AS DOUBLE) AS f0", "CAST(id % 13 AS DOUBLE) AS f1")
+    train, test = training.fold_cells(rows, ["f0", "f1"], (None, "under"), 3)
+    for cells in (train, test):
+        assert {r.cell for r in cells.select("cell").distinct().collect()} == set(range(6))
+        # Few rows of one cell are one task, whatever the number of shuffle partitions.
+        assert cells.where("cell = 4").rdd.getNumPartitions() == 1
+    assert test.where("cell < 3").count() == 300 and train.where("cell < 3").count() == 600
