@@ -9,6 +9,10 @@ function of the distance to it, shifted so that the threshold scores ``CUT``.
 Features, all taken over the whole text: square roots of the frequencies of pairs of neighbouring
 characters' kinds (letters, digits, blanks, line ends, each ASCII mark by itself, bytes of other
 letters), and how the words and lines repeat. No feature names a word or a language.
+
+All labelled documents are learned from. They meet in hashed blocks, in each of which every good one is
+compared with every bad one, so the pairs grow with the documents and not with their square. One job a
+step adds up the slopes of all blocks; the driver holds sums alone.
 """
 
 from __future__ import annotations
@@ -21,11 +25,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import arrow, utf8
+from ledgerlens.session import drop, materialise
 
 CUT = 0.3
-# The bounded sample that is fitted on: labelled documents of each class, and preference pairs of them.
-SAMPLE_DOCS = 3_000
+# Documents of the larger class in a block, and those of the smaller one that it has at least on average:
+# where they are rarer, each goes to several blocks.
+BLOCK_DOCS = 32
+BLOCK_RARE = 8
+# Pairs of ``fit_pairs``, and steps of ``fit_blocks`` with the earlier ones that bend each of them.
 PAIRS = 30_000
+STEPS = 60
+HISTORY = 10
+# Parts that one look at the strengths cuts their range into.
+PARTS = 4_096
 RIDGE = 1e-4
 ROUNDS = 300
 SLICE_BYTES = 1 << 20
@@ -91,7 +103,8 @@ class Ranking:
 
 
 def fit_pairs(good: np.ndarray, bad: np.ndarray, seed: int = SEED, pairs: int = PAIRS, rounds: int = ROUNDS) -> np.ndarray:
-    """Weights that minimise the mean logistic loss of the pairs and a small ridge, by accelerated descent."""
+    """Weights that minimise the mean logistic loss of drawn pairs and a small ridge, by accelerated descent:
+    what ``fit_blocks`` does, for rows in memory."""
     weights = np.zeros(good.shape[1])
     if not len(good) or not len(bad):
         return weights
@@ -137,41 +150,159 @@ def held_out_column() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def fit(docs: DataFrame, labels: DataFrame, held_out: Column, sample: int = SAMPLE_DOCS) -> Ranking:
-    """The ranking of labelled documents that are not held out.
+_BLOCK = "block long, quality binary, own binary, n binary, at binary, value binary"
+
+
+def _blocks(docs: DataFrame, known: DataFrame, held_out: Column) -> DataFrame:
+    """One row a block of labelled documents: of each its ``quality``, whether this is its ``own`` first
+    block, and the places and values of the ``n`` features that are not zero.
 
-    At most ``sample`` documents of each class are fitted on, the first in the order of a hash of their
-    id; the driver holds their features alone. Of rows that share an id each counts. Without documents
-    of both classes all texts are of equal strength, at the threshold.
+    A document of the larger class is in one block; one of the smaller class in several, evenly spread, if
+    it is rare.
     """
-    known = labelled(labels).filter(~held_out)
     counts = {r.quality: r.n for r in known.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()}
-    draw = F.xxhash64(F.col("doc_id"), F.lit(SEED))
-    chosen = [known.filter(F.col("quality") == q).orderBy(draw, "doc_id").limit(sample) for q in (0, 1)]
-    # At most 2 * sample ids, so the documents are only scanned.
-    wanted = F.broadcast(chosen[0].unionByName(chosen[1]).withColumnRenamed("doc_id", "_id"))
-    texts = docs.select("doc_id", utf8(F.col("text")).alias("text")).join(
-        wanted, F.col("doc_id") == F.col("_id")).select("doc_id", "quality", "text")
-    ddl = "doc_id long, quality int, row binary"
+    many, few = max(counts.values(), default=0), min(counts.values(), default=0)
+    blocks = max(1, -(-many // BLOCK_DOCS))
+    copies = min(blocks, max(1, -(-BLOCK_RARE * blocks // max(few, 1))))
+    rare = min(counts, key=lambda q: (counts[q], q), default=0)
+    ddl = "doc_id long, at binary, value binary"
     schema = arrow(ddl)
 
     def measure(batches):
         for b in batches:
-            rows = [features(t).astype("<f4").tobytes() for t in b.column("text").to_pylist()]
+            rows = [features(t).astype("<f4") for t in b.column("text").to_pylist()]
+            places = [np.flatnonzero(r) for r in rows]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").cast(pa.int64()), b.column("quality"), pa.array(rows, pa.binary())], schema=schema)
+                [b.column("doc_id").cast(pa.int64()), pa.array([p.astype("<u2").tobytes() for p in places], pa.binary()),
+                 pa.array([r[p].tobytes() for r, p in zip(rows, places)], pa.binary())], schema=schema)
+
+    # Features are joined, not texts, which are larger.
+    texts = docs.filter("doc_id IS NOT NULL").filter(~held_out).select("doc_id", utf8(F.col("text")).alias("text"))
+    joined = texts.mapInArrow(measure, ddl).join(known.select(F.col("doc_id").cast("long").alias("doc_id"), "quality"), "doc_id")
+    times = F.when(F.col("quality") == rare, copies).otherwise(1)
+    dealt = joined.withColumn("copy", F.explode(F.sequence(F.lit(0), times - 1))).withColumn(
+        "block", F.pmod(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(blocks)) + F.col("copy") * (blocks // copies), F.lit(blocks)))
+    out = arrow(_BLOCK)
+
+    def gather(table: pa.Table) -> pa.Table:
+        rows = sorted(zip(*(table.column(c).to_pylist() for c in ("quality", "doc_id", "copy", "at", "value"))))
+        packed = [np.array([r[0] for r in rows], "u1"), np.array([r[2] == 0 for r in rows], "u1"),
+                  np.array([len(r[3]) // 2 for r in rows], "<u2")]
+        columns = [*(p.tobytes() for p in packed), b"".join(r[3] for r in rows), b"".join(r[4] for r in rows)]
+        return pa.Table.from_arrays([table.column("block").slice(0, 1), *(pa.array([c], pa.binary()) for c in columns)], schema=out)
+
+    return dealt.groupBy("block").applyInArrow(gather, _BLOCK)
+
+
+def _unpacked(batches):
+    """Of every block: quality, own, start of each document's features, their places and values."""
+    for b in batches:
+        for quality, own, n, at, value in zip(*(b.column(c).to_pylist() for c in ("quality", "own", "n", "at", "value"))):
+            n = np.frombuffer(n, "<u2").astype(int)
+            yield (np.frombuffer(quality, "u1"), np.frombuffer(own, "u1") > 0, np.cumsum(n) - n, n,
+                   np.frombuffer(at, "<u2").astype(int), np.frombuffer(value, "<f4").astype(float))
+
+
+def _strengths(weights: np.ndarray, start: np.ndarray, at: np.ndarray, value: np.ndarray) -> np.ndarray:
+    # Every text has a feature that is not zero, its line end.
+    return np.add.reduceat(value * weights[at], start)
+
+
+def _loss(blocks: DataFrame, weights: np.ndarray) -> tuple[float, np.ndarray]:
+    """Mean logistic loss of all pairs with the ridge, and its slope."""
+    schema = arrow("sums binary")
+
+    def add(batches):
+        total = np.zeros(2 + N_FEATURES)
+        for quality, _, start, n, at, value in _unpacked(batches):
+            strength, good = _strengths(weights, start, at, value), quality == 1
+            margin = strength[good][:, None] - strength[~good][None, :]
+            pull = 1 / (1 + np.exp(np.clip(margin, -500, 500)))
+            slope = np.zeros(len(quality))
+            slope[good], slope[~good] = -pull.sum(axis=1), pull.sum(axis=0)
+            total[0] += np.logaddexp(0, -margin).sum()
+            total[1] += margin.size
+            total[2:] += np.bincount(at, value * np.repeat(slope, n), N_FEATURES)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], schema=schema)
+
+    # One row of sums a task, added in the order of their bytes: runs agree.
+    rows = sorted(bytes(r.sums) for r in blocks.mapInArrow(add, "sums binary").collect())
+    total = np.sum([np.frombuffer(r) for r in rows], axis=0) if rows else np.zeros(2 + N_FEATURES)
+    pairs = max(total[1], 1.0)
+    return total[0] / pairs + RIDGE / 2 * float(weights @ weights), total[2:] / pairs + RIDGE * weights
+
+
+def fit_blocks(blocks: DataFrame, steps: int = STEPS) -> np.ndarray:
+    """Weights that minimise the mean logistic loss of all pairs of all blocks and a small ridge, by
+    quasi-Newton steps of limited memory."""
+    weights = np.zeros(N_FEATURES)
+    loss, slope = _loss(blocks, weights)
+    past: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(steps):
+        if not slope.any():
+            break
+        way, shares = -slope, []
+        for moved, bent in reversed(past):
+            shares.append((moved @ way) / (moved @ bent))
+            way = way - shares[-1] * bent
+        way = way * ((past[-1][0] @ past[-1][1]) / (past[-1][1] @ past[-1][1]) if past else 1 / np.linalg.norm(slope))
+        for (moved, bent), share in zip(past, reversed(shares)):
+            way = way + (share - (bent @ way) / (moved @ bent)) * moved
+        step = 1.0
+        while True:
+            ahead, ahead_slope = _loss(blocks, weights + step * way)
+            if ahead <= loss + 1e-4 * step * float(slope @ way) or step < 1e-6:
+                break
+            step /= 2
+        if ahead >= loss:
+            break
+        moved, bent = step * way, ahead_slope - slope
+        done = loss - ahead <= 1e-6 * loss
+        weights, loss, slope = weights + moved, ahead, ahead_slope
+        if moved @ bent > 0:
+            past = [*past, (moved, bent)][-HISTORY:]
+        if done:
+            break
+    return weights
+
+
+def _at_rank(strengths: DataFrame, rank: int) -> float:
+    """The ``rank``-th smallest strength, from 1: the range is cut into parts, and the one with it cut again."""
+    lo, hi = strengths.agg(F.min("strength"), F.max("strength")).first()
+    while lo < hi:
+        share = (F.col("strength") - F.lit(lo)) / F.lit(hi - lo)
+        part = F.least(F.floor(share * PARTS), F.lit(PARTS - 1)).alias("part")
+        inside = strengths.filter(F.col("strength").between(lo, hi)).groupBy(part).agg(
+            F.count(F.lit(1)).alias("n"), F.min("strength").alias("lo"), F.max("strength").alias("hi"))
+        for r in sorted(inside.collect(), key=lambda r: r.part):
+            if rank <= r.n:
+                lo, hi = r.lo, r.hi
+                break
+            rank -= r.n
+    return lo
 
-    rows = texts.mapInArrow(measure, ddl).collect()
-    rows.sort(key=lambda r: (r.doc_id, r.row))
-    found = [np.array([np.frombuffer(r.row, "<f4") for r in rows if r.quality == q], dtype=float).reshape(-1, N_FEATURES)
-             for q in (0, 1)]
-    weights = fit_pairs(found[1], found[0])
+
+def fit(docs: DataFrame, labels: DataFrame, held_out: Column) -> Ranking:
+    """The ranking of all labelled documents that are not held out. Of rows that share an id each counts.
+
+    Without documents of both classes all texts are of equal strength, at the threshold.
+    """
+    blocks = materialise(_blocks(docs, labelled(labels).filter(~held_out), held_out), "quality-blocks")
+    weights = fit_blocks(blocks)
     if not weights.any():
         return Ranking(weights, 0.0)
-    # A sampled document stands for its class's share of all labelled ones.
-    strength = np.concatenate([x @ weights for x in found])
-    mass = np.concatenate([np.full(len(found[q]), counts[q] / len(found[q])) for q in (0, 1)])
-    return Ranking(weights, quantile(strength, mass, counts[0] / (counts[0] + counts[1])))
+    schema = arrow("quality int, strength double")
+
+    def measure(batches):
+        for quality, own, start, _, at, value in _unpacked(batches):
+            strength = _strengths(weights, start, at, value)
+            yield pa.RecordBatch.from_arrays([pa.array(quality[own], pa.int32()), pa.array(strength[own])], schema=schema)
+
+    strengths = materialise(blocks.mapInArrow(measure, "quality int, strength double"), "quality-strengths")
+    bad = strengths.filter("quality = 0").count()
+    threshold = (_at_rank(strengths, bad) + _at_rank(strengths, bad + 1)) / 2
+    drop(blocks, strengths)
+    return Ranking(weights, threshold)
 
 
 def rank(docs: DataFrame, ranking: Ranking) -> DataFrame:
