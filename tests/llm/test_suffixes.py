@@ -100,3 +100,27 @@ def test_anchors_do_not_depend_on_the_stretch(monkeypatch):
         monkeypatch.setattr(suffixes, "STRETCH", stretch)
         at, prints = suffixes.anchors(data, ends, N)
         assert at.tolist() == want[0].tolist() and prints.tolist() == want[1].tolist()
+
+
+def test_ranges_of_many_documents_are_joined_in_columns():
+    """Half a million ranges take no more than their columns, and join as one by one."""
+    import tracemalloc
+
+    rng = np.random.default_rng(9)
+    n = 500_000
+    row, start = rng.integers(0, 5_000, n), rng.integers(0, 200_000, n).astype(np.int32)
+    stop = start + rng.integers(1, 900, n).astype(np.int32)
+    tracemalloc.start()
+    got = suffixes.joined(row, start, stop, 5_001)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 * n
+    want = [[] for _ in range(5_001)]
+    for r, x, y in sorted(zip(row.tolist(), start.tolist(), stop.tolist())):
+        if want[r] and x <= want[r][-1]["stop"]:
+            want[r][-1]["stop"] = max(want[r][-1]["stop"], y)
+        else:
+            want[r].append({"start": x, "stop": y})
+    assert got.to_pylist() == want
+    none = np.zeros(0, dtype=np.int32)
+    assert suffixes.joined(none, none, none, 2).to_pylist() == [[], []]
