@@ -116,3 +116,20 @@ def test_blobs(counts):
     data = ngrams._differences(keys) if len(keys) else b""
     assert ngrams._from_differences(data).tolist() == keys.tolist()
     assert ngrams._wide(ngrams._narrow(sums), len(keys)).tolist() == sums.tolist()
+
+
+def test_a_search_in_a_sequence_is_a_few_steps(monkeypatch):
+    """An upper part keeps one or two values, whatever the width of the low part."""
+    rng = np.random.default_rng(5)
+    values = np.unique(rng.integers(0, 2**17 * 50_000, 50_000).astype(np.uint64))
+    ef, _ = ngrams.EliasFano.from_buffer(ngrams.EliasFano.encode(values).to_bytes(), 0)
+    looked, lows = [], ngrams.EliasFano._lows
+    monkeypatch.setattr(ngrams.EliasFano, "_lows", lambda self, index: looked.append(len(index)) or lows(self, index))
+    assert ef.find(values).tolist() == list(range(len(values)))
+    assert sum(looked) < 4 * len(values)
+
+
+def test_hashes_of_long_and_short_words_agree():
+    words = [b"a", b"Zebra", b"x" * ngrams.PLACES, b"y" * (ngrams.PLACES + 1), bytes(range(128, 256))]
+    together = ngrams.hash_words([b" ".join(words)])[0]
+    assert together.tolist() == [ngrams.hash_words([w])[0][0] for w in words] + [1]
