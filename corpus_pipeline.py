@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm import langid, mixing, neardup, packing, suffixes
 from ledgerlens.llm.common import n_words
-from ledgerlens.session import materialise
+from ledgerlens.session import settled
 
 # A text whose code is longer than eight bits a byte is in no learned language: plain bytes are shorter.
 MOST_BITS = 8.0
@@ -84,5 +84,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what each returns is written and reread as the next one's input."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = settled(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.session import drop, materialise
+from ledgerlens.session import drop, settled, tidied
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -26,7 +26,8 @@ def _unfinished(edges: DataFrame) -> bool:
     ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
         edges.select(F.col("v").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down")))
     nodes = ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
-    return nodes.agg(F.coalesce(F.bool_or((F.col("up") > 1) | (F.col("up") + F.col("down") > 1)), F.lit(False))).first()[0]
+    with tidied(edges.sparkSession):
+        return nodes.agg(F.coalesce(F.bool_or((F.col("up") > 1) | (F.col("up") + F.col("down") > 1)), F.lit(False))).first()[0]
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -37,16 +38,16 @@ def components(edges: DataFrame) -> DataFrame:
     number of rounds grows with the logarithm of a component's size. A node with very many
     neighbours is spread by the joins, whose minima are combined before the shuffle.
     """
-    current = materialise(edges.filter("u <> v").select(
+    current = settled(edges.filter("u <> v").select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "components")
     while _unfinished(current):
         large = _star(_both_ways(current), only_larger=True)
-        following = materialise(_star(large.filter("v < u"), only_larger=False), "components")
+        following = settled(_star(large.filter("v < u"), only_larger=False), "components")
         drop(current)
         current = following
     nodes = current.select(F.col("u").alias("id"), F.col("v").alias("component"))
     roots = current.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
-    labels = materialise(nodes.unionByName(roots), "component-labels")
+    labels = settled(nodes.unionByName(roots), "component-labels")
     drop(current)
     return labels
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import arrow, batch, lower_words, mix64, slices, utf8
 from ledgerlens.llm.components import components, extended
-from ledgerlens.session import drop, materialise
+from ledgerlens.session import drop, settled
 
 WORDS = 5
 PERCENT = 75
@@ -174,39 +175,62 @@ def sketch_distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.bitwise_count(d).sum(axis=-1)
 
 
+def merged(root: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """``root``, the least number that each one is joined with, after ``x`` and ``y`` are joined pairwise."""
+    root = root.copy()
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in zip(*(c.tolist() for c in _distinct(x, y))):
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    while (root[root] != root).any():
+        root = root[root]
+    return root
+
+
 def crossing(keys, ids, groups, homes, blocks, sketches) -> tuple[np.ndarray, np.ndarray]:
-    """What is left to compare: pairs of one key in different groups, the largest group's own never.
+    """What is left to compare of the pairs of one key in different groups, the largest group's own never.
 
     Members of one home are told as units ``(home, block, block)`` that are compared as a whole, so a
-    large group of documents that stay apart gives a few blocks instead of all its pairs. Members of
-    different homes are told as pairs.
+    large group of documents that stay apart gives a few blocks instead of all its pairs. Of members of
+    different homes that are near only their homes are told, as bridges ``(home, home)``, each home once
+    with the least of all those that it is joined with here: their units follow when they are one home.
     """
     order = np.lexsort((ids, keys))
     homes, blocks, sketches = homes[order], blocks[order], sketches[order]
     keep, run, ids, groups = _mixed_rows(keys[order], ids[order], groups[order])
     homes, blocks, sketches = homes[keep], blocks[keep], sketches[keep]
-    units, pairs = [], []
+    units = []
     if not len(ids):
         return np.zeros((0, 3), np.int64), np.zeros((0, 2), np.int64)
+    names, number = np.unique(homes, return_inverse=True)
+    root = np.arange(len(names))
     starts = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
     same = lambda x: np.minimum.reduceat(x, starts) == np.maximum.reduceat(x, starts)
     simple = same(homes) & same(blocks)
     units.append(np.stack([homes[starts], blocks[starts], blocks[starts]], axis=1)[simple])
     for s, stop in zip(starts[~simple].tolist(), np.append(starts[1:], len(run))[~simple].tolist()):
-        i, g, h, b, marks = ids[s:stop], groups[s:stop], homes[s:stop], blocks[s:stop], sketches[s:stop]
+        g, h, b, n, marks = groups[s:stop], homes[s:stop], blocks[s:stop], number[s:stop], sketches[s:stop]
         _, where, count = np.unique(g, return_inverse=True, return_counts=True)
         minor = np.flatnonzero(where != int(np.argmax(count)))
-        for home in np.unique(h[minor]):
+        by_home = np.argsort(h)
+        mixed = _mixed_rows(h[by_home], by_home, g[by_home])[0]
+        for home in np.unique(h[by_home[mixed]]):
             x, y = np.unique(b[minor[h[minor] == home]]), np.unique(b[h == home])
             x, y = np.repeat(x, len(y)), np.tile(y, len(x))
             units.append(np.stack([np.full(len(x), home), np.minimum(x, y), np.maximum(x, y)], axis=1))
         for k in range(0, len(minor), 256):
-            part = minor[k:k + 256]
-            left, right = np.nonzero((h[part][:, None] != h[None, :]) & (g[part][:, None] != g[None, :]))
+            part, joint = minor[k:k + 256], root[n]
+            left, right = np.nonzero((joint[part][:, None] != joint[None, :]) & (g[part][:, None] != g[None, :]))
             close = sketch_distance(marks[part[left]], marks[right]) <= SKETCH_FAR
-            pairs.append(np.stack(_distinct(i[part[left[close]]], i[right[close]]), axis=1))
-    distinct = lambda x, n: np.unique(np.concatenate(x), axis=0) if x else np.zeros((0, n), np.int64)
-    return distinct(units, 3), distinct(pairs, 2)
+            if close.any():
+                root = merged(root, joint[part[left[close]]], joint[right[close]])
+    joined = np.flatnonzero(root != np.arange(len(root)))
+    return np.unique(np.concatenate(units), axis=0), np.stack([names[root[joined]], names[joined]], axis=1)
 
 
 def _filed(signed: DataFrame, parts: int) -> DataFrame:
@@ -264,15 +288,15 @@ def candidates(signed: DataFrame, salt: int = 0) -> DataFrame:
 
 
 def left_over(signed: DataFrame) -> DataFrame:
-    """Units ``home, x, y`` and pairs ``a, b`` that are still to be compared: see ``crossing``."""
+    """Units ``home, x, y`` that are still to be compared and bridges ``a, b`` between homes: see ``crossing``."""
     parts = _parts(signed)
     schema = arrow(LEFT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units, pairs = crossing(*_read_filed(pa.Table.from_batches(list(batches))))
+        units, bridges = crossing(*_read_filed(pa.Table.from_batches(list(batches))))
         none = lambda n: pa.nulls(n, pa.int64())
         yield batch(schema, units[:, 0], units[:, 1], units[:, 2], none(len(units)), none(len(units)))
-        yield batch(schema, *[none(len(pairs))] * 3, pairs[:, 0], pairs[:, 1])
+        yield batch(schema, *[none(len(bridges))] * 3, bridges[:, 0], bridges[:, 1])
 
     return _filed(signed, parts).groupBy("part").applyInArrow(run, LEFT).distinct()
 
@@ -397,17 +421,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Rows of the same id are the same document; their texts should agree, else the smaller digest
     stands for the id. A row without id is kept and has no component. An empty table gives no rows.
     """
-    signed = materialise(sign(docs), "neardup-signatures")
+    signed = settled(sign(docs), "neardup-signatures")
     known = signed.filter("doc_id IS NOT NULL AND digest IS NOT NULL")
     same = known.groupBy("n_shingles", "digest").agg(F.min("doc_id").alias("id"), F.min("signature").alias("signature"))
     # Several texts of one id: one of them stands for it.
-    reps = materialise(same.groupBy("id").agg(F.min(F.struct("digest", "signature")).alias("x")).select(
+    reps = settled(same.groupBy("id").agg(F.min(F.struct("digest", "signature")).alias("x")).select(
         "id", F.col("x.signature").alias("signature")), "neardup-sets")
 
-    stars = materialise(candidates(reps.withColumn("grp", F.col("id"))), "neardup-stars")
-    pairs = materialise(near(stars, reps), "neardup-pairs")
+    stars = settled(candidates(reps.withColumn("grp", F.col("id"))), "neardup-stars")
+    pairs = settled(near(stars, reps), "neardup-pairs")
     texts = docs.join(_members(stars).select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-    sets = materialise(shingle_sets(texts, reps), "neardup-shingles")
+    sets = settled(shingle_sets(texts, reps), "neardup-shingles")
 
     # First the nearest centre of each document, then what that has left apart.
     order = Window.partitionBy("b").orderBy("distance", "a")
@@ -416,23 +440,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     found = extended(found, confirmed(_apart(pairs, found), sets))
     members = reps.join(_members(stars), "id", "left_semi")
     # Further rounds let what is still apart meet others; the last one compares whatever is left.
+    met = [pairs.select("a", "b")]
     for salt in range(1, ROUNDS + 1):
         grouped = _grouped(members, found)
-        found = extended(found, confirmed(near(candidates(grouped, salt=salt), reps), sets))
+        met.append(settled(near(candidates(grouped, salt=salt), reps).select("a", "b"), "neardup-round"))
+        found = extended(found, confirmed(met[-1], sets))
         drop(grouped)
     # Documents whose signatures are near have one home, which is cut into blocks.
     grouped = _grouped(members, found)
-    homes = components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    sizes = homes.join(sets.select("id", F.octet_length("hashes").alias("bytes")), "id").groupBy("component").agg(
-        F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("bytes") / BLOCK_BYTES)).alias("blocks"))
-    places = homes.join(sizes, "component").select("id", F.col("component").alias("home"), F.pmod(F.xxhash64("id"), "blocks").alias("block"))
-    placed = materialise(grouped.join(places, "id", "left").select(
-        "id", "grp", "signature", F.coalesce("home", "id").alias("home"), F.coalesce("block", F.lit(0)).cast("long").alias("block")), "neardup-placed")
-    left = materialise(left_over(placed), "neardup-left")
-    inside = links_of_units(left.filter("home IS NOT NULL").select("home", "x", "y"), placed, sets)
-    across = confirmed(near(left.filter("a IS NOT NULL").select("a", "b"), reps), sets)
-    labels = extended(found, inside.unionByName(across))
-    drop(stars, pairs, sets, reps, grouped, homes, placed, left)
+    homes = components(reduce(DataFrame.union, met).select(F.col("a").alias("u"), F.col("b").alias("v")))
+    placed = settled(_placed(grouped, homes, sets), "neardup-placed")
+    drop(stars, pairs, *met[1:], grouped)
+    left = settled(left_over(placed), "neardup-left")
+    units, bridges = left.filter("home IS NOT NULL").select("home", "x", "y"), left.filter("a IS NOT NULL").select("a", "b")
+    moved, still_left = None, None
+    if not bridges.isEmpty():
+        # Homes with near documents become one, in which no key has near documents of different homes any more.
+        homes = extended(homes, bridges.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        ends = _members(bridges).select(F.col("id").alias("home"))
+        moved = settled(_placed(placed.join(ends, "home", "left_semi").select("id", "grp", "signature"), homes, sets), "neardup-moved")
+        still_left = settled(left_over(moved), "neardup-moved-left")
+        units = units.join(ends, "home", "left_anti")
+    inside = links_of_units(units, placed, sets)
+    if moved is not None:
+        inside = inside.unionByName(links_of_units(still_left.filter("home IS NOT NULL").select("home", "x", "y"), moved, sets))
+    labels = extended(found, inside)
+    drop(sets, reps, homes, placed, left, *(t for t in (moved, still_left) if t is not None))
 
     # Copies lead to their representative, which leads to its component.
     named = same.select(F.col("n_shingles").alias("_n"), F.col("digest").alias("_d"), F.col("id").alias("_rep"))
@@ -445,7 +478,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def _grouped(members: DataFrame, labels: DataFrame) -> DataFrame:
     grouped = members.join(labels, "id", "left").select("id", F.coalesce("component", "id").alias("grp"), "signature")
-    return materialise(grouped, "neardup-groups")
+    return settled(grouped, "neardup-groups")
+
+
+def _placed(grouped: DataFrame, homes: DataFrame, sets: DataFrame) -> DataFrame:
+    """``grouped`` with ``home`` and ``block``; a document that is near no other is its own home."""
+    sizes = homes.join(sets.select("id", F.octet_length("hashes").alias("bytes")), "id").groupBy("component").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("bytes") / BLOCK_BYTES)).alias("blocks"))
+    places = homes.join(sizes, "component").select("id", F.col("component").alias("home"), F.pmod(F.xxhash64("id"), "blocks").alias("block"))
+    return grouped.join(places, "id", "left").select(
+        "id", "grp", "signature", F.coalesce("home", "id").alias("home"), F.coalesce("block", F.lit(0)).cast("long").alias("block"))
 
 
 def _members(pairs: DataFrame) -> DataFrame:

@@ -140,3 +140,40 @@ def test_components_and_later_edges_equal_union_find(spark, edges, cut):
 def test_a_chain_takes_few_rounds(spark):
     chain = spark.range(300).selectExpr("id * 7919 % 301 AS u", "(id + 1) * 7919 % 301 AS v")
     assert {r.component for r in components(chain).collect()} == {0}
+
+
+def test_homes_that_are_near_are_told_by_bridges_not_by_pairs():
+    """200 near documents, each its own home and group, under 30 keys: pairs would be 19,900."""
+    n, keys = 200, 30
+    ids = np.tile(np.arange(n), keys)
+    marks = np.zeros((len(ids), neardup.SKETCHED // 16), dtype=np.uint64)
+    far = ids >= n - 10  # these are near each other, not the rest
+    marks[far] = np.iinfo(np.uint64).max
+    key = np.repeat(np.arange(keys), n).astype(np.uint64)
+    units, bridges = neardup.crossing(key, ids, ids, ids, np.zeros(len(ids), np.int64), marks)
+    assert not len(units)
+    assert sorted(map(tuple, bridges.tolist())) == [(0, i) for i in range(1, n - 10)] + [(n - 10, i) for i in range(n - 9, n)]
+    one = np.zeros(len(ids), np.int64)
+    units, bridges = neardup.crossing(key, ids, ids, one, one, marks)
+    assert units.tolist() == [[0, 0, 0]] and not len(bridges)
+
+
+def test_links_between_homes_equal_brute_force(spark, monkeypatch):
+    """Without the rounds, what the first centres leave apart is found by what is left to compare alone."""
+    monkeypatch.setattr(neardup, "ROUNDS", 0)
+    rng, rows = np.random.default_rng(3), []
+    base = [f"v{i}" for i in range(120)]
+    for i in range(150):
+        own = list(base)
+        for j in rng.integers(0, 120, rng.integers(2, 9)):
+            own[j] = f"x{rng.integers(0, 3)}"
+        rows.append((i, " ".join(own)))
+    bridged = []
+    left_over = neardup.left_over
+    monkeypatch.setattr(neardup, "left_over", lambda placed: bridged.append(left_over(placed)) or bridged[-1])
+    # Only pairs of the nearest signatures give homes: the others have to be bridged.
+    near = neardup.near
+    monkeypatch.setattr(neardup, "near", lambda pairs, signed: near(pairs, signed).filter("distance <= 15"))
+    got = sorted(tuple(r) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == brute(rows)
+    assert len(bridged) == 2

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -124,3 +125,34 @@ def test_ranges_of_many_documents_are_joined_in_columns():
     assert got.to_pylist() == want
     none = np.zeros(0, dtype=np.int32)
     assert suffixes.joined(none, none, none, 2).to_pylist() == [[], []]
+
+
+def test_passages_that_occur_again_are_told_by_the_text_and_once(spark):
+    """Passages of two words: across documents, inside one, overlapping, and in a row that occurs twice."""
+    rows = [(1, "aa bb cc dd"), (2, "xx bb cc yy"), (3, "qq rr qq rr qq"), (4, "uu vv"), (4, "uu vv"), (None, "ww cc dd"), (5, "bbcc dd"), (6, "")]
+    texts = [(i, t.encode()) for i, t in rows]
+    df = spark.createDataFrame([(n, t, [(0, len(t))]) for n, (_, t) in enumerate(texts)], "_uid long, text binary, removed array<struct<start:int,stop:int>>")
+    df = df.withColumn("_uid", F.when(F.col("_uid") == 4, 3).otherwise(F.col("_uid")))  # the row that occurs twice
+    spans = {n: [m.span() for m in re.finditer(rb"\S+", t)] for n, (_, t) in enumerate(texts)}
+    pairs = [(min(n, 3) if n == 4 else n, w[j][0], w[j + 1][1]) for n, w in spans.items() for j in range(len(w) - 1)]
+    seen = Counter(texts[n][1][x:y] for n, x, y in pairs)
+    want = sorted({p for p in pairs if seen[texts[p[0]][1][p[1]:p[2]]] > 1})
+    for parts in (1, 7):
+        got = sorted(tuple(r) for r in suffixes.find_passages(df, 2, parts).distinct().collect())
+        assert got == want and len(want) == 9
+
+
+def test_tables_between_leave_no_shuffle_files(spark, sf_dir):
+    """Disk is held by the tables that are still read, not by what the writes before have shuffled."""
+    def shuffled():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f for f in (files.apply(i).getName() for i in range(files.size())) if f.startswith("shuffle_")}
+
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), shuffled()
+    found = suffixes.repeated_words(docs, 51)
+    for _ in range(40):
+        if not (left := shuffled() - before):
+            break
+        time.sleep(0.25)
+    assert not left
+    assert found.count() == docs.count()
