@@ -364,8 +364,11 @@ def similar(x: np.ndarray, y: np.ndarray, percent: int = PERCENT) -> bool:
 
 
 def near(pairs: DataFrame, signed: DataFrame) -> DataFrame:
-    """Adds ``distance`` of the signatures and drops pairs too far apart to be a link."""
-    side = lambda name: signed.select(F.col("id").alias(name), F.col("signature").alias(f"s{name}"))
+    """Adds ``distance`` of the signatures and drops pairs too far apart, or of too different ``size`` (if ``signed`` has
+    it), to be a link."""
+    sized = "size" in signed.columns
+    side = lambda name: signed.select(
+        F.col("id").alias(name), F.col("signature").alias(f"s{name}"), *[F.col("size").alias(f"n{name}")] * sized)
 
     @F.pandas_udf("int")
     def distance(x, y):
@@ -375,7 +378,10 @@ def near(pairs: DataFrame, signed: DataFrame) -> DataFrame:
         return pd.Series((m(x) != m(y)).sum(axis=1).astype(np.int32)) if len(x) else pd.Series([], dtype="int32")
 
     # Not deterministic in name only: the filter stays above, so a pair is looked at once.
-    return pairs.join(side("a"), "a").join(side("b"), "b").withColumn(
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    if sized:
+        both = both.filter(100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb"))
+    return both.withColumn(
         "distance", distance.asNondeterministic()("sa", "sb")).filter(F.col("distance") <= FAR).select("a", "b", "distance")
 
 
@@ -425,8 +431,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     known = signed.filter("doc_id IS NOT NULL AND digest IS NOT NULL")
     same = known.groupBy("n_shingles", "digest").agg(F.min("doc_id").alias("id"), F.min("signature").alias("signature"))
     # Several texts of one id: one of them stands for it.
-    reps = settled(same.groupBy("id").agg(F.min(F.struct("digest", "signature")).alias("x")).select(
-        "id", F.col("x.signature").alias("signature")), "neardup-sets")
+    reps = settled(same.groupBy("id").agg(F.min(F.struct("digest", "signature", "n_shingles")).alias("x")).select(
+        "id", F.col("x.signature").alias("signature"), F.col("x.n_shingles").alias("size")), "neardup-sets")
 
     stars = settled(candidates(reps.withColumn("grp", F.col("id"))), "neardup-stars")
     pairs = settled(near(stars, reps), "neardup-pairs")
@@ -439,18 +445,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     found = components(confirmed(first, sets))
     found = extended(found, confirmed(_apart(pairs, found), sets))
     members = reps.join(_members(stars), "id", "left_semi")
-    # Further rounds let what is still apart meet others; the last one compares whatever is left.
-    met = [pairs.select("a", "b")]
+    # Further rounds let what is still apart meet others; the last one compares whatever is left. A pair that
+    # was a candidate before is linked or no link, so it is not looked at again.
+    met, seen = [pairs.select("a", "b")], [stars]
     for salt in range(1, ROUNDS + 1):
         grouped = _grouped(members, found)
-        met.append(settled(near(candidates(grouped, salt=salt), reps).select("a", "b"), "neardup-round"))
+        fresh = candidates(grouped, salt=salt).join(reduce(DataFrame.union, seen), ["a", "b"], "left_anti")
+        seen.append(settled(fresh, "neardup-candidates"))
+        met.append(settled(near(seen[-1], reps).select("a", "b"), "neardup-round"))
         found = extended(found, confirmed(met[-1], sets))
         drop(grouped)
     # Documents whose signatures are near have one home, which is cut into blocks.
     grouped = _grouped(members, found)
     homes = components(reduce(DataFrame.union, met).select(F.col("a").alias("u"), F.col("b").alias("v")))
     placed = settled(_placed(grouped, homes, sets), "neardup-placed")
-    drop(stars, pairs, *met[1:], grouped)
+    drop(*seen, pairs, *met[1:], grouped)
     left = settled(left_over(placed), "neardup-left")
     units, bridges = left.filter("home IS NOT NULL").select("home", "x", "y"), left.filter("a IS NOT NULL").select("a", "b")
     moved, still_left = None, None

@@ -177,3 +177,11 @@ def test_links_between_homes_equal_brute_force(spark, monkeypatch):
     got = sorted(tuple(r) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert got == brute(rows)
     assert len(bridged) == 2
+
+
+def test_pairs_whose_sizes_rule_a_link_out_go_before_their_signatures_are_compared(spark):
+    signed = spark.createDataFrame([(i, bytes(neardup.SIZE), n) for i, n in ((1, 75), (2, 100), (3, 74))], "id long, signature binary, size long")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 3)], "a long, b long")
+    got = neardup.near(pairs, signed)
+    assert sorted(map(tuple, got.collect())) == [(1, 2, 0), (1, 3, 0)]
+    assert got.count() == 2
