@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm import langid, mixing, neardup, packing, suffixes
 from ledgerlens.llm.common import n_words
-from ledgerlens.session import settled
+from ledgerlens.session import materialise, settled  # noqa: F401  materialise is for callers that write a stage
 
 # A text whose code is longer than eight bits a byte is in no learned language: plain bytes are shorter.
 MOST_BITS = 8.0
